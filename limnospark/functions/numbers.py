@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from limnospark.functions.text import strip
 
@@ -26,6 +26,14 @@ def to_number(column: Column, decimal_comma: bool = False) -> Column:
     return finite(text.try_cast("double"))
 
 
+def number_of(df: DataFrame, name: str) -> Column:
+    """Column of a table as double: a cast where it is numeric already, else parsed from text."""
+    column = F.col("`" + name.replace("`", "``") + "`")
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return finite(column.cast("double"))
+    return to_number(column)
+
+
 def cell_number(column: Column) -> Column:
     """Spreadsheet cell to double: decimal comma allowed, a dash means missing."""
     return to_number(F.nullif(strip(column), F.lit("-")), decimal_comma=True)

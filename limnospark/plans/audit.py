@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from limnospark.functions.numbers import relative_difference, relative_difference_floor, to_number
+from limnospark.functions.numbers import number_of, relative_difference, relative_difference_floor
 from limnospark.operators.choose import top_two, value_counts
 from limnospark.operators.groups import null_safe_join
 from limnospark.operators.specs import RAW_TRACE_COLUMNS, TRACE_COLUMNS, ref
@@ -105,10 +105,10 @@ def audit_hydraulics(
     if not usable:
         raise ValueError("no comparable columns")
     sums = kept.groupBy(*keys).agg(
-        *[F.sum(to_number(ref(p))).alias(f"sum_{name}") for name, _, p, _ in usable], F.lit(True).alias("__in")
+        *[F.sum(number_of(kept, p)).alias(f"sum_{name}") for name, _, p, _ in usable], F.lit(True).alias("__in")
     )
     merged = null_safe_join(
-        summary.select(*[ref(k) for k in keys], *[to_number(ref(s)).alias(s) for _, s, _, _ in usable]), sums, keys, "left"
+        summary.select(*[ref(k) for k in keys], *[number_of(summary, s).alias(s) for _, s, _, _ in usable]), sums, keys, "left"
     )
     entries = [
         F.struct(F.lit(name).alias("check"), F.lit(s).alias("summary_column"), F.lit(p).alias("points_column"),
@@ -150,7 +150,7 @@ def audit_units(
 ) -> DataFrame:
     """Cubic-metre against litre columns: rows compared, mismatches and the largest gap."""
     usable = [(m, l) for m, l in pairs if m in df.columns and l in df.columns]
-    entries = [F.struct(F.lit(f"{m}_to_{l}").alias("check"), to_number(ref(m)).alias("m3s"), to_number(ref(l)).alias("ls")) for m, l in usable]
+    entries = [F.struct(F.lit(f"{m}_to_{l}").alias("check"), number_of(df, m).alias("m3s"), number_of(df, l).alias("ls")) for m, l in usable]
     long = df.select(*by, F.inline(F.array(*entries)))
     gap = relative_difference_floor(F.col("ls"), F.col("m3s") * 1000.0, SMALLEST_TOLERANCE)
     report = long.withColumn("gap", gap).groupBy(*by, "check").agg(
@@ -178,7 +178,7 @@ def audit_ranges(df: DataFrame, by: Sequence[str] = ("instrument",), rules: Mapp
         F.struct(
             F.lit(c).alias("column"), F.lit("negative_flow_observed" if c.startswith("q") else "range").alias("rule"),
             F.lit("info" if c.startswith("q") else r.get("severity", "warning")).alias("severity"),
-            to_number(ref(c)).alias("v"), F.coalesce(flagged(to_number(ref(c)), c, r), F.lit(False)).alias("bad"),
+            number_of(df, c).alias("v"), F.coalesce(flagged(number_of(df, c), c, r), F.lit(False)).alias("bad"),
         )
         for c, r in present.items()
     ]
@@ -197,7 +197,7 @@ def sheet_crosscheck(
     Summary needs `n_points, q_m3s, area_m2, vel_media_ms, prof_media_m, ancho_m`; Points
     `q_m3s, area_m2, prof_m, progr_m, q_percent`.
     """
-    p = points.select(*[ref(k) for k in keys], *[to_number(ref(c)).alias(c) for c in ("q_m3s", "area_m2", "prof_m", "progr_m", "q_percent")])
+    p = points.select(*[ref(k) for k in keys], *[number_of(points, c).alias(c) for c in ("q_m3s", "area_m2", "prof_m", "progr_m", "q_percent")])
     sums = p.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_points_points"),
         F.coalesce(F.sum("q_m3s"), F.lit(0.0)).alias("q_points_sum"), F.coalesce(F.sum("area_m2"), F.lit(0.0)).alias("area_points_sum"),
@@ -209,7 +209,7 @@ def sheet_crosscheck(
     per_key = null_safe_join(sums, widths, keys, "left")
     s = summary.select(
         *[ref(k) for k in keys],
-        *[to_number(ref(c)).alias(a) for c, a in (
+        *[number_of(summary, c).alias(a) for c, a in (
             ("n_points", "n_points_summary"), ("q_m3s", "q_summary"), ("area_m2", "area_summary"), ("vel_media_ms", "vel_summary"),
             ("prof_media_m", "prof_media_summary"), ("ancho_m", "ancho_summary"))],
     )

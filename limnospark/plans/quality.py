@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from limnospark.functions.dates import period_label
-from limnospark.functions.numbers import to_number
+from limnospark.functions.numbers import number_of
 from limnospark.functions.text import file_name_metadata, quality_column
 from limnospark.operators.matching import positional_join
 from limnospark.operators.specs import ref
@@ -15,7 +15,7 @@ from limnospark.operators.specs import ref
 
 def weighted_scores(rows: DataFrame, keys: Sequence[str], weight: str, score: str) -> DataFrame:
     """Mean of `score` weighted by |weight| over complete pairs, with the reason where there is none."""
-    w, q = F.abs(to_number(ref(weight))), to_number(ref(score))
+    w, q = F.abs(number_of(rows, weight)), number_of(rows, score)
     complete = w.isNotNull() & q.isNotNull()
     sums = rows.groupBy(*keys).agg(
         F.count_if(complete).alias("n_pairs"), F.sum(F.when(complete, w)).alias("sw"), F.sum(F.when(complete, w * q)).alias("swq")
@@ -57,7 +57,7 @@ def quality_metrics(
     a = wanted(tagged).select("file", "row_no", "point", "date", "time", ref(weight).alias("weight"))
     b = wanted(named(raw)).select("file", "row_no", ref(score).alias("score"))
     paired = positional_join(a, b, "file", "row_no")
-    w, q = F.abs(to_number(F.col("weight"))), to_number(F.col("score"))
+    w, q = F.abs(number_of(paired, "weight")), number_of(paired, "score")
     complete = w.isNotNull() & q.isNotNull()
     sums = paired.groupBy("file").agg(
         F.first("point", True).alias("point"), F.first("date", True).alias("date"), F.first("time", True).alias("time"),

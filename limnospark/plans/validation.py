@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from limnospark.functions.numbers import to_number
+from limnospark.functions.numbers import number_of
 from limnospark.operators.choose import duplicate_keys
 from limnospark.operators.groups import null_safe_join
 from limnospark.operators.specs import RAW_TRACE_COLUMNS, ref
@@ -120,8 +120,8 @@ def range_violations(
         if not present:
             continue
         entries = [
-            F.when(_breaks(to_number(ref(c)), rule), F.struct(
-                F.lit(c).alias("column"), to_number(ref(c)).alias("value"), F.lit(_rule_text(rule)).alias("rule")))
+            F.when(_breaks(number_of(df, c), rule), F.struct(
+                F.lit(c).alias("column"), number_of(df, c).alias("value"), F.lit(_rule_text(rule)).alias("rule")))
             for c, rule in present.items()
         ]
         base = [ref(c) for c in trace if c in df.columns]
@@ -139,17 +139,14 @@ def hydraulic_consistency(
     Points are summed before the join. The outer join is a left join plus the Points keys that
     no Summary has, because a left join can be split where one key is hot and a full join cannot.
     """
-    def number(name: str) -> Column:
-        return to_number(ref(name))
-
     sums = points.groupBy(*keys).agg(
-        F.coalesce(F.sum(number("q_m3s")), F.lit(0.0)).alias("q_points_m3s"),
-        F.coalesce(F.sum(number("q_ls")), F.lit(0.0)).alias("q_points_ls"),
-        F.coalesce(F.sum(number("area_m2")), F.lit(0.0)).alias("area_points_m2"),
-        F.count(number("q_m3s")).alias("n_points"),
+        F.coalesce(F.sum(number_of(points, "q_m3s")), F.lit(0.0)).alias("q_points_m3s"),
+        F.coalesce(F.sum(number_of(points, "q_ls")), F.lit(0.0)).alias("q_points_ls"),
+        F.coalesce(F.sum(number_of(points, "area_m2")), F.lit(0.0)).alias("area_points_m2"),
+        F.count(number_of(points, "q_m3s")).alias("n_points"),
     )
     measured = ("q_total_m3s", "q_total_ls", "area_total_m2")
-    chosen = summary.select(*[ref(k) for k in keys], *[number(c).alias(c) for c in measured])
+    chosen = summary.select(*[ref(k) for k in keys], *[number_of(summary, c).alias(c) for c in measured])
     left = null_safe_join(chosen, sums.withColumn("__in", F.lit(True)), keys, "left").withColumn(
         "merge", F.when(F.col("__in"), "both").otherwise("left_only")
     ).drop("__in")

@@ -30,7 +30,7 @@ def read_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_series(df: DataFrame, flow: str = "q(m3/s)") -> DataFrame:
     return df.select(
-        "point", D.iso_date(F.col("date")).alias("date"), (N.to_number(F.col(f"`{flow}`")) * 1000.0).alias("q_model_ls")
+        "point", D.iso_date(F.col("date")).alias("date"), (N.number_of(df, flow) * 1000.0).alias("q_model_ls")
     ).dropna()
 
 
@@ -56,7 +56,7 @@ def station_series(df: DataFrame, timestep: str, flow: str = "q(m3/s)") -> DataF
     used = ranked.join(chosen, ["station", "__rank"], "left_semi")
     rows = used.select(
         "station", D.iso_date(F.col("date")).alias("date"),
-        (N.to_number(F.col(f"`{flow}`")) * 1000.0).alias("q_station_ls"),
+        (N.number_of(used, flow) * 1000.0).alias("q_station_ls"),
         *([F.coalesce("time", F.lit("00:00:00")).alias("time")] if "time" in df.columns else []),
     ).dropna(subset=["date", "q_station_ls"])
     if timestep == "hourly":
@@ -78,7 +78,7 @@ def read_manual_stage(spark: SparkSession, folder: str) -> DataFrame:
 def manual_stage(df: DataFrame) -> DataFrame:
     return df.select(
         T.point_code(F.col("station_id")).alias("station_id"), D.iso_date(F.col("measurement_date")).alias("measurement_date"),
-        N.to_number(F.col("manual_stage_m")).alias("manual_stage_m"),
+        N.number_of(df, "manual_stage_m").alias("manual_stage_m"),
     )
 
 
@@ -103,7 +103,7 @@ def summary_gauges(df: DataFrame, default_source: str | None = None) -> DataFram
     litres, cubic = find_column(df.columns, LITRE_CANDIDATES), find_column(df.columns, CUBIC_CANDIDATES)
     if not point or not date or not (litres or cubic):
         return None
-    flow = N.to_number(F.col(f"`{litres}`")) if litres else N.to_number(F.col(f"`{cubic}`")) * 1000.0
+    flow = N.number_of(df, litres) if litres else N.number_of(df, cubic) * 1000.0
     name = F.upper(F.col(f"`{source}`").cast("string")) if source else F.lit((default_source or "UNK").upper())
     rows = df.select(
         F.trim(F.replace(F.col(f"`{point}`").cast("string"), F.lit("P"), F.lit(""))).alias("point"),

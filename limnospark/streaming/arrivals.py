@@ -1,8 +1,8 @@
 """The two consolidation rules on a stream of new raw rows.
 
-Each micro-batch is merged into the table written by the batches before it. A batch writes a
-complete new version in its own folder, so a batch that runs again after a failure starts from
-the same older version and gives the same result.
+Every micro-batch is reduced and written to its own folder, so a batch that runs again after a
+failure replaces its own output and nothing else. The rule across batches is applied on read,
+which keeps the cost of a batch in proportion to the batch.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from limnospark.operators.choose import latest_per_key, union_distinct
+from limnospark.operators.choose import latest_per_key
 
 
 def read_arrivals(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -21,42 +21,29 @@ def read_arrivals(spark: SparkSession, folder: str, schema: StructType, files_pe
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Finished versions below `root` (a version is finished once its success marker is there)."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    names = [s.getPath() for s in fs.listStatus(base) if s.getPath().getName().startswith("v=")]
-    return sorted(int(p.getName()[2:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-
-def current_table(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    done = [v for v in _versions(spark, root) if before is None or v < before]
-    return spark.read.parquet(f"{root}/v={done[-1]}") if done else None
-
-
-def _merging(root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def _per_batch(stream: DataFrame, root: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]) -> DataStreamWriter:
     def write(batch: DataFrame, number: int) -> None:
-        old = current_table(batch.sparkSession, root, before=number)
-        merge(old, batch).write.mode("overwrite").parquet(f"{root}/v={number}")
+        reduce(batch).write.mode("overwrite").parquet(f"{root}/batch={number}")
 
-    return write
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def keep_distinct(stream: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
-    """Old and new rows, full-row duplicates removed."""
-    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        return new.dropDuplicates() if old is None else union_distinct(old, new)
+    """Collect rows without full-row duplicates; read them with `distinct_table`."""
+    return _per_batch(stream, root, checkpoint, lambda batch: batch.dropDuplicates())
+
+
+def distinct_table(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(root).drop("batch").dropDuplicates()
 
-    return stream.writeStream.foreachBatch(_merging(root, merge)).option("checkpointLocation", checkpoint)
 
+def keep_latest(
+    stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], run: str, ties: Sequence[str] = ()
+) -> DataStreamWriter:
+    """Collect the latest run's row per key; read them with `latest_table`."""
+    return _per_batch(stream, root, checkpoint, lambda batch: latest_per_key(batch, keys, run, ties))
 
-def keep_latest(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], run: str, ties: Sequence[str] = ()) -> DataStreamWriter:
-    """The latest run's row per key; an older run that arrives late does not win."""
-    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        rows = new if old is None else old.unionByName(new, allowMissingColumns=True)
-        return latest_per_key(rows, keys, run, ties)
 
-    return stream.writeStream.foreachBatch(_merging(root, merge)).option("checkpointLocation", checkpoint)
+def latest_table(spark: SparkSession, root: str, keys: Sequence[str], run: str, ties: Sequence[str] = ()) -> DataFrame:
+    """One row per key over all batches; an older run that arrives late does not win."""
+    return latest_per_key(spark.read.option("mergeSchema", True).parquet(root).drop("batch"), keys, run, ties)
