@@ -68,18 +68,18 @@ def gauges(spark: SparkSession, sf: str) -> DataFrame:
 
 def model(spark: SparkSession, sf: str) -> DataFrame:
     daily = table(spark, sf, "events").where("event_type = 'view'").groupBy(
-        F.col("user_id").cast("string").alias("point"), iso("ts").alias("date")).agg(F.avg("value").alias("q(m3/s)"))
+        F.col("user_id").cast("string").alias("point"), F.to_date("ts").alias("date")).agg(F.avg("value").alias("q(m3/s)"))
     return series.model_series(daily)
 
 
 def station_rows(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
-        F.col("event_type").alias("station"), F.lit("hourly").alias("timestep"), iso("ts").alias("date"), F.date_format("ts", "HH:mm:ss").alias("time"),
+        F.col("event_type").alias("station"), F.lit("hourly").alias("timestep"), F.to_date("ts").alias("date"), F.date_format("ts", "HH:mm:ss").alias("time"),
         F.col("value").alias("q(m3/s)"))
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:
-    rows = station_rows(spark, sf).where("cast(substring(date, 9, 2) as int) % 3 = 0")
+    rows = station_rows(spark, sf).where("day(date) % 3 = 0")
     return series.station_series(rows, "daily")
 
 
@@ -134,7 +134,7 @@ def station_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """Stations with a daily series use it; the others fall back to their hourly one."""
     daily = F.col("event_type").isin("click", "view") & (F.col("event_id") % 4 == 0)
     rows = table(spark, sf, "events").select(
-        F.col("event_type").alias("station"), F.when(daily, "daily").otherwise("hourly").alias("timestep"), iso("ts").alias("date"), F.col("value").alias("q(m3/s)"))
+        F.col("event_type").alias("station"), F.when(daily, "daily").otherwise("hourly").alias("timestep"), F.to_date("ts").alias("date"), F.col("value").alias("q(m3/s)"))
     return rounded(series.station_series(rows, "daily").withColumn("date", iso("date")), {"q_station_ls": 4})
 
 
@@ -189,7 +189,7 @@ pairs AS (SELECT station, point, m.day, m.q AS x, s.q AS y FROM m JOIN stations
 {metrics_sql('pairs', 'station, point')}
 SELECT station, point, n, {METRIC_COLUMNS}, "start", "end" FROM metrics""")
 def corr_all_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    daily = table(spark, sf, "events").where("event_id % 2 = 0").groupBy(F.col("event_type").alias("point"), iso("ts").alias("date")).agg(
+    daily = table(spark, sf, "events").where("event_id % 2 = 0").groupBy(F.col("event_type").alias("point"), F.to_date("ts").alias("date")).agg(
         F.avg("value").alias("q(m3/s)"))
     _, summary = correlation.model_vs_stations(
         series.model_series(daily), stations(spark, sf), {"x": "model", "y": "station"}, all_pairs=True, blocks=2)

@@ -28,8 +28,8 @@ def load_points(df: DataFrame, instruments: Mapping[str, Mapping], file: str | N
         own_station = F.coalesce(own_station, T.point_code(named["station_id"]))
         own_time = F.coalesce(own_time, F.when(stamp.isNotNull(), clock))
     else:
-        day = D.iso_date(own_date)
-    return df.where(F.col("instrument").isin(*enabled)).withColumns({
+        day = D.date_of(df, date) if date else D.iso_date(own_date)
+    return D.with_computed(df.where(F.col("instrument").isin(*enabled)), {
         "measurement_date": day, "station_id": own_station, "measurement_time": own_time,
         "instrument_code": T.mapped_name(F.col("instrument"), enabled),
     })

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from limnospark.functions.dates import eight_digit_date
+from limnospark.functions.dates import eight_digit_date, with_computed
 from limnospark.functions.text import point_token, point_token_text
 from limnospark.operators.reshape import (
     aggregate, complete_periods, complete_rows, period_axis, pivot_periods, requested_rows,
@@ -42,7 +42,7 @@ def select_rows(df: DataFrame, request: ExportRequest) -> DataFrame:
         if request.early or request.late:
             raise KeyError("the table has no date column")
         return df
-    df = df.withColumn("date_text", eight_digit_date(ref(date))).where("date_text is not null")
+    df = with_computed(df, {"date_text": eight_digit_date(ref(date))}).where("date_text is not null")
     if request.early:
         df = df.where(F.col("date_text") >= request.early)
     if request.late:

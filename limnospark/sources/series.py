@@ -30,7 +30,7 @@ def read_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_series(df: DataFrame, flow: str = "q(m3/s)") -> DataFrame:
     return df.select(
-        "point", D.iso_date(F.col("date")).alias("date"), (N.number_of(df, flow) * 1000.0).alias("q_model_ls")
+        "point", D.date_of(df, "date").alias("date"), (N.number_of(df, flow) * 1000.0).alias("q_model_ls")
     ).dropna()
 
 
@@ -55,7 +55,7 @@ def station_series(df: DataFrame, timestep: str, flow: str = "q(m3/s)") -> DataF
     chosen = ranked.groupBy("station").agg(F.min("__rank").alias("__rank"))
     used = ranked.join(chosen, ["station", "__rank"], "left_semi")
     rows = used.select(
-        "station", D.iso_date(F.col("date")).alias("date"),
+        "station", D.date_of(used, "date").alias("date"),
         (N.number_of(used, flow) * 1000.0).alias("q_station_ls"),
         *([F.coalesce("time", F.lit("00:00:00")).alias("time")] if "time" in df.columns else []),
     ).dropna(subset=["date", "q_station_ls"])
@@ -77,7 +77,7 @@ def read_manual_stage(spark: SparkSession, folder: str) -> DataFrame:
 
 def manual_stage(df: DataFrame) -> DataFrame:
     return df.select(
-        T.point_code(F.col("station_id")).alias("station_id"), D.iso_date(F.col("measurement_date")).alias("measurement_date"),
+        T.point_code(F.col("station_id")).alias("station_id"), D.date_of(df, "measurement_date").alias("measurement_date"),
         N.number_of(df, "manual_stage_m").alias("manual_stage_m"),
     )
 
@@ -105,10 +105,11 @@ def summary_gauges(df: DataFrame, default_source: str | None = None) -> DataFram
         return None
     flow = N.number_of(df, litres) if litres else N.number_of(df, cubic) * 1000.0
     name = F.upper(F.col(f"`{source}`").cast("string")) if source else F.lit((default_source or "UNK").upper())
-    rows = df.select(
-        F.trim(F.replace(F.col(f"`{point}`").cast("string"), F.lit("P"), F.lit(""))).alias("point"),
-        D.iso_date(F.col(f"`{date}`"), day_first=True).alias("date"), name.alias("source"), flow.alias("q_gauge_ls"),
-    )
+    values = {
+        "point": F.trim(F.replace(F.col(f"`{point}`").cast("string"), F.lit("P"), F.lit(""))),
+        "date": D.date_of(df, date, day_first=True), "source": name, "q_gauge_ls": flow,
+    }
+    rows = D.with_computed(df, values).select(*values)
     return rows.dropna(subset=["point", "date", "q_gauge_ls"]).where(F.col("date") >= FIRST_VALID_DATE)
 
 
@@ -119,7 +120,7 @@ def wide_gauges(df: DataFrame, instrument: Mapping, file: str = "file") -> DataF
         return None
     date = next((c for c in WIDE_DATE_CANDIDATES if c in df.columns), None)
     named = T.file_name_metadata(F.col(file), "Summary", numeric_station=True)
-    day = D.iso_date(F.col(date), day_first=True) if date else D.iso_date(named["measurement_date"])
+    day = D.date_of(df, date, day_first=True) if date else D.iso_date(named["measurement_date"])
     rows = df.select(
         F.replace(F.upper(named["station_id"]), F.lit("P"), F.lit("")).alias("point"), day.alias("date"),
         F.lit(instrument["code"].upper()).alias("source"),
