@@ -27,6 +27,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table whose files hold fewer splits than there are cores.
+
+    Only for costly per-row work; a table that already has enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     """Round doubles for comparison; adding zero turns a negative zero into zero."""
     return df.withColumns({c: F.round(F.col(c), n) + F.lit(0.0) for c, n in digits.items()})

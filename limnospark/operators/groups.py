@@ -82,26 +82,6 @@ def rank_in_group(
     return ranked.drop("__block", "__inside", "__before", "__size")
 
 
-def forward_fill(
-    df: DataFrame, keys: Sequence[str], position: str, columns: Sequence[str], width: int = BLOCK_POSITIONS
-) -> DataFrame:
-    """Replace nulls by the last non-null value before them in the group, in order of `position`."""
-    blocked = df.withColumn("__block", _block(position, width))
-    inside = W.partitionBy(*keys, "__block").orderBy(position).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ends = blocked.groupBy(*keys, "__block").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(position))).alias(c) for c in columns]
-    )
-    before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    carried = ends.select(
-        *keys, "__block", *[F.last(c, ignorenulls=True).over(before).alias(f"__carried_{c}") for c in columns]
-    )
-    local = blocked.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
-    joined = null_safe_join(local, carried, [*keys, "__block"])
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"__carried_{c}")) for c in columns}
-    ).drop("__block", *[f"__carried_{c}" for c in columns])
-
-
 def join_group_table(
     rows: DataFrame,
     per_group: DataFrame,
