@@ -202,14 +202,14 @@ def _ranked_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     lines = table(spark, sf, "lineitem")
     sections = lines.select(
         F.col("l_orderkey").alias("station_id"), F.lit(None).cast("string").alias("measurement_time"),
-        (F.col("l_linenumber") * 1000 + F.col("l_partkey") % 1000).alias("section_index"), "l_partkey", "l_suppkey",
+        (F.col("l_linenumber") * 1000 + F.col("l_partkey") % 1000).alias("section_index"), "l_partkey", "l_suppkey", "l_extendedprice",
         F.col("l_quantity").alias("width_m"), F.col("l_tax").alias("depth_m"), F.col("l_extendedprice").alias("q_ls"),
         (F.col("l_discount") * 100).alias("percent_q"))
     ends = sections.groupBy("station_id").agg(
-        F.min(F.struct("section_index", "l_partkey", "l_suppkey")).alias("lo"), F.max(F.struct("section_index", "l_partkey", "l_suppkey")).alias("hi"))
-    own = F.struct("section_index", "l_partkey", "l_suppkey")
+        F.min(F.struct("section_index", "l_partkey", "l_suppkey", "l_extendedprice")).alias("lo"), F.max(F.struct("section_index", "l_partkey", "l_suppkey", "l_extendedprice")).alias("hi"))
+    own = F.struct("section_index", "l_partkey", "l_suppkey", "l_extendedprice")
     points = sections.join(ends, "station_id").where((F.col("station_id") % 5 == 0) | ((own != F.col("lo")) & (own != F.col("hi")))).select(
-        "station_id", "measurement_time", F.col("section_index").alias("point_index"), "l_partkey", "l_suppkey",
+        "station_id", "measurement_time", F.col("section_index").alias("point_index"), "l_partkey", "l_suppkey", "l_extendedprice",
         F.lit(-1.0).alias("area_m2"), F.lit(-1.0).alias("q_ls"), F.lit(-1.0).alias("q_m3s"), F.lit(-1.0).alias("percent_q"))
     return points, sections
 
@@ -217,11 +217,11 @@ def _ranked_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @query("section_enrichment", f"""
 WITH s AS (SELECT l_orderkey AS station_id, l_linenumber * 1000 + l_partkey % 1000 AS i, l_partkey, l_suppkey, l_quantity * l_tax AS a, l_extendedprice AS q,
                   l_discount * 100 AS f,
-                  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber * 1000 + l_partkey % 1000, l_partkey, l_suppkey) AS r,
+                  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber * 1000 + l_partkey % 1000, l_partkey, l_suppkey, l_extendedprice) AS r,
                   count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
-p AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY i, l_partkey, l_suppkey) AS pr, count(*) OVER (PARTITION BY station_id) AS pn
+p AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY i, l_partkey, l_suppkey, q) AS pr, count(*) OVER (PARTITION BY station_id) AS pn
       FROM s WHERE station_id % 5 = 0 OR (r > 1 AND r < n)),
-j AS (SELECT p.station_id, p.i, p.l_partkey, p.l_suppkey, max(p.n) = max(p.pn) + 2 AS fits, coalesce(sum(s.a), 0) AS a, coalesce(sum(s.q), 0) AS q, coalesce(sum(s.f), 0) AS f
+j AS (SELECT p.station_id, p.i, p.l_partkey, p.l_suppkey, p.pr, max(p.n) = max(p.pn) + 2 AS fits, coalesce(sum(s.a), 0) AS a, coalesce(sum(s.q), 0) AS q, coalesce(sum(s.f), 0) AS f
       FROM p LEFT JOIN s ON s.station_id = p.station_id AND (
         (p.pr = 1 AND s.r IN (1, 2)) OR (p.pr > 1 AND p.pr = p.pn AND s.r IN (p.n - 1, p.n)) OR (p.pr > 1 AND p.pr < p.pn AND s.r = p.pr + 1))
       GROUP BY ALL)
@@ -229,7 +229,8 @@ SELECT station_id, i AS point_index, l_partkey, l_suppkey, {rnd('CASE WHEN fits
        {rnd('CASE WHEN fits THEN q / 1000 ELSE -1 END', 6)} AS q_m3s, {rnd('CASE WHEN fits THEN f ELSE -1 END', 2)} AS percent_q FROM j""")
 def section_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     points, sections = _ranked_lines(spark, sf)
-    out = enrich_points(points, sections, ("station_id", "measurement_time"), ("l_partkey", "l_suppkey"), ("l_partkey", "l_suppkey"))
+    ties = ("l_partkey", "l_suppkey", "l_extendedprice")
+    out = enrich_points(points, sections, ("station_id", "measurement_time"), ties, ties)
     out = out.select("station_id", "point_index", "l_partkey", "l_suppkey", "area_m2", "q_ls", "q_m3s", "percent_q")
     return rounded(out, {"area_m2": 4, "q_ls": 2, "q_m3s": 6, "percent_q": 2})
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from limnospark.functions import dates as D, numbers as N, text as T
@@ -35,11 +36,23 @@ def model_series(df: DataFrame, flow: str = "q(m3/s)") -> DataFrame:
 
 
 def read_stations(spark: SparkSession, folder: str) -> DataFrame:
-    """`<station>_<timestep>_station_data.csv` files as one tagged table."""
-    df = spark.read.option("header", True).option("pathGlobFilter", "*_station_data.csv").csv(folder)
-    rx = r"^([^_]+)_([^_]+)_station_data\.csv$"
-    name = F.col("_metadata.file_name")
-    return df.select("*", F.regexp_extract(name, rx, 1).alias("station"), F.regexp_extract(name, rx, 2).alias("timestep"))
+    """`<station>_<timestep>_station_data.csv` files as one tagged table.
+
+    Each timestep is read by itself, because its files have their own columns.
+    """
+    out = None
+    for timestep in FALLBACKS:
+        reader = spark.read.option("header", True).option("pathGlobFilter", f"*_{timestep}_station_data.csv")
+        try:
+            df = reader.csv(folder)
+        except AnalysisException:  # no file of this timestep
+            continue
+        name = F.regexp_extract(F.col("_metadata.file_name"), r"^([^_]+)_", 1)
+        tagged = df.select("*", name.alias("station"), F.lit(timestep).alias("timestep"))
+        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no station files in {folder}")
+    return out
 
 
 def stations_with(df: DataFrame, timestep: str) -> DataFrame:
