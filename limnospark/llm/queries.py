@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limnospark.llm import token_files
+from limnospark.llm import packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), VOCABULARY)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @query
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = token_files.write_tokens(table(spark, folder, "documents"), VOCABULARY)
