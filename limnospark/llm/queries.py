@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limnospark.llm import packing, token_files
+from limnospark.llm import licenses, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,8 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = token_files.write_tokens(table(spark, folder, "documents"), VOCABULARY)
     return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents")).withColumn("n_spans", F.size("spans")).drop("spans")
