@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from array import array
 
 import numpy as np
 
@@ -28,52 +28,52 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(others)}}
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of whole texts without special tokens, as the library gives them.
 
-    Each distinct piece between white space goes to the library once and is looked up after that.
-    A word of letters alone goes straight to the library's model, since the vocabulary's own split
-    leaves it whole; every other piece takes the library's full path. `remember` bounds the pieces held.
+    Each distinct piece between white space goes to the library once; as a dictionary, the encoder holds the
+    ids of pieces met so far, `remember` at most. A word of letters alone goes straight to the library's
+    model, since the vocabulary's own split leaves it whole; every other piece takes the library's full path.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 800_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._model = self._tokenizer.model
+        self._split = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
+        self._blank = self._letters[32]
         self._remember = remember
-        self._known: dict[str, bytes] = {}
+        self.size = self._tokenizer.get_vocab_size()
 
-    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
-        return [np.frombuffer(self.encode_bytes(text), "<u4") for text in texts]
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_bytes(text), np.uint32)
 
     def encode_bytes(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        pieces = _PIECES.findall(text)
-        known = self._known
-        if len(known) > self._remember:
-            known.clear()
-        for piece in pieces:
-            if piece not in known:
-                known[piece] = self._new(piece)
-        return b"".join(map(known.__getitem__, pieces))
-
-    def _new(self, piece: str) -> bytes:
+        """The ids as native unsigned 32-bit integers."""
+        if len(self) > self._remember:
+            self.clear()
+        return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+
+    def __missing__(self, piece: str) -> bytes:
         word = piece.rstrip(_MARKS)
         if not word.lstrip(" ").isalpha():
             ids = self._tokenizer.encode(piece, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-        if len(word) < len(piece):
-            return b"".join(self._known.get(x) or self._new(x) for x in (word, piece[len(word):]))
-        written = piece.encode().decode("latin-1").translate(self._letters)
-        return np.array([token.id for token in self._model.tokenize(written)], "<u4").tobytes()
+        elif len(word) < len(piece):
+            found = self[piece] = self[word] + self[piece[len(word):]]
+            return found
+        elif piece.isascii():
+            ids = [token.id for token in self._split(piece.replace(" ", self._blank))]
+        else:
+            ids = [token.id for token in self._split(piece.encode().decode("latin-1").translate(self._letters))]
+        found = self[piece] = array("I", ids).tobytes()
+        return found
 
     def ends_sentence(self) -> np.ndarray:
         """For each id, whether its text holds a full stop, a question or exclamation mark, or a line break."""
-        size = self._tokenizer.get_vocab_size()
-        return np.array([bool(re.search("[.!?\n]", self._tokenizer.decode([i]))) for i in range(size)])
+        return np.array([bool(re.search("[.!?\n]", self._tokenizer.decode([i]))) for i in range(self.size)])
 
 
 _ENCODERS: dict[str, Encoder] = {}

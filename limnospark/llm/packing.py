@@ -162,7 +162,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0,
             for at in range(0, batch.num_rows, 64):
                 rows = batch.slice(at, 64)
                 for doc_id, text in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()):
-                    ids = np.append(np.frombuffer(encode.encode_bytes(text), "<u4"), np.uint32(end_id))
+                    ids = np.append(encode.encode(text), np.uint32(end_id))
                     yield from stream.add(doc_id, ids)
         yield from stream.rest()
 

@@ -1,8 +1,8 @@
 """Token ids in Arrow files: fixed-size-list batches of equal-length sequences with masks.
 
 A folder holds two Arrow IPC files for each range of documents. `sequences-N.arrow` has the ids of
-the range one after another, cut into rows of `length` ids (`ids`: fixed-size list of uint32) with a
-mask (`mask`: fixed-size list of uint8, 0 where the last row is filled up). `documents-N.arrow` says where
+the range one after another, cut into rows of `length` ids (`ids`: fixed-size list of uint16, or uint32 if the
+vocabulary has more ids) with a mask (`mask`: fixed-size list of bool, false where the last row is filled up). `documents-N.arrow` says where
 each document lies. Every batch but the last has the same number of rows, so row r is found by
 dividing, and the lists are views of the file's own buffers: `TokenFile` maps any span of
 ids without reading the rest.
@@ -25,19 +25,21 @@ BATCH_ROWS = 256
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int, highest_id: int) -> pa.Schema:
+    kind = pa.uint16() if highest_id < 1 << 16 else pa.uint32()
+    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 class _Writer:
     """Writes one range of documents; what it holds is one batch of sequences."""
 
-    def __init__(self, system, folder: str, number: int, length: int):
+    def __init__(self, system, folder: str, number: int, length: int, highest_id: int):
         self._system, self._folder, self._length = system, folder, length
         self._names = [f"sequences-{number:06d}.arrow", f"documents-{number:06d}.arrow"]
         self._drafts = [f"{folder}/.{name}-{uuid.uuid4().hex}" for name in self._names]
         self._sinks = [system.open_output_stream(draft) for draft in self._drafts]
-        self._schema = sequence_schema(length)
+        self._schema = sequence_schema(length, highest_id)
+        self._kind = self._schema.field("ids").type.value_type.to_pandas_dtype()
         self._files = [pa.ipc.new_file(self._sinks[0], self._schema), pa.ipc.new_file(self._sinks[1], DOCUMENTS)]
         self._waiting: list[np.ndarray] = []
         self._held = self.tokens = self.documents = 0
@@ -63,10 +65,9 @@ class _Writer:
 
     def _write_rows(self, ids: np.ndarray) -> None:
         rows = -(-len(ids) // self._length)
-        filled = np.zeros(rows * self._length, np.uint32)
+        filled = np.zeros(rows * self._length, self._kind)
         filled[: len(ids)] = ids
-        mask = np.zeros(rows * self._length, np.uint8)
-        mask[: len(ids)] = 1
+        mask = np.arange(rows * self._length) < len(ids)
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(values), self._length) for values in (filled, mask)]
         self._files[0].write_batch(pa.record_batch(lists, schema=self._schema))
 
@@ -100,8 +101,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: i
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 if writer is None:
-                    writer = _Writer(*open_folder(folder), part, length)
-                ids = [np.append(x, np.uint32(end_id)) for x in encode.encode(rows["text"].to_pylist())]
+                    writer = _Writer(*open_folder(folder), part, length, max(encode.size - 1, end_id))
+                ids = [np.append(encode.encode(text.as_py()), np.uint32(end_id)) for text in rows["text"]]
                 writer.add(rows["doc_id"].to_pylist(), ids)
         if writer is not None:
             writer.close()
@@ -123,11 +124,11 @@ class TokenFile:
         self.length = self._file.schema.field("ids").type.list_size
         self._at, self._batch = -1, None
 
-    def sequences(self, batch: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one batch, one row for each sequence."""
+    def sequences(self, batch: int) -> tuple[np.ndarray, pa.FixedSizeListArray]:
+        """Ids of one batch, one row for each sequence, and their masks; both are views of the file."""
         if batch != self._at:
             self._at, self._batch = batch, self._file.get_batch(batch)
-        return tuple(self._batch.column(i).flatten().to_numpy().reshape(-1, self.length) for i in (0, 1))
+        return self._batch["ids"].flatten().to_numpy().reshape(-1, self.length), self._batch["mask"]
 
     def span(self, start: int, count: int) -> np.ndarray:
         """`count` ids from the `start`-th of the file on."""
@@ -137,7 +138,7 @@ class TokenFile:
             ids, _ = self.sequences(batch)
             parts.append(ids.reshape(-1)[at : at + end - start])
             start += len(parts[-1])
-        return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint32), *parts])
+        return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint16), *parts])
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
@@ -154,7 +155,7 @@ def read_tokens(files: DataFrame) -> DataFrame:
                     for i in range(places.num_record_batches):
                         at = places.get_batch(i)
                         spans = zip(at["start"].to_pylist(), at["n_tokens"].to_pylist())
-                        ids = [tokens.span(start, count).tobytes() for start, count in spans]
+                        ids = [tokens.span(start, count).astype("<u4").tobytes() for start, count in spans]
                         starts = at["start"].to_numpy() + row["start"]
                         yield pa.record_batch([at["doc_id"], pa.array(starts), at["n_tokens"], pa.array(ids, pa.binary())],
                                               names=["doc_id", "start", "n_tokens", "ids"])
