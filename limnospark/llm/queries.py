@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limnospark.llm import licenses, packing, token_files
+from limnospark.llm import licenses, packing, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,18 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def held_out(name: str = "doc_id"):
+    """Rows whose labels are kept for checking."""
+    return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    weights = quality.fit(docs, table(spark, folder, "labels"), use=~held_out())
+    return quality.score_documents(docs, weights, "doc_id").withColumn("held_out", held_out())
+
+
 @query
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = token_files.write_tokens(table(spark, folder, "documents"), VOCABULARY)
