@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limnospark.llm import licenses, packing, quality, token_files
+from limnospark.llm import licenses, packing, quality, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,15 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.read_records(warc.write_archives(table(spark, folder, "pages")))
+    return records.select(
+        warc.page_of("urn").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+
+
 @query
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).withColumn("n_spans", F.size("spans")).drop("spans")
