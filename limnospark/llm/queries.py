@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limnospark.llm import licenses, packing, quality, simhash, token_files, top_k, warc
+from limnospark.llm import fingerprints, licenses, packing, quality, simhash, token_files, top_k, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+@query
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(table(spark, folder, "documents"))
+
+
 @query
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), VOCABULARY)
