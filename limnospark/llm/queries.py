@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from limnospark.llm import fingerprints, licenses, packing, quality, simhash, token_files, top_k, warc
+from limnospark.llm import fingerprints, licenses, mixing, packing, quality, simhash, token_files, top_k, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,63 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).withColumn("n_spans", F.size("spans")).drop("spans")
+
+
+def mix_levels() -> dict[str, Column]:
+    """Domain, language and source: web text is one source, the others are books or news by their number."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
+    domain = F.when(F.col("source") == "src0", "web").when(number % 2 == 0, "books").otherwise("news")
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+MIX_WEIGHTS = {("web",): 2, ("books",): 5, ("news",): 3, ("*", "en"): 4, ("*", "de"): 3, ("*", "fr"): 2}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.75, 3, 7
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    budget = F.floor(F.col("total") * MIX_SHARE)
+    return mixing.mix(table(spark, folder, "documents"), mix_levels(), budget, MIX_WEIGHTS, MIX_EPOCHS, seed=MIX_SEED)
+
+
+def _split_sql(child: str, parent: str, path: list[str]) -> str:
+    """Budgets of the nodes at `path` from those of their parents, as `mixing.budgets` has them."""
+    over = f"PARTITION BY {', '.join(path[:-1])}" if path[:-1] else ""
+    on = " AND ".join(f"c.{n} = p.{n}" for n in path[:-1]) or "TRUE"
+    return f"""{child}_level AS (
+  SELECT c.*, p.budget, (p.budget - coalesce(sum(c.capacity) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / sum(c.weight) OVER (b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS fill
+  FROM {child} c JOIN {parent} p ON {on}
+  WINDOW b AS ({over.replace("PARTITION BY ", "PARTITION BY c.").replace(", ", ", c.")} ORDER BY c.capacity::DOUBLE / c.weight, c.{path[-1]})
+), {child}_budget AS (
+  SELECT {', '.join(path)}, tokens, least(capacity, floor(max(fill) OVER ({over}) * weight))::BIGINT AS budget FROM {child}_level
+)"""
+
+
+ORACLES["op10_mixing"] = f"""
+WITH counted AS (
+  SELECT doc_id, CASE WHEN source = 'src0' THEN 'web' WHEN try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0 THEN 'books' ELSE 'news' END AS domain,
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+'))::BIGINT AS tokens
+  FROM documents
+), third AS (
+  SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, sum(tokens)::BIGINT * {MIX_EPOCHS} AS capacity, 1 AS weight FROM counted GROUP BY ALL
+), second AS (
+  SELECT domain, lang, 0 AS tokens, sum(capacity)::BIGINT AS capacity, CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 3 WHEN 'fr' THEN 2 ELSE 1 END AS weight
+  FROM third GROUP BY ALL
+), first AS (
+  SELECT domain, 0 AS tokens, sum(capacity)::BIGINT AS capacity, CASE domain WHEN 'web' THEN 2 WHEN 'books' THEN 5 ELSE 3 END AS weight
+  FROM second GROUP BY ALL
+), root AS (
+  SELECT least((SELECT sum(capacity) FROM first), floor(sum(tokens) * {MIX_SHARE}))::BIGINT AS budget FROM counted
+), {_split_sql("first", "root", ["domain"])}, {_split_sql("second", "first_budget", ["domain", "lang"])},
+{_split_sql("third", "second_budget", ["domain", "lang", "source"])}, plan AS (
+  SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole FROM third_budget
+), keyed AS (
+  SELECT c.*, whole, budget - whole * p.tokens AS rest, md5(concat_ws(':', {MIX_SEED}, whole, doc_id)) AS key
+  FROM counted c JOIN plan p USING (domain, lang, source)
+), placed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM keyed
+)
+SELECT doc_id, domain, lang, source, tokens, unnest(range(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END))::INTEGER AS epoch
+FROM placed
+"""
