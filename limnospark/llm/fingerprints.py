@@ -16,12 +16,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from limnospark.llm.shared import partitions, stored, text_of
+from limnospark.llm.shared import NO_ID, partitions, stored, text_of
 
 TABLES = 3
 BASE_CELLS = 2  # of each table, in the printed fingerprint
 ROUNDS = 6
-NO_ID = -(1 << 63)
 # A cell's row: which table and cell of how large a table, packed into one long; found digests have their own mark.
 FOUND = -1
 

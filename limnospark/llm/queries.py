@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from limnospark.llm import fingerprints, licenses, mixing, packing, quality, simhash, token_files, top_k, warc
+from limnospark.llm import fingerprints, licenses, lines, mixing, packing, quality, simhash, token_files, top_k, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,16 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+@query
+def op3_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document (blank ones apart), how many stay, and the numbers of those that go."""
+    docs = table(spark, folder, "documents")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().join(lines.removed_lines(docs), "doc_id", "left")
+    gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
+    n_lines = F.coalesce("n_lines", F.lit(0).cast("long"))
+    return found.select("doc_id", n_lines.alias("n_lines"), (n_lines - F.size(gone)).alias("n_kept"), gone.alias("removed_lines"))
+
+
 @query
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_versions(table(spark, folder, "documents"))

@@ -9,6 +9,10 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+# Stands for a missing doc_id where rows are dealt out by it: the smallest long.
+NO_ID = -(1 << 63)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in `spark.checkpoint.dir`; only a local session without it gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
