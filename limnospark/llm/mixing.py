@@ -59,12 +59,12 @@ def budgets(leaves: DataFrame, levels: Sequence[str], budget: Column, weights: M
         own = nodes[depth].withColumn("weight", _weight(path, weights, default))
         nodes[depth] = own.withColumn("capacity", F.when(F.col("weight") > 0, F.col("capacity")).otherwise(0))
         nodes[depth - 1] = nodes[depth].groupBy(*path[:-1]).agg(F.sum("capacity").alias("capacity"))
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total")).select(budget.cast("long").alias("wanted"))
-    given = nodes[0].join(F.broadcast(total)).select(F.least("capacity", "wanted").alias("budget"))  # one row each
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total")).select(budget.cast("long")).first()[0]
+    root, given = min(total, nodes[0].first()["capacity"] or 0), None  # one row each
     for depth in range(1, len(levels) + 1):
         path = list(levels[:depth])
         parent = path[:-1]
-        children = nodes[depth].join(given, parent) if parent else nodes[depth].join(F.broadcast(given))
+        children = nodes[depth].join(given, parent) if parent else nodes[depth].withColumn("budget", F.lit(root).cast("long"))
         by_fill = W.partitionBy(*parent).orderBy(F.try_divide(F.col("capacity"), F.col("weight")).asc_nulls_last(), path[-1])
         before = F.coalesce(F.sum("capacity").over(by_fill.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         onward = F.sum("weight").over(by_fill.rowsBetween(0, W.unboundedFollowing))
