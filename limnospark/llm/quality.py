@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from limnospark.llm.shared import documents, stored, text_of
+from limnospark.llm.shared import documents, stored
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SAME = np.uint64(1)  # stands for every pair of equal words
@@ -144,12 +144,13 @@ def score_documents(docs: DataFrame, weights: np.ndarray, *keep: str, threshold:
     """
     bits = int(len(weights) - 1).bit_length() - 1
     held = docs.sparkSession.sparkContext.broadcast(weights)  # as above, a fixed size
-    given = docs.select(*keep, text_of("text").alias("__text"))
-    schema = StructType([*given.drop("__text").schema.fields, StructField("score", DoubleType())])
+    given = docs.select(*keep, *(["text"] if "text" not in keep else []))
+    kept = docs.select(*keep).schema.fields
+    schema = StructType([*kept, StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [score(*features(text.as_py(), bits), held.value) for text in batch["__text"]]
-            yield batch.drop_columns(["__text"]).append_column("score", pa.array(scores, pa.float64()))
+            scores = [score(*features(text.as_py() or "", bits), held.value) for text in batch["text"]]
+            yield batch.select([field.name for field in kept]).append_column("score", pa.array(scores, pa.float64()))
 
     return given.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
