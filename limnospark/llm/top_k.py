@@ -24,11 +24,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from limnospark.llm.shared import stored
 
 QUERIES_AT_ONCE = 1_024
+ENTRIES_AT_ONCE = 1 << 16
 PACKED = "block int, chunk int, list int, query long, ids binary, scores binary, floor long"
 PACKED_NAMES = [field.split()[0] for field in PACKED.split(", ")]
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int, lists: int = 2, chunk_rows: int = 1_024, block_rows: int = 8_192) -> DataFrame:
+def top_k(queries: DataFrame, candidates: DataFrame, k: int, lists: int = 2, chunk_rows: int = 2_048, block_rows: int = 8_192) -> DataFrame:
     """query_id, id, score of the k best candidates for each query, ties by smaller id; all if there are fewer.
 
     Both inputs have `id` (long, each once) and `vector` (array of long, without nulls). Shorter vectors count
@@ -46,7 +47,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, lists: int = 2, chu
     sent = _in_units(dealt, _send_best(k))
     sent = stored(sent, "best")
     floors = sent.groupBy("query", "list").agg(F.min("floor").alias("floor"))
-    reached = _totals(dealt, sent.drop("floor").withColumn("least", F.lit(None).cast("long")), lists, k)
+    unbounded = F.lit(None).cast("long").alias("least"), F.lit(None).cast("array<long>").alias("cutoffs")
+    reached = _totals(dealt, sent.drop("floor").select("*", *unbounded), lists, k)
     best = W.partitionBy("query").orderBy(F.col("score").desc(), "id")
     kth = reached.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k).groupBy("query").agg(
         F.count("*").alias("found"), F.min("score").alias("least"))
@@ -60,7 +62,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, lists: int = 2, chu
     cutoffs = stored(cutoffs.withColumn("block", _part("query", blocks)), "cutoffs")
     everywhere = cutoffs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     entries = dealt.groupBy("list", "block", "chunk").cogroup(everywhere.groupBy("list", "block", "chunk")).applyInArrow(_send_from_cutoff, PACKED)
-    bounds = cutoffs.groupBy("query").agg(F.first("least").alias("least"), F.sort_array(F.collect_list(F.struct("list", "cutoff"))).alias("cutoffs"))
+    bounds = cutoffs.groupBy("query").agg(F.first("least").alias("least"), F.sort_array(F.collect_list(F.struct("list", "cutoff")))["cutoff"].alias("cutoffs"))
     entries = entries.drop("floor").join(bounds, "query")
     scored = _totals(dealt, entries, lists, k)
     return (
@@ -97,12 +99,10 @@ def _slices(table: pa.Table, of_queries: bool) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], values.reshape(len(ids), -1)[order] if len(ids) else np.zeros((0, 0), np.int64)
 
 
-def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Inner products of all rows; floating point is used where every sum is a whole number it can hold."""
+def _numbers(left: np.ndarray, right: np.ndarray) -> type:
+    """The fastest kind of number that holds every sum of products exactly."""
     largest = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
-    if largest < 2**52:
-        return (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    return left @ right.T
+    return np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64
 
 
 def _unit(table: pa.Table) -> tuple[int, int, int]:
@@ -115,71 +115,91 @@ def _packed(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=PACKED_NAMES)
 
 
+def _scores(table: pa.Table):
+    """Queries, candidates and all their scores in one list, a strip of queries at a time."""
+    (asked, q), (ids, c) = _slices(table, True), _slices(table, False)
+    if len(ids) and len(asked):
+        kind = _numbers(q, c)
+        q, c = q.astype(kind), c.astype(kind).T
+        for at in range(0, len(asked), QUERIES_AT_ONCE):
+            yield asked[at : at + QUERIES_AT_ONCE], ids, q[at : at + QUERIES_AT_ONCE] @ c
+
+
 def _send_best(k: int):
     def work(table: pa.Table) -> pa.Table:
-        (asked, q), (ids, c), rows = _slices(table, True), _slices(table, False), []
-        if not len(ids):
-            return _packed(rows)
-        for at in range(0, len(asked), QUERIES_AT_ONCE):
-            scores = _products(q[at : at + QUERIES_AT_ONCE], c)
-            take = np.argpartition(-scores, min(k, len(ids)) - 1, axis=1)[:, :k]
-            floors = scores.min(axis=1)
-            for i, chosen in enumerate(take):
-                rows.append((*_unit(table), int(asked[at + i]), ids[chosen].tobytes(), scores[i, chosen].tobytes(), int(floors[i])))
+        rows = []
+        for asked, ids, scores in _scores(table):
+            few = min(k, len(ids))
+            take = np.argpartition(scores, len(ids) - few, axis=1)[:, len(ids) - few :]
+            best, floors = np.take_along_axis(scores, take, 1).astype(np.int64), scores.min(axis=1)
+            for i, query in enumerate(asked.tolist()):
+                rows.append((*_unit(table), query, ids[take[i]].tobytes(), best[i].tobytes(), int(floors[i])))
         return _packed(rows)
 
     return work
 
 
 def _send_from_cutoff(table: pa.Table, cutoffs: pa.Table) -> pa.Table:
-    if not table.num_rows or not cutoffs.num_rows:
-        return _packed([])
-    (asked, q), (ids, c), rows = _slices(table, True), _slices(table, False), []
+    rows = []
     cutoff = dict(zip(cutoffs["query"].to_pylist(), cutoffs["cutoff"].to_pylist()))
-    for at in range(0, len(asked), QUERIES_AT_ONCE):
-        scores = _products(q[at : at + QUERIES_AT_ONCE], c)
-        for i, query in enumerate(asked[at : at + QUERIES_AT_ONCE].tolist()):
-            chosen = np.flatnonzero(scores[i] >= cutoff[query])
-            if len(chosen):
-                rows.append((*_unit(table), query, ids[chosen].tobytes(), scores[i, chosen].tobytes(), None))
+    for asked, ids, scores in _scores(table) if table.num_rows and cutoffs.num_rows else ():
+        least = np.array([cutoff[query] for query in asked.tolist()])
+        row, place = np.nonzero(scores >= least[:, None])
+        found, sent = ids[place], scores[row, place].astype(np.int64)
+        ends = np.searchsorted(row, np.arange(len(asked) + 1)).tolist()
+        for query, a, b in zip(asked.tolist(), ends, ends[1:]):
+            if a < b:
+                rows.append((*_unit(table), query, found[a:b].tobytes(), sent[a:b].tobytes(), None))
     return _packed(rows)
 
 
+def _found(columns: list[np.ndarray]) -> pa.Table:
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query", "id", "score"])
+
+
 def _totals(dealt: DataFrame, entries: DataFrame, lists: int, k: int) -> DataFrame:
     """(query, id, score) of the k best entries of each query and chunk that reach `least`, if it is set."""
 
     def work(table: pa.Table, entries: pa.Table) -> pa.Table:
-        result: list[tuple[np.ndarray, ...]] = []
-        if table.num_rows and entries.num_rows:
-            parts = [table.filter(pc.equal(table["list"], j)) for j in range(lists)]
-            of_queries, of_candidates = ([_slices(part, flag) for part in parts] for flag in (True, False))
-            ids, asked = of_candidates[0][0], of_queries[0][0]
-            by_query: dict[int, list[dict]] = {}
-            for row in entries.to_pylist():
-                by_query.setdefault(row["query"], []).append(row)
-            for query, rows in by_query.items():
-                known = {row["list"]: (np.searchsorted(ids, np.frombuffer(row["ids"], np.int64)), np.frombuffer(row["scores"], np.int64)) for row in rows}
-                places = np.unique(np.concatenate([at for at, _ in known.values()]))
-                scores, sent = np.zeros((lists, len(places)), np.int64), np.zeros((lists, len(places)), bool)
-                for j, (at, values) in known.items():
-                    own = np.searchsorted(places, at)
-                    scores[j, own], sent[j, own] = values, True
-                least = rows[0]["least"]
-                if least is not None:  # a list that did not send an entry adds less than its cutoff
-                    most = np.array([c["cutoff"] - 1 for c in rows[0]["cutoffs"]])[:, None]
-                    can = np.where(sent, scores, most).sum(axis=0) >= least
-                    places, scores, sent = places[can], scores[:, can], sent[:, can]
-                q = np.searchsorted(asked, query)
-                for j in range(lists):
-                    open_ = np.flatnonzero(~sent[j])
-                    scores[j, open_] = _products(of_candidates[j][1][places[open_]], of_queries[j][1][q : q + 1])[:, 0]
-                total = scores.sum(axis=0)
-                if least is not None:
-                    places, total = places[total >= least], total[total >= least]
-                best = np.lexsort((ids[places], -total))[:k]
-                result.append((np.full(len(best), query), ids[places][best], total[best]))
-        columns = (np.concatenate(c) for c in zip(*result)) if result else [np.zeros(0, np.int64)] * 3
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query", "id", "score"])
+        if not (table.num_rows and entries.num_rows):
+            return _found([np.zeros(0, np.int64)] * 3)
+        parts = [table.filter(pc.equal(table["list"], j)) for j in range(lists)]
+        of_queries, of_candidates = ([_slices(part, flag) for part in parts] for flag in (True, False))
+        ids, asked = of_candidates[0][0], of_queries[0][0]
+        rows = entries.combine_chunks()
+        q = np.searchsorted(asked, rows["query"].to_numpy())
+        counts = pc.binary_length(rows["ids"]).to_numpy() // 8
+        place = np.searchsorted(ids, np.frombuffer(b"".join(rows["ids"].to_pylist()), np.int64))
+        pair, at = np.unique(np.repeat(q, counts) * len(ids) + place, return_inverse=True)
+        in_list = np.repeat(rows["list"].to_numpy(), counts)
+        scores, sent = np.zeros((lists, len(pair)), np.int64), np.zeros((lists, len(pair)), bool)
+        scores[in_list, at] = np.frombuffer(b"".join(rows["scores"].to_pylist()), np.int64)
+        sent[in_list, at] = True
+        q_of, c_of = np.divmod(pair, len(ids))
+        least = np.full(len(asked), np.iinfo(np.int64).min)
+        bounded = np.flatnonzero(rows["least"].is_valid().to_numpy(zero_copy_only=False))
+        if len(bounded):  # a list that did not send an entry adds less than its cutoff
+            kept = rows.take(pa.array(bounded))
+            least[q[bounded]] = kept["least"].to_numpy()
+            most = np.zeros((len(asked), lists), np.int64)
+            most[q[bounded]] = pc.list_flatten(kept["cutoffs"]).to_numpy().reshape(-1, lists) - 1
+            limits = np.where(sent, scores, most[q_of].T).sum(axis=0)
+            can = (limits >= least[q_of]) | (least[q_of] == np.iinfo(np.int64).min)
+            q_of, c_of, scores, sent = q_of[can], c_of[can], scores[:, can], sent[:, can]
+        for j in range(lists):
+            left, right = of_queries[j][1], of_candidates[j][1]
+            kind = _numbers(left, right)
+            left, right, open_ = left.astype(kind), right.astype(kind), np.flatnonzero(~sent[j])
+            for start in range(0, len(open_), ENTRIES_AT_ONCE):
+                own = open_[start : start + ENTRIES_AT_ONCE]
+                scores[j, own] = np.einsum("ij,ij->i", left[q_of[own]], right[c_of[own]])
+        total = scores.sum(axis=0)
+        reach = total >= least[q_of]
+        q_of, c_of, total = q_of[reach], c_of[reach], total[reach]
+        order = np.lexsort((c_of, -total, q_of))  # candidates are in the order of their ids
+        sorted_q = q_of[order]
+        first = order[np.arange(len(order)) - np.searchsorted(sorted_q, sorted_q) < k]
+        return _found([asked[q_of[first]], ids[c_of[first]], total[first]])
 
     return dealt.groupBy("block", "chunk").cogroup(entries.groupBy("block", "chunk")).applyInArrow(work, "query long, id long, score long")
 
