@@ -42,6 +42,18 @@ def stage_fits(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fits, {"a": 4, "b": 4, "c": 4})
 
 
+# Rows of the first two lines of an order carry no finite flow.
+@query("stage_fits_nonfinite", FIT_SQL.replace("FROM lineitem)", "FROM lineitem WHERE l_linenumber > 2)") + f"""
+SELECT station_id, instrument, model, n_points, {rnd('r2', 6)} AS r2, {rnd('rmse')} AS rmse FROM metrics""")
+def stage_fits_nonfinite(spark: SparkSession, sf: str) -> DataFrame:
+    line = F.col("l_linenumber")
+    flow = F.when(line == 1, float("nan")).when(line == 2, float("-inf")).otherwise(F.col("l_extendedprice"))
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("station_id"), F.col("l_returnflag").alias("instrument"), F.col("l_quantity").alias("stage_m"), flow.alias("q_total_ls"))
+    metrics = stage_discharge.fit(rows, GROUP)["metrics"].select(*GROUP, "model", "n_points", "r2", "rmse")
+    return rounded(metrics, {"r2": 6, "rmse": 4})
+
+
 DIGITS = {"r2": 6, "rmse": 4, "mae": 4, "nrmse": 6, "bias": 4, "pbias_pct": 6}
 METRIC_SQL = ", ".join(f"{rnd(c, d)} AS {c}" for c, d in DIGITS.items())
 
@@ -72,19 +84,20 @@ def stage_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 # Summary rows of the whole analysis: one order each, several orders of a customer on a day compete.
 STAGE_SQL = """
-WITH s AS (SELECT 'P' || (o_custkey % 100) AS station_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS d, lpad((o_orderkey % 86400)::VARCHAR, 6, '0') AS t, o_orderkey AS run_id,
+WITH s AS (SELECT 'P' || (o_custkey // 3) AS station_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS d, lpad((o_orderkey % 86400)::VARCHAR, 6, '0') AS t, o_orderkey AS run_id,
                   CASE o_orderstatus WHEN 'O' THEN 'flowtracker' WHEN 'F' THEN 'molinete' ELSE 'nivus' END AS instrument, o_totalprice AS q,
                   CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice / 100 END AS mean_depth FROM orders),
 deep AS (SELECT l_orderkey AS run_id, max(l_quantity) AS max_depth FROM lineitem GROUP BY 1),
-m AS (SELECT 'P' || (c_custkey % 100) AS station_id, DATE '1997-01-01' + CAST(c_custkey % 3 AS INT) * INTERVAL 1 MONTH AS d, c_acctbal AS manual FROM customer WHERE c_custkey < 300),
+m AS (SELECT 'P' || (c_custkey // 3) AS station_id, DATE '1997-01-01' + CAST(c_custkey % 2 AS INT) * INTERVAL 1 MONTH AS d, c_acctbal AS manual FROM customer),
 j AS (SELECT s.*, max_depth, manual FROM s LEFT JOIN deep USING (run_id) LEFT JOIN m ON m.station_id = s.station_id AND m.d = s.d),
 r AS (SELECT *, CASE instrument WHEN 'nivus' THEN 0 WHEN 'molinete' THEN 1 ELSE 999 END AS rank FROM j),
 best AS (SELECT station_id, d, arg_min(instrument, (rank, instrument, t, run_id)) AS instrument, arg_min(q, (rank, instrument, t, run_id)) AS q,
                 arg_min(mean_depth, (rank, instrument, t, run_id)) FILTER (mean_depth IS NOT NULL) AS mean_depth,
-                arg_min(max_depth, (rank, instrument, t, run_id)) FILTER (max_depth IS NOT NULL) AS max_depth, min(rank) AS rank FROM r GROUP BY 1, 2),
+                arg_min(max_depth, (rank, instrument, t, run_id)) FILTER (max_depth IS NOT NULL) AS max_depth, min(rank) AS rank,
+                arg_min(manual, (rank, instrument, t, run_id, manual)) FILTER (manual IS NOT NULL) AS manual FROM r GROUP BY 1, 2),
 a AS (SELECT station_id, d, instrument, instrument AS analysis_group, rank, q, mean_depth, max_depth, manual FROM r
-      UNION ALL SELECT station_id, d, instrument, 'BEST', rank, q, mean_depth, max_depth, NULL FROM best),
-long AS (SELECT station_id, d, instrument, analysis_group, rank, q, 'manual' AS stage_type, manual AS stage FROM a WHERE analysis_group <> 'BEST'
+      UNION ALL SELECT station_id, d, instrument, 'BEST', rank, q, mean_depth, max_depth, manual FROM best),
+long AS (SELECT station_id, d, instrument, analysis_group, rank, q, 'manual' AS stage_type, manual AS stage FROM a
          UNION ALL SELECT station_id, d, instrument, analysis_group, rank, q, 'mean', mean_depth FROM a
          UNION ALL SELECT station_id, d, instrument, analysis_group, rank, q, 'max', max_depth FROM a)
 """
@@ -93,23 +106,22 @@ long AS (SELECT station_id, d, instrument, analysis_group, rank, q, 'manual' AS
 def _matched(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
     summary = table(spark, sf, "orders").select(
-        F.concat(F.lit("p0"), F.col("o_custkey") % 100).alias("station_id"), F.date_format(F.trunc("o_orderdate", "month"), "yyyyMMdd").alias("measurement_date"),
+        F.concat(F.lit("p0"), F.expr("o_custkey div 3")).alias("station_id"), F.date_format(F.trunc("o_orderdate", "month"), "yyyyMMdd").alias("measurement_date"),
         F.lpad((k % 86400).cast("string"), 6, "0").alias("measurement_time"),
         F.when(F.col("o_orderstatus") == "O", " FlowTracker").when(F.col("o_orderstatus") == "F", "molinete").otherwise("nivus").alias("instrument"),
         F.col("o_totalprice").cast("string").alias("q_total_ls"), F.when(k % 3 != 0, F.col("o_totalprice") / 100).alias("depth_mean_m"), k.alias("run_id"))
     deepest = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("run_id")).agg(F.max("l_quantity").alias("instrument_stage_max_m"))
-    month = F.add_months(F.to_date(F.lit("1997-01-01")), (F.col("c_custkey") % 3).cast("int"))
-    manual = table(spark, sf, "customer").where("c_custkey < 300").select(
-        F.concat(F.lit("P"), F.col("c_custkey") % 100).alias("station_id"), month.alias("measurement_date"), F.col("c_acctbal").alias("manual_stage_m"))
+    month = F.add_months(F.to_date(F.lit("1997-01-01")), (F.col("c_custkey") % 2).cast("int"))
+    manual = table(spark, sf, "customer").select(
+        F.concat(F.lit("P"), F.expr("c_custkey div 3")).alias("station_id"), month.alias("measurement_date"), F.col("c_acctbal").alias("manual_stage_m"))
     df = stage_discharge.standardize(summary).join(deepest, "run_id", "left")
     return stage_discharge.match_manual(df, manual)
 
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
     df = _matched(spark, sf)
-    ranked = with_best_series(df, ["station_id", "measurement_date"], "instrument", ["nivus", "molinete"], ["measurement_time", "run_id"])
-    # The readings of one order do not differ in rank, so the best manual reading has no fixed order here.
-    return ranked.withColumn("manual_stage_m", F.when(F.col("analysis_group") != "BEST", F.col("manual_stage_m")))
+    return with_best_series(
+        df, ["station_id", "measurement_date"], "instrument", ["nivus", "molinete"], ["measurement_time", "run_id", "manual_stage_m"])
 
 
 @query("stage_long", STAGE_SQL + f"""

@@ -11,7 +11,7 @@ from limnospark.sources import series
 
 INSTRUMENTS = [
     {"code": "PU", "name": "purchase", "subdir": "purchase"}, {"code": "CL", "name": "click", "subdir": "click-log"},
-    {"code": "SI", "name": "signup", "subdir": "signup"},
+    {"code": "SI", "name": "signup", "subdir": "signup"}, {"code": "ER", "name": "error", "subdir": "error"},
 ]
 RANKING = ["PU", "click"]
 METRICS = {
@@ -47,18 +47,17 @@ def shown(summary: DataFrame, keys: list[str], more: list[str] = ()) -> DataFram
 
 
 GAUGE_SQL = """
-raw AS (SELECT user_id, CAST(ts AS DATE) AS day, CASE event_type WHEN 'purchase' THEN 'PU' WHEN 'click' THEN 'CL' ELSE 'SI' END AS source, avg(value * 1000) AS q
-        FROM events WHERE event_type IN ('purchase', 'click', 'signup') GROUP BY ALL),
+raw AS (SELECT user_id, CAST(ts AS DATE) AS day, CASE event_type WHEN 'purchase' THEN 'PU' WHEN 'click' THEN 'CL' WHEN 'signup' THEN 'SI' ELSE 'ER' END AS source, avg(value * 1000) AS q
+        FROM events WHERE event_type <> 'view' GROUP BY ALL),
 gauges AS (SELECT user_id::VARCHAR AS point, day, source, q FROM raw
            QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY CASE source WHEN 'PU' THEN 0 WHEN 'CL' THEN 1 ELSE 10000 END, source) = 1)
 """
 MODEL_SQL = "model AS (SELECT user_id::VARCHAR AS point, CAST(ts AS DATE) AS day, avg(value) * 1000 AS q FROM events WHERE event_type = 'view' GROUP BY ALL)"
-STATION_SQL = """stations AS (SELECT event_type AS station, CAST(ts AS DATE) AS day, avg(value * 1000) AS q FROM events
-  WHERE day(ts) % 3 = 0 GROUP BY ALL)"""
+STATION_SQL = "stations AS (SELECT event_type AS station, CAST(ts AS DATE) AS day, avg(value * 1000) AS q FROM events GROUP BY ALL)"
 
 
 def gauges(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "events").where(F.col("event_type").isin("purchase", "click", "signup")).select(
+    rows = table(spark, sf, "events").where("event_type <> 'view'").select(
         F.concat(F.lit("P"), F.col("user_id")).alias("station_id"), F.date_format("ts", "yyyyMMdd").alias("measurement_date"),
         F.col("event_type").alias("instrument"), F.col("value").alias("q_total_m3s"))
     named = rows.withColumn("instrument", F.when(F.col("instrument") == "click", "Click log").otherwise(F.col("instrument")))
@@ -79,8 +78,7 @@ def station_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:
-    rows = station_rows(spark, sf).where("day(date) % 3 = 0")
-    return series.station_series(rows, "daily")
+    return series.station_series(station_rows(spark, sf), "daily")
 
 
 @query("best_source_daily", f"""
@@ -97,19 +95,19 @@ def gauges_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("gauges_per_file", f"""
-WITH wide AS (SELECT user_id::VARCHAR AS point, CAST(ts AS DATE) AS day, 'FT' AS source, avg(value) AS q FROM events WHERE event_type = 'click' GROUP BY ALL),
-matrix AS (SELECT user_id::VARCHAR, CAST(ts AS DATE), 'ML', avg((value + value * 2) / 2) FROM events WHERE event_type = 'view' GROUP BY ALL)
-SELECT point, strftime(day, '%Y-%m-%d') AS date, source, {rnd('q', 4)} AS q_gauge_ls FROM (SELECT * FROM wide UNION ALL SELECT * FROM matrix)""")
+WITH wide AS (SELECT user_id::VARCHAR AS point, CAST(ts AS DATE) AS day, 'FT' AS source, avg(value) AS q FROM events WHERE event_type NOT IN ('view', 'error') GROUP BY ALL),
+matrix AS (SELECT user_id::VARCHAR, CAST(ts AS DATE), 'ML', avg((value + value * 2) / 2) FROM events WHERE event_type IN ('view', 'error') GROUP BY ALL)
+SELECT point, strftime(day, '%Y-%m-%d') AS date, source, {rnd('q', 6)} AS q_gauge_ls FROM (SELECT * FROM wide UNION ALL SELECT * FROM matrix)""")
 def gauges_per_file(spark: SparkSession, sf: str) -> DataFrame:
     """Per-measurement Summary files: one with a flow column, one with a labelled flow row."""
     file = F.concat(F.lit("/n/P"), F.col("user_id"), F.lit("_Summary_"), F.date_format("ts", "yyyyMMdd"), F.lit("_101500.csv"))
     events = table(spark, sf, "events").withColumn("file", file)
     wide = series.wide_gauges(
-        events.where("event_type = 'click'").select("file", F.col("value").alias("flow")), {"code": "ft", "flow_column": "flow", "flow_unit": "l/s"})
-    rows = events.where("event_type = 'view'").select(
+        events.where("event_type NOT IN ('view', 'error')").select("file", F.col("value").alias("flow")), {"code": "ft", "flow_column": "flow", "flow_unit": "l/s"})
+    rows = events.where("event_type IN ('view', 'error')").select(
         "file", F.explode(F.array(F.lit("q [l/s]"), F.lit("h [m]"))).alias("label"), F.col("value").alias("a"), (F.col("value") * 2).alias("b"))
     matrix = series.matrix_gauges(rows, {"code": "ml"}, "label", ["a", "b"])
-    return rounded(wide.unionByName(matrix).withColumn("date", iso("date")), {"q_gauge_ls": 4})
+    return rounded(wide.unionByName(matrix).withColumn("date", iso("date")), {"q_gauge_ls": 6})
 
 
 @query("station_daily", f"WITH {STATION_SQL} SELECT station, strftime(day, '%Y-%m-%d') AS date, {rnd('q', 4)} AS q_station_ls FROM stations")
@@ -159,15 +157,25 @@ def corr_gauge_model_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rows.withColumn("date", iso("date")), {"q_model_ls": 4, "q_gauge_ls": 4, "q_gauge_pred_ls": 4, "residual_ls": 4})
 
 
+# Each point is compared with one station, by its number.
+LISTED_SQL = "listed AS (SELECT DISTINCT ['click', 'error', 'purchase', 'signup', 'view'][user_id % 5 + 1] AS station, user_id::VARCHAR AS point FROM events)"
+
+
+def listed(spark: SparkSession, sf: str) -> DataFrame:
+    names = F.array(*map(F.lit, ("click", "error", "purchase", "signup", "view")))
+    return table(spark, sf, "events").select(
+        F.element_at(names, (F.col("user_id") % 5 + 1).cast("int")).alias("station"), F.col("user_id").cast("string").alias("point")).distinct()
+
+
 @query("corr_window_match", f"""
-WITH {GAUGE_SQL}, {STATION_SQL},
-near AS (SELECT station, point, g.day, g.q AS y, s.q AS x FROM gauges g JOIN stations s ON s.day BETWEEN g.day - 2 AND g.day + 2
+WITH {GAUGE_SQL}, {STATION_SQL}, {LISTED_SQL},
+near AS (SELECT station, point, g.day, g.q AS y, s.q AS x FROM listed JOIN gauges g USING (point) JOIN stations s USING (station) WHERE s.day BETWEEN g.day - 2 AND g.day + 2
          QUALIFY row_number() OVER (PARTITION BY station, point, g.day ORDER BY abs(s.day - g.day), s.day) = 1)
 {metrics_sql('near', 'station, point')}
 SELECT station, point, n, {METRIC_COLUMNS}, "start", "end" FROM metrics""")
 def corr_window_match(spark: SparkSession, sf: str) -> DataFrame:
     _, summary = correlation.gauges_vs_stations(
-        gauges(spark, sf), stations(spark, sf), {"x": "station", "y": "gauge"}, match_mode="window", window_days=2)
+        gauges(spark, sf), stations(spark, sf), {"x": "station", "y": "gauge"}, listed(spark, sf), match_mode="window", window_days=2)
     return shown(summary, ["station", "point"])
 
 
@@ -183,16 +191,14 @@ def corr_listed_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return shown(summary, ["station", "point"])
 
 
-@query("corr_all_pairs", f"""
-WITH m AS (SELECT event_type AS point, CAST(ts AS DATE) AS day, avg(value) * 1000 AS q FROM events WHERE event_id % 2 = 0 GROUP BY ALL), {STATION_SQL},
-pairs AS (SELECT station, point, m.day, m.q AS x, s.q AS y FROM m JOIN stations s ON m.day = s.day)
+@query("corr_model_station_pairs", f"""
+WITH {MODEL_SQL}, {STATION_SQL}, {LISTED_SQL},
+pairs AS (SELECT station, point, m.day, m.q AS x, s.q AS y FROM listed JOIN model m USING (point) JOIN stations s USING (station) WHERE m.day = s.day)
 {metrics_sql('pairs', 'station, point')}
 SELECT station, point, n, {METRIC_COLUMNS}, "start", "end" FROM metrics""")
-def corr_all_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    daily = table(spark, sf, "events").where("event_id % 2 = 0").groupBy(F.col("event_type").alias("point"), F.to_date("ts").alias("date")).agg(
-        F.avg("value").alias("q(m3/s)"))
+def corr_model_station_pairs(spark: SparkSession, sf: str) -> DataFrame:
     _, summary = correlation.model_vs_stations(
-        series.model_series(daily), stations(spark, sf), {"x": "model", "y": "station"}, all_pairs=True, blocks=2)
+        model(spark, sf), stations(spark, sf), {"x": "model", "y": "station"}, listed(spark, sf))
     return shown(summary, ["station", "point"])
 
 
@@ -200,7 +206,8 @@ def corr_all_pairs(spark: SparkSession, sf: str) -> DataFrame:
 WITH s AS (SELECT l_returnflag AS station, date_trunc('month', l_shipdate)::DATE AS day, avg(l_quantity * 1000) AS q FROM lineitem GROUP BY ALL),
 m AS (SELECT l_linestatus AS point, date_trunc('month', day)::DATE AS day, avg(q) AS q FROM (
         SELECT l_linestatus, CAST(l_shipdate AS DATE) AS day, avg(l_extendedprice) * 1000 AS q FROM lineitem GROUP BY ALL) GROUP BY ALL),
-pairs AS (SELECT station, point, m.day, m.q AS x, s.q AS y FROM m JOIN s ON m.day = s.day)
+listed(station, point) AS (VALUES ('A', 'F'), ('R', 'F'), ('N', 'O'), ('N', 'F')),
+pairs AS (SELECT station, point, m.day, m.q AS x, s.q AS y FROM listed JOIN m USING (point) JOIN s USING (station) WHERE m.day = s.day)
 {metrics_sql('pairs', 'station, point')}
 SELECT station, point, n, {", ".join(f"{rnd(c, 3 if c in ('rmse_direct',) else d)} AS {c}" for c, d in METRICS.items())}, "start", "end" FROM metrics""")
 def corr_monthly(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,5 +215,6 @@ def corr_monthly(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines.select(F.col("l_returnflag").alias("station"), F.lit("daily").alias("timestep"), iso("l_shipdate").alias("date"), F.col("l_quantity").alias("q(m3/s)"))
     daily = lines.groupBy(F.col("l_linestatus").alias("point"), iso("l_shipdate").alias("date")).agg(F.avg("l_extendedprice").alias("q(m3/s)"))
     _, summary = correlation.model_vs_stations(
-        series.model_series(daily), series.station_series(rows, "monthly"), {"x": "model", "y": "station"}, all_pairs=True, timestep="monthly")
+        series.model_series(daily), series.station_series(rows, "monthly"), {"x": "model", "y": "station"},
+        correlation.pair_frame(spark, "[A F] [R F] [N O] [N F]"), timestep="monthly")
     return rounded(shown(summary, ["station", "point"]), {"rmse_direct": 3})

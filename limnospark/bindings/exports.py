@@ -98,14 +98,15 @@ def grouped_median_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, {"median": 4, "median_q": 4})
 
 
-# Selections: one per order of every seventh customer; measurements are orders, by customer and day.
+# Selections: one per order, under a station that has no measurement for every seventh customer; measurements are
+# orders, by customer and day. The raw rows of every fourth order stand under another station.
 SELECTION_SQL = """
-sel AS (SELECT DISTINCT (o_custkey + CASE WHEN o_custkey % 21 = 0 THEN 1000000 ELSE 0 END)::VARCHAR AS station_id, strftime(o_orderdate, '%Y%m%d') AS measurement_date, '101500' AS measurement_time,
+sel AS (SELECT DISTINCT (o_custkey + CASE WHEN o_custkey % 7 = 0 THEN 100000000 ELSE 0 END)::VARCHAR AS station_id, strftime(o_orderdate, '%Y%m%d') AS measurement_date, '101500' AS measurement_time,
                CASE o_custkey % 5 WHEN 0 THEN 'm9' WHEN 1 THEN 'flowtracker' ELSE 'molinete' END AS instrument, 'E' || o_custkey || strftime(o_orderdate, '%Y%m%d') AS export_id
-        FROM orders WHERE o_custkey % 7 = 0),
+        FROM orders),
 meas AS (SELECT o_custkey::VARCHAR AS station_id, strftime(o_orderdate, '%Y%m%d') AS measurement_date, '101500' AS measurement_time,
                 CASE o_custkey % 5 WHEN 0 THEN 'm9' WHEN 1 THEN 'flowtracker' ELSE 'molinete' END AS instrument, o_totalprice AS q, o_orderkey FROM orders),
-raw AS (SELECT station_id, measurement_date, measurement_time, instrument, min(o_orderkey) AS o_orderkey, max(q) AS q FROM meas WHERE o_orderkey % 4 <> 0 GROUP BY ALL)
+raw AS (SELECT station_id || CASE WHEN o_orderkey % 4 = 0 THEN '/raw' ELSE '' END AS station_id, measurement_date, measurement_time, instrument, min(o_orderkey) AS o_orderkey, max(q) AS q FROM meas GROUP BY ALL)
 """
 REGISTRY_SQL = f"""
 WITH {SELECTION_SQL},
@@ -130,13 +131,14 @@ def _registry(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     instrument = F.when(k % 5 == 0, "m9").when(k % 5 == 1, "flowtracker").otherwise("molinete")
     orders = table(spark, sf, "orders")
     day = F.date_format("o_orderdate", "yyyyMMdd")
-    selection = orders.where("o_custkey % 7 = 0").select(
-        (k + F.when(k % 21 == 0, 1000000).otherwise(0)).cast("string").alias("station_id"), day.alias("measurement_date"),
+    selection = orders.select(
+        (k + F.when(k % 7 == 0, 100000000).otherwise(0)).cast("string").alias("station_id"), day.alias("measurement_date"),
         F.lit("101500").alias("measurement_time"), instrument.alias("instrument"), F.concat(F.lit("E"), k, day).alias("export_id")).distinct()
     normalized = orders.select(
         k.alias("station_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("measurement_date"), F.lit("10:15:00").alias("measurement_time"),
         instrument.alias("instrument"), F.col("o_totalprice").alias("q_total_m3s"))
-    raw = orders.where("o_orderkey % 4 <> 0").groupBy(k.alias("station_id"), day.alias("measurement_date"), instrument.alias("instrument")).agg(
+    raw_station = F.concat(k.cast("string"), F.when(F.col("o_orderkey") % 4 == 0, "/raw").otherwise(""))
+    raw = orders.groupBy(raw_station.alias("station_id"), day.alias("measurement_date"), instrument.alias("instrument")).agg(
         F.min("o_orderkey").alias("okey"), F.max("o_totalprice").alias("q"))
     raw = raw.select(
         "station_id", "measurement_date", F.lit("101500.0").alias("measurement_time"), F.upper("instrument").alias("instrument"),

@@ -11,7 +11,7 @@ from limnospark.operators.specs import alias_mapping, apply_aliases, normalize_t
 from limnospark.plans.consolidate import fill_trace
 from limnospark.plans.ingest import resolve_metadata
 from limnospark.plans.normalize import enrich_points, fixed_points, fixed_summary
-from limnospark.sources.files import decode_text, line_table
+from limnospark.sources.files import decode_text, line_table, robust_csv_rows
 
 DIGITS = {"remove_prefixes": ["P"], "digits_only": True}
 
@@ -299,16 +299,33 @@ def metadata_policy(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("o_orderkey", *[c.alias(n) for n, c in fields.items()])
 
 
+# Files whose headers differ in order, and of which half lack the name.
+@query("csv_mixed_headers", """
+SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name || ', ""' ELSE '' END AS name,
+       CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS segment FROM customer""")
+def csv_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey")
+    segment = F.when(k % 3 == 0, "NaN").otherwise(F.col("c_mktsegment"))
+    full = F.concat(F.lit("id,segment,name\n"), k, F.lit(","), segment, F.lit(',"'), F.col("c_name"), F.lit(', """""\n'))
+    short = F.concat(F.lit("segment,other,id\r\n"), segment, F.lit(",ñ,"), k)
+    content = F.when(k % 2 == 0, F.encode(full, "UTF-8")).otherwise(F.encode(short, "ISO-8859-1"))
+    return robust_csv_rows(table(spark, sf, "customer").select(content.alias("content")), ["id", "name", "segment"])
+
+
+# Latin-1 bytes without the positions that code page 1252 gives other letters; other texts are written as UTF-8.
+LATIN = r"^[\x00-\x7f\u00a0-\u00ff]*$"
+
+
 @query("decoded_lines", """
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 OR NOT regexp_matches(text, '[^\\x00-\\x7f]') THEN 'utf-8-sig' ELSE 'cp1252' END AS encoding,
-       length(regexp_replace(regexp_replace(text, '\\r\\n', chr(10), 'g'), '[^\\n]', '', 'g')) + 1 AS n_lines, md5(replace(text, chr(13), '')) AS digest
-FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7f\\x{a0}-\\x{ff}]*', 's') AND NOT contains(text, chr(13))""")
+WITH d AS (SELECT doc_id, text, doc_id % 2 = 0 OR NOT regexp_full_match(text, '[\\x00-\\x7f\\x{a0}-\\x{ff}]*', 's') AS utf8 FROM documents)
+SELECT doc_id, CASE WHEN utf8 OR NOT regexp_matches(text, '[^\\x00-\\x7f]') THEN 'utf-8-sig' ELSE 'cp1252' END AS encoding,
+       len(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS n_lines, md5(text) AS digest FROM d""")
 def decoded_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents written as UTF-8 or Latin-1 bytes, decoded and split into lines again."""
-    docs = table(spark, sf, "documents").where(r"text rlike '^[\\x00-\\x7f\\u00a0-\\u00ff]*$' and not contains(text, '\r')")
-    files = docs.select(
+    utf8 = (F.col("doc_id") % 2 == 0) | ~F.col("text").rlike(LATIN)
+    files = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("path"), F.col("doc_id").alias("name"),
-        F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1")).alias("content"))
+        F.when(utf8, F.encode("text", "UTF-8")).otherwise(F.encode(F.when(~utf8, F.col("text")), "ISO-8859-1")).alias("content"))
     lines = line_table(files).groupBy("name", "encoding").agg(F.count(F.lit(1)).alias("n_lines"))
     digests = files.select("name", F.md5(decode_text(F.col("content"))["text"].cast("binary")).alias("digest"))
     return lines.join(digests, "name").select(F.col("name").alias("doc_id"), "encoding", "n_lines", "digest")

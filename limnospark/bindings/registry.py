@@ -28,12 +28,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table whose files hold fewer splits than there are cores.
-
-    Only for costly per-row work; a table that already has enough splits is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal a table out to the session's shuffle partitions, for costly work on each row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:

@@ -34,23 +34,13 @@ def nearest_date_match(
     return first_row(joined.drop("__candidate"), keys, [gap, F.col("matched_date")])
 
 
-def exact_date_match(
-    left: DataFrame, right: DataFrame, date: str, pairs: DataFrame | None, left_id: str, right_id: str, blocks: int = 1
-) -> DataFrame:
-    """Rows of both series on the same date, for listed pairs or for every combination of ids.
+def exact_date_match(left: DataFrame, right: DataFrame, date: str, pairs: DataFrame, left_id: str, right_id: str) -> DataFrame:
+    """Rows of both series on the same date, for the listed pairs.
 
-    With `pairs` the left rows meet their partners through the list. Without it, each
-    combination of ids is the requested output; `blocks` spreads one date's combinations
-    over blocks x blocks tasks.
+    Left rows meet their partners through the list, then the right rows by id and date, so a long
+    series is dealt out by its dates.
     """
-    if pairs is not None:
-        return left.join(pairs.dropDuplicates([left_id, right_id]), left_id).join(right, [right_id, date])
-    if blocks <= 1:
-        return left.join(right, date)
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    a = left.withColumn("__a", F.pmod(F.xxhash64(left_id), F.lit(blocks)).cast("int")).withColumn("__b", every)
-    b = right.withColumn("__b", F.pmod(F.xxhash64(right_id), F.lit(blocks)).cast("int")).withColumn("__a", every)
-    return a.join(b, [date, "__a", "__b"]).drop("__a", "__b")
+    return left.join(pairs.dropDuplicates([left_id, right_id]), left_id).join(right, [right_id, date])
 
 
 def positional_join(left: DataFrame, right: DataFrame, file: str, row: str) -> DataFrame:

@@ -10,6 +10,13 @@ from limnospark.functions.numbers import coefficients_json, predict
 from limnospark.operators.choose import first_row
 from limnospark.operators.groups import HOT_MIN_ROWS, join_group_table
 
+
+def finite_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Rows in which both values are numbers; null, NaN and infinity take no part in a fit."""
+    limit = F.lit(float("inf"))  # NaN is larger than any number
+    return df.where((F.abs(F.col(x).cast("double")) < limit) & (F.abs(F.col(y).cast("double")) < limit))
+
+
 def linear_fit(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Slope and intercept of y on x per group; a constant x gives slope 0 through the mean of y."""
     flat = (F.count(F.lit(1)) < 2) | (F.var_pop(x) == 0)
@@ -69,14 +76,14 @@ def pair_metrics(fitted: DataFrame, keys: Sequence[str], x: str, y: str, extra:
 def curve_fits(df: DataFrame, keys: Sequence[str], x: str, y: str, min_points: int = 3) -> DataFrame:
     """poly1, poly2 and power-law least squares, one row per group with all its models.
 
-    Everything comes from one aggregation of built-in central moments, which merge across map
+    Rows without two finite values are left out. Everything comes from one aggregation of built-in central moments, which merge across map
     tasks. The quadratic is solved around the mean of x and expanded back.
     Columns: keys, `n_points`, `models` (array of model, a, b, c, mean_y).
     """
     lx = F.when((F.col(x) > 0) & (F.col(y) > 0), F.ln(F.col(x)))
     ly = F.when((F.col(x) > 0) & (F.col(y) > 0), F.ln(F.col(y)))
     m = (
-        df.groupBy(*keys)
+        finite_pairs(df, x, y).groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n_points"),
             F.avg(x).alias("mx"), F.avg(y).alias("my"), F.var_pop(x).alias("m2"),
@@ -146,7 +153,7 @@ def curve_metrics(
     Equal (x, y) rows are counted first; the distinct rows of a hot group are then spread over
     salts for the join with the fits.
     """
-    copies = df.groupBy(*keys, x, y).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    copies = finite_pairs(df, x, y).groupBy(*keys, x, y).agg(F.count(F.lit(1)).cast("double").alias("w"))
     scored = join_group_table(
         copies, fits.withColumn("__size", F.col("n_points")), keys, "__size", [x, y], min_rows
     ).select(*keys, "n_points", x, y, "w", F.inline("models"))
@@ -183,7 +190,7 @@ def curve_points(
     best: DataFrame, fits: DataFrame, pairs: DataFrame, keys: Sequence[str], x: str, steps: int = 80
 ) -> DataFrame:
     """The best curve of each group on an even grid over its range of x."""
-    span = pairs.groupBy(*keys).agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("rows"))
+    span = pairs.where(F.abs(F.col(x).cast("double")) < float("inf")).groupBy(*keys).agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("rows"))
     # A single x value gets a band of five percent around it.
     band = F.when(F.col("lo") == F.col("hi"), F.when(F.col("lo") != 0, F.abs("lo") * 0.05).otherwise(0.05)).otherwise(0.0)
     span = span.where("rows >= 2").select(*keys, (F.col("lo") - band).alias("lo"), (F.col("hi") + band).alias("hi"))

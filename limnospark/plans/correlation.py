@@ -87,34 +87,29 @@ def gauges_vs_model(
 
 
 def gauges_vs_stations(
-    gauges: DataFrame, stations: DataFrame, roles: Mapping[str, str], pairs: DataFrame | None = None,
-    match_mode: str = "exact", window_days: int = 0, timestep: str = "daily", blocks: int = 1,
+    gauges: DataFrame, stations: DataFrame, roles: Mapping[str, str], pairs: DataFrame,
+    match_mode: str = "exact", window_days: int = 0, timestep: str = "daily",
 ) -> tuple[DataFrame, DataFrame]:
-    """Gauge days against daily station flows, on the same date or the nearest within a window."""
+    """Gauge days against daily station flows of listed pairs, on the same date or the nearest within a window."""
     checked = check_roles("gauges_vs_stations", roles)
     if timestep != "daily":
-        stations = stations.limit(0)
+        raise ValueError("gauges are compared with daily station flows only")
     if match_mode == "exact":
-        matched = exact_date_match(gauges, stations, "date", pairs, "point", "station", blocks)
+        matched = exact_date_match(gauges, stations, "date", pairs, "point", "station")
     else:
-        left = gauges if pairs is None else gauges.join(pairs.dropDuplicates(["station", "point"]), "point")
-        matched = nearest_date_match(
-            left, stations, ["point"], ["station"], "date", window_days, () if pairs is None else ("station",)
-        )
+        left = gauges.join(pairs.dropDuplicates(["station", "point"]), "point")
+        matched = nearest_date_match(left, stations, ["point"], ["station"], "date", window_days, ("station",))
     rows, summary = correlate(matched, ["station", "point"], checked)
     return rows, summary.withColumns({"match_mode": F.lit(match_mode), "window_days": F.lit(window_days)})
 
 
 def model_vs_stations(
-    model: DataFrame, stations: DataFrame, roles: Mapping[str, str], pairs: DataFrame | None = None,
-    all_pairs: bool = False, timestep: str = "daily", blocks: int = 1,
+    model: DataFrame, stations: DataFrame, roles: Mapping[str, str], pairs: DataFrame, timestep: str = "daily",
 ) -> tuple[DataFrame, DataFrame]:
-    """Model points against station flows for listed or all pairs; monthly compares monthly means."""
+    """Model points against station flows of listed pairs; monthly compares monthly means."""
     checked = check_roles("model_vs_stations", roles)
-    if pairs is None and not all_pairs:
-        raise ValueError("model_vs_stations needs pairs or all_pairs")
     if timestep == "monthly":
         model = model.groupBy("point", month_start(F.col("date")).alias("date")).agg(F.avg("q_model_ls").alias("q_model_ls"))
         stations = stations.withColumnRenamed("month", "date") if "month" in stations.columns else stations
-    matched = exact_date_match(model, stations, "date", None if all_pairs else pairs, "point", "station", blocks)
+    matched = exact_date_match(model, stations, "date", pairs, "point", "station")
     return correlate(matched, ["station", "point"], checked)

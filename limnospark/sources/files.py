@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -83,20 +83,33 @@ def read_text_csv(spark: SparkSession, path: str, names: Sequence[str] | None =
     ])
 
 
-def read_robust_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV in any of the accepted encodings, every column as text and missing cells as empty text.
+def csv_cells(line: Column, sep: str = ",") -> Column:
+    """Cells of one CSV line; quoted cells may hold separators and doubled quotes, but no line breaks."""
+    mark = re.escape(sep)
+    raw = F.regexp_extract_all(line, F.lit(f'(?:^|{mark})("(?:[^"]|"")*"|[^{mark}]*)'), F.lit(1))
+    return F.transform(raw, lambda cell: F.when(
+        (F.length(cell) > 1) & cell.startswith('"') & cell.endswith('"'),
+        F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))).otherwise(cell))
 
-    The header of the first file names the columns; cells do not span lines.
+
+def read_robust_csv(spark: SparkSession, path: str, names: Sequence[str], sep: str = ",") -> DataFrame:
+    return robust_csv_rows(spark.read.format("binaryFile").load(path), names, sep)
+
+
+def robust_csv_rows(files: DataFrame, names: Sequence[str], sep: str = ",") -> DataFrame:
+    """Columns `names` of CSV files (`content`) in any of the accepted encodings, as text, missing cells as empty text.
+
+    Each file's cells are named by its own header, so files may order their columns differently or lack
+    some. Cells do not span lines.
     """
-    files = spark.read.format("binaryFile").load(path)
     decoded = files.select(decode_text(F.col("content"))["text"].alias("text"))
-    header = decoded.select(F.regexp_extract("text", r"^([^\r\n]*)", 1).alias("h")).first()["h"]
-    names = next(iter(csv.reader([header], delimiter=sep)))
-    lines = decoded.select(F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("pos", "line"))
-    cells = lines.where((F.col("pos") > 0) & (F.col("line") != "")).select(
-        F.from_csv("line", ", ".join(f"`{n}` string" for n in names), {"sep": sep, "escape": '"'}).alias("row")
-    )
-    return cells.select("row.*").select(*[
-        F.when(F.col(f"`{n}`").isNull() | F.col(f"`{n}`").isin(*MISSING_CELLS), F.lit("")).otherwise(F.col(f"`{n}`")).alias(n)
-        for n in names
-    ])
+    lines = decoded.select(F.split("text", r"\r\n|\r|\n").alias("lines"))
+    rows = lines.select(csv_cells(F.get("lines", F.lit(0)), sep).alias("header"), F.posexplode("lines").alias("pos", "line"))
+    cells = rows.where((F.col("pos") > 0) & (F.col("line") != "")).select("header", csv_cells(F.col("line"), sep).alias("cells"))
+
+    def named(name: str) -> Column:
+        place = F.array_position(F.transform("header", lambda h: F.trim(h)), name).cast("int")
+        cell = F.when(place > 0, F.get(F.col("cells"), place - 1))
+        return F.when(cell.isNull() | cell.isin(*MISSING_CELLS), F.lit("")).otherwise(cell).alias(name)
+
+    return cells.select(*map(named, names))

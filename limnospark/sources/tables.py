@@ -22,17 +22,20 @@ WRITE_MODES = {"overwrite": "overwrite", "fail_if_exists": "errorifexists"}
 
 
 def write_table(
-    df: DataFrame, path: str, partitions: Sequence[str] = ("instrument",), policy: str = "overwrite"
+    df: DataFrame, path: str, partitions: Sequence[str] = ("instrument",), policy: str = "overwrite", salts: int = 8,
+    spread: Sequence[str] = (),
 ) -> None:
     """Write one table as Parquet; `fail_if_exists` refuses to replace one.
 
-    Rows are shuffled by partition and a few salts, so a partition gets a handful of files
-    and a large one is still written by many tasks.
+    Rows are dealt out by partition and a few salts (a hash of `spread`, by default of all columns), so a partition gets at
+    most `salts` files and a large one is still written by as many tasks.
     """
     if policy not in WRITE_MODES:
         raise ValueError(f"write policy must be one of {sorted(WRITE_MODES)}")
     present = [p for p in partitions if p in df.columns]
-    df.write.mode(WRITE_MODES[policy]).partitionBy(*present).option("maxRecordsPerFile", 5_000_000).parquet(path)
+    salt = F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(salts))
+    dealt = df.repartition(*present, salt)
+    dealt.write.mode(WRITE_MODES[policy]).partitionBy(*present).option("maxRecordsPerFile", 5_000_000).parquet(path)
 
 
 def write_report(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -89,12 +89,31 @@ def test_sheet_without_sentence_uses_the_cross(spark):
 
 def test_robust_csv_and_text_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("id,name\n1,Ñandú\n2,\"a, b\"\n3,NaN\n".encode("cp1252"))
-    rows = files.read_robust_csv(spark, str(tmp_path / "a.csv")).orderBy("id").collect()
+    rows = files.read_robust_csv(spark, str(tmp_path / "a.csv"), ["id", "name"]).orderBy("id").collect()
     assert [(r.id, r.name) for r in rows] == [("1", "Ñandú"), ("2", "a, b"), ("3", "")]
     (tmp_path / "b.csv").write_text("id,name\n01,null\n")
     assert [tuple(r) for r in files.read_text_csv(spark, str(tmp_path / "b.csv")).collect()] == [("01", None)]
 
 
+def test_each_csv_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n3,\"x, \"\"y\"\"\"\n")
+    rows = files.read_robust_csv(spark, str(tmp_path), ["a", "b", "c"]).collect()
+    assert sorted(tuple(r) for r in rows) == [("1", "2", ""), ('x, "y"', "3", "")]
+
+
+def test_written_tables_are_salted(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("if(id % 10 = 0, 'nivus', 'molinete') AS instrument", "id").repartition(16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join such small parts
+    try:
+        tables.write_table(df, str(tmp_path / "t"), salts=3)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    counts = [len(list((tmp_path / "t" / f"instrument={part}").glob("*.parquet"))) for part in ("nivus", "molinete")]
+    assert max(counts) <= 3 and sum(counts) > 2  # sixteen tasks would have left sixteen files each
+    assert tables.load_table(spark, str(tmp_path), "t").agg({"id": "sum"}).first()[0] == sum(range(20_000))
+
+
 def test_series_folders(spark, tmp_path):
     (tmp_path / "P3_model_data.csv").write_text("date,q(m3/s)\n2025-01-01,2\n2025-01-02,x\n")
     (tmp_path / "44_daily_station_data.csv").write_text("date,q(m3/s)\n2025-01-01,1\n2025-01-31,3\n")
