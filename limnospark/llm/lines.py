@@ -11,7 +11,7 @@ a, and unless their bitmaps (the parity of words by hash) differ in no more plac
 verified on the words themselves.
 
 Rarity comes from counts over all documents in a table of fixed size; two words that share a count's place only seem less rare.
-Equal sets are merged first. A family of very many lines that differ a little would join with itself in the
+Equal sets are merged first: the earliest line of each is kept or compared, the others go. A family of very many lines that differ a little would join with itself in the
 square of its size, so lines with a heavy word in their prefix are first compared with the earliest line of that
 word; the full join then asks only for lines still open. Heavy or not, every pair is looked at until the line is decided.
 """
@@ -19,10 +19,10 @@ word; the full join then asks only for lines still open. Heavy or not, every pai
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,17 +35,19 @@ MERGED_AT_ONCE = 64
 FILTER_BITS = 23
 #: Occurrences from which a word is heavy: a lighter one's lines are few enough to be joined with each other.
 HEAVY = 512
-BATCH_WORDS = 400_000  # worked on together by a task
-_ONE = np.uint64(1)
+BATCH_BYTES = 8 << 20  # text worked on together by a task
+_ONE, _MIX = np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Hashes(dict):
-    def __init__(self, remember: int = 600_000):
+    """Hashes of words met so far, `remember` at most."""
+
+    def __init__(self, remember: int = 400_000):
         super().__init__()
-        self._remember = remember
+        self.remember = remember
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self._remember:
+        if len(self) >= self.remember:
             self.clear()
         found = self[word] = xxhash.xxh64_intdigest(word)
         return found
@@ -54,15 +56,49 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
-def words_of(line: bytes) -> set[bytes]:
-    """The distinct words of a line, in lower case (A-Z), between ASCII blanks."""
-    return set(line.lower().split())
-
-
 def _places(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_of("text").alias("text"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with about `BATCH_BYTES` of text, one row at least."""
+    for batch in batches:
+        ends, at = np.cumsum(pc.binary_length(batch["text"]).to_numpy()), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row in the batch and number of each line, and the lines."""
+    split = pc.split_pattern(batch["text"], "\n")
+    counts = pc.list_value_length(split).to_numpy()
+    rows = np.repeat(np.arange(batch.num_rows), counts)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts), split.flatten()
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of each word, in lower case (A-Z) and between ASCII blanks: which text it is of, and its place in the list of distinct words."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    words = split.flatten().dictionary_encode()
+    codes, distinct = words.indices.to_numpy(), words.dictionary
+    empty = pc.index(distinct, "").as_py()  # a text of blanks alone, or blanks at its ends
+    if empty >= 0:
+        owner, codes = owner[codes != empty], codes[codes != empty]
+    return owner, codes, distinct
+
+
+def _hashed(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+
+
+def _counted_at(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
+
+
 def word_counts(docs: DataFrame) -> np.ndarray:
     """Occurrences of words by the low `COUNT_BITS` bits of their hashes, over all documents.
 
@@ -71,16 +107,10 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     size = 1 << COUNT_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, waiting, held = np.zeros(size, np.int64), [], 0
-        for batch in batches:
-            for text in batch["text"]:
-                words = text.as_py().encode().lower().split()
-                waiting.append(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)))
-                held += len(words)
-                if held > 1_000_000:
-                    total += _binned(waiting, size)
-                    waiting, held = [], 0
-        total += _binned(waiting, size)
+        total = np.zeros(size, np.int64)
+        for batch in _slices(batches):
+            _, codes, distinct = _words(batch["text"])
+            total += np.bincount(_counted_at(_hashed(distinct)), np.bincount(codes, minlength=len(distinct)), size).astype(np.int64)
         part = TaskContext.get().partitionId()
         for chunk, at in enumerate(range(0, size, CHUNK)):
             yield pa.RecordBatch.from_pydict({"chunk": [chunk], "part": [part], "counts": [total[at : at + CHUNK].tobytes()]})
@@ -100,87 +130,73 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     return total
 
 
-def _binned(hashes: list[np.ndarray], size: int) -> np.ndarray:
-    if not hashes:
-        return np.zeros(size, np.int64)
-    return np.bincount((np.concatenate(hashes) & np.uint64(size - 1)).astype(np.int64), minlength=size)
-
-
-def prefix_length(size: int, threshold: float) -> int:
-    return size - ceil(threshold * size - 1e-9) + 1
+def prefix_length(size, threshold: float):
+    """Of sizes, how many words the prefixes have."""
+    return size - np.ceil(threshold * np.asarray(size) - 1e-9).astype(np.int64) + 1
 
 
 LINE_KIND = "doc long, line int, k1 long, k2 long, size int, bitmap long, light int, prefix array<int>"
 
 
-def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int = HEAVY) -> DataFrame:
+def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int) -> DataFrame:
     """Each line with words: its place, 128 bits that stand for its set, size, bitmap, and its prefix.
 
     The prefix holds 32 bits of each word's hash, the rarest first; from position `light` on its words are heavy.
     """
     held = docs.sparkSession.sparkContext.broadcast(counts)  # as above, a fixed size
     names = [field.split()[0] for field in LINE_KIND.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
-
-    def rows(docs_: list[int], lines: list[int], sizes: list[int], hashes: list[int]) -> pa.RecordBatch:
-        words, sizes = np.array(hashes, np.uint64), np.array(sizes, np.int64)
-        starts = np.cumsum(sizes) - sizes
-        seen = held.value[(words & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)]
-        k1 = np.add.reduceat(words * np.uint64(0x9E3779B97F4A7C15), starts)
-        k2 = np.add.reduceat((words ^ words >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9), starts)
-        bitmap = np.bitwise_xor.reduceat(_ONE << (words >> np.uint64(58)), starts)
-        prefixes, light = [], []
-        for at, size in zip(starts.tolist(), sizes.tolist()):
-            own, count = words[at : at + size], seen[at : at + size]
-            order = np.lexsort((own, count))[: prefix_length(size, threshold)]
-            prefixes.append(own[order].astype(np.uint32).view(np.int32))
-            light.append(int(np.count_nonzero(count[order] <= heavy)))
-        ends = np.cumsum([0] + [len(p) for p in prefixes])
-        prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes)))
-        columns = [docs_, lines, k1.view(np.int64), k2.view(np.int64), sizes, bitmap.view(np.int64), light]
-        return pa.record_batch([*(pa.array(c, k) for c, k in zip(columns, kinds)), prefix], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs_, lines, sizes, hashes = [], [], [], []
-        for batch in batches:
-            for doc, text in zip(batch["doc"].to_pylist(), batch["text"]):
-                for number, line in enumerate(text.as_py().encode().split(b"\n")):
-                    words = words_of(line)
-                    if words:
-                        docs_.append(doc)
-                        lines.append(number)
-                        sizes.append(len(words))
-                        hashes.extend(map(_HASHES.__getitem__, words))
-                        if len(hashes) >= BATCH_WORDS:
-                            yield rows(docs_, lines, sizes, hashes)
-                            docs_, lines, sizes, hashes = [], [], [], []
-        if sizes:
-            yield rows(docs_, lines, sizes, hashes)
+        for batch in _slices(batches):
+            rows, numbers, lines = _lines(batch)
+            owner, codes, distinct = _words(lines)
+            if not len(codes):
+                continue
+            hashes = _hashed(distinct)
+            seen = held.value[_counted_at(hashes)]
+            rarest = np.lexsort((hashes, seen))  # distinct words, the rarest first
+            rank = np.empty(len(rarest), np.int64)
+            rank[rarest] = np.arange(len(rarest))
+            pairs = np.sort(owner * len(rarest) + rank[codes])  # each line's words in this order
+            pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+            owner, word = np.divmod(pairs, len(rarest))
+            words, seen = hashes[rarest][word], seen[rarest][word]
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            own, sizes = owner[starts], np.diff(np.concatenate([starts, [len(owner)]]))
+            lengths = prefix_length(sizes, threshold)
+            position = np.arange(len(owner)) - np.repeat(starts, sizes)
+            in_prefix = position < np.repeat(lengths, sizes)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            light = np.add.reduceat((in_prefix & (seen <= heavy)).astype(np.int32), starts)
+            k1 = np.add.reduceat(words * _MIX, starts)
+            k2 = np.add.reduceat((words ^ words >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9), starts)
+            bitmap = np.bitwise_xor.reduceat(_ONE << (words >> np.uint64(58)), starts)
+            prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[in_prefix].astype(np.uint32).view(np.int32)))
+            yield pa.record_batch([
+                batch["doc"].take(pa.array(rows[own])), pa.array(numbers[own], pa.int32()), k1.view(np.int64), k2.view(np.int64),
+                pa.array(sizes, pa.int32()), bitmap.view(np.int64), pa.array(light, pa.int32()), prefix], names=names)
 
     return _places(docs).mapInArrow(run, LINE_KIND)
 
 
-def _entries(sets: DataFrame, of_prefix: Column, *more: Column) -> DataFrame:
-    words = F.posexplode(of_prefix).alias("at", "word")
-    return sets.select("doc", "line", "size", "bitmap", "light", *more, words)
+def _entries(sets: DataFrame, of_prefix: Column, first: Column, *more: str) -> DataFrame:
+    """A row for each word of a prefix: the word, the line's place, its size and bitmap, and the word's position."""
+    kept = sets.select("doc", "line", "size", "bitmap", first.alias("first"), *more, F.posexplode(of_prefix).alias("at", "word"))
+    return kept.withColumn("at", F.col("at") + F.col("first")).drop("first")
 
 
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """Length, position and bitmap filters of two entries with the same word."""
+    """Whether line a is earlier and may match b: place, length, position and bitmap of two entries with the same word."""
     ca, cb = (lambda name: F.col(f"{a}.{name}")), (lambda name: F.col(f"{b}.{name}"))
-    both = ca("size") + cb("size")
-    shared = F.ceil(both * F.lit(threshold / (1 + threshold)) - 1e-9)
+    both, share = ca("size") + cb("size"), threshold / (1 + threshold)
     return (
-        (F.least(ca("size"), cb("size")) >= F.greatest(ca("size"), cb("size")) * F.lit(threshold) - 1e-9)
-        & (1 + F.least(ca("size") - ca("at") - 1, cb("size") - cb("at") - 1) >= shared)
-        & (F.bit_count(ca("bitmap").bitwiseXOR(cb("bitmap"))) <= both - 2 * shared)
+        ((ca("doc") < cb("doc")) | ((ca("doc") == cb("doc")) & (ca("line") < cb("line"))))
+        & (F.bit_count(ca("bitmap").bitwiseXOR(cb("bitmap"))) <= both * F.lit(1 - 2 * share) + 1e-9)
+        & (F.least(ca("size"), cb("size")) >= F.greatest(ca("size"), cb("size")) * F.lit(threshold) - 1e-9)
+        & (F.least(ca("size") - ca("at"), cb("size") - cb("at")) >= both * F.lit(share) - 1e-9)
     )
 
 
-def _earlier(a: str, b: str) -> Column:
-    return F.struct(F.col(f"{a}.doc"), F.col(f"{a}.line")) < F.struct(F.col(f"{b}.doc"), F.col(f"{b}.line"))
-
-
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(
         F.col("b.doc").alias("doc"), F.col("b.line").alias("line"), F.col("a.doc").alias("a_doc"), F.col("a.line").alias("a_line")).distinct()
@@ -188,11 +204,10 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 def leader_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     """Lines with a heavy word in their prefix, against the earliest line of that word."""
-    behind = F.expr("slice(prefix, light + 1, size(prefix))")
-    heavy = _entries(sets, behind).withColumn("at", F.col("at") + F.col("light")).drop("light")
+    heavy = _entries(sets.where("light < size(prefix)"), F.expr("slice(prefix, light + 1, size(prefix))"), F.col("light"))
     first = heavy.groupBy("word").agg(F.min(F.struct("doc", "line", "size", "bitmap", "at")).alias("first"))
     first = stored(first.select("word", "first.*"), "leaders")
-    met = (F.col("a.word") == F.col("b.word")) & _earlier("a", "b") & _may_match("a", "b", threshold)
+    met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold)
     return _pairs(first.alias("a").join(heavy.alias("b"), met))
 
 
@@ -202,17 +217,14 @@ def all_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     Both sides are one table dealt by word once: `open` stands in a condition on both, since a condition on one
     side would make two tables of it.
     """
-    entries = _entries(sets, F.col("prefix"), F.col("open")).drop("light")
-    met = (
-        (F.col("a.word") == F.col("b.word")) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & _earlier("a", "b")
-        & _may_match("a", "b", threshold)
-    )
+    entries = _entries(sets, F.col("prefix"), F.lit(0), "open")
+    met = (F.col("a.word") == F.col("b.word")) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & _may_match("a", "b", threshold)
     return _pairs(entries.alias("a").join(entries.alias("b"), met))
 
 
 def _marks(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
     """A line's place in the filter."""
-    mixed = docs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lines.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = docs.astype(np.uint64) * _MIX + lines.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     return (mixed ^ mixed >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - FILTER_BITS)
 
 
@@ -235,84 +247,108 @@ def _filter_of(places: DataFrame) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(doc, line, a_doc, a_line): of the pairs that match, each line with its earliest match.
+def _lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """Texts of the lines at the places, read from the documents again.
 
-    The words of the lines in the pairs are read from the documents again; a filter of fixed size leaves
-    out nearly all other lines before anything is moved, and the joins leave out the rest.
+    A filter of fixed size leaves out nearly all other lines before anything is moved; the few that pass it
+    are left out by the joins that follow.
     """
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select("doc", "line").unionByName(pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"))).distinct()
-    held = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    held = docs.sparkSession.sparkContext.broadcast(_filter_of(places))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text in zip(batch["doc"].to_pylist(), batch["text"]):
-                lines = text.as_py().encode().split(b"\n")
-                marks = _marks(np.full(len(lines), doc, np.int64), np.arange(len(lines)))
-                kept = np.flatnonzero(held.value[marks]).tolist()
-                if kept:
-                    words = [[w.decode() for w in words_of(lines[i])] for i in kept]
-                    yield pa.RecordBatch.from_pydict({"doc": [doc] * len(kept), "line": pa.array(kept, pa.int32()), "words": words})
-
-    words = stored(_places(docs).mapInArrow(read, "doc long, line int, words array<string>"), "words")
-    shared = F.size(F.array_intersect("words", "a_words"))
-    joined = (
-        pairs.join(words, ["doc", "line"])
-        .join(words.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("words").alias("a_words")), ["a_doc", "a_line"])
-        .where(shared >= (F.size("words") + F.size("a_words") - shared) * F.lit(threshold) - 1e-9)
-    )
-    best = joined.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a"))
-    return stored(best.select("doc", "line", "a.*"), "verified")
+        for batch in _slices(batches):
+            rows, numbers, lines = _lines(batch)
+            kept = np.flatnonzero(held.value[_marks(batch["doc"].to_numpy()[rows], numbers)])
+            if len(kept):
+                texts = pc.ascii_trim_whitespace(pc.ascii_lower(lines.take(pa.array(kept))))
+                yield pa.record_batch([batch["doc"].take(pa.array(rows[kept])), pa.array(numbers[kept], pa.int32()), texts], names=["doc", "line", "text"])
+
+    return stored(_places(docs).mapInArrow(read, "doc long, line int, text string"), "texts")
 
 
-def line_matches(docs: DataFrame, threshold: float = 0.8, heavy: int = HEAVY) -> DataFrame:
-    """Each line with words: doc_id, line (from 0), and the place of an earlier line that matches it (match_doc,
-    match_line), null if there is none.
+def _matching(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose words match."""
+    joined = pairs.join(texts, ["doc", "line"]).join(
+        texts.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("text").alias("a_text")), ["a_doc", "a_line"])
+    sets = joined.select("doc", "line", "a_doc", "a_line", *(F.array_distinct(F.split(c, "[ \\t\\n\\x0B\\f\\r]+")).alias(c) for c in ("text", "a_text")))
+    shared = F.size(F.array_intersect("text", "a_text"))
+    return sets.where(shared >= (F.size("text") + F.size("a_text") - shared) * F.lit(threshold) - 1e-9).select("doc", "line", "a_doc", "a_line")
 
-    Null texts count as empty, and lines without words are no rows. A null doc_id comes before all others. Rows that share a
-    doc_id are one place: their lines with one number are judged alike. An empty table gives no rows. Of several
-    matches an equal set's first line is named before a similar one.
+
+def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(doc, line, a_doc, a_line): each line that matches the other line of one of its pairs, with one such line.
+
+    A line's earliest partner is tried first, which mostly decides it, and the others only if that one does not match.
     """
-    counts = word_counts(docs)
-    rows = stored(line_rows(docs, counts, threshold, heavy), "lines")
+    pairs = stored(pairs, "pairs")
+    places = pairs.select("doc", "line").unionByName(pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"))).distinct()
+    texts = _lines_at(docs, places)
+    first = pairs.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a")).select("doc", "line", "a.*")
+    first = stored(_matching(first, texts, threshold), "first")
+    others = stored(pairs.join(first.select("doc", "line"), ["doc", "line"], "left_anti"), "others")
+    later = _matching(others, texts, threshold).groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a"))
+    return first.unionByName(later.select("doc", "line", "a.*"))
+
+
+def _kept_places(docs: DataFrame, threshold: float, heavy: int) -> DataFrame:
+    """(doc, line) of the lines with words that stay."""
     first = F.min(F.struct("doc", "line", "size", "bitmap", "light", "prefix")).alias("first")
-    sets = stored(rows.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), "sets")
-    led = verified(docs, leader_pairs(sets, threshold), threshold)
+    rows = line_rows(docs, word_counts(docs), threshold, heavy)
+    sets = stored(rows.groupBy("k1", "k2").agg(first).select("first.*"), "sets")
+    led = stored(verified(docs, leader_pairs(sets, threshold), threshold), "led")
     open_ = sets.join(led.select("doc", "line", F.lit(0).alias("open")), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
     found = led.unionByName(verified(docs, all_pairs(open_, threshold), threshold))
-    found = stored(found.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a")), "found")
-    firsts = sets.select("k1", "k2", "doc", "line").join(found, ["doc", "line"], "left")
-    firsts = stored(firsts.select("k1", "k2", F.struct("doc", "line").alias("first"), "a"), "firsts")
-    joined = rows.select("doc", "line", "k1", "k2").join(firsts, ["k1", "k2"])
-    own = F.col("first") == F.struct("doc", "line")
-    match = F.when(~own, F.col("first")).otherwise(F.struct(F.col("a.a_doc").alias("doc"), F.col("a.a_line").alias("line")))
-    named = joined.select(_named("doc").alias("doc_id"), "line", match.alias("match"), F.col("match.doc").isNotNull().alias("removed"))
-    return named.select("doc_id", "line", _named("match.doc").alias("match_doc"), F.col("match.line").alias("match_line"), "removed")
+    return sets.select("doc", "line").join(stored(found.select("doc", "line").distinct(), "found"), ["doc", "line"], "left_anti")
 
 
 def _named(place: str) -> Column:
     return F.when(F.col(place) != NO_ID, F.col(place))
 
 
-def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_lines (with words) and removed_lines (their numbers, rising) of each document that has lines with words."""
-    lines = line_matches(docs, threshold)
-    return lines.groupBy("doc_id").agg(
-        F.countDistinct("line").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("removed_lines"))
+def _kept_lines(docs: DataFrame, threshold: float, heavy: int) -> DataFrame:
+    """doc and the numbers of its lines with words that stay, for documents that keep one."""
+    return stored(_kept_places(docs, threshold, heavy).groupBy("doc").agg(F.collect_set("line").alias("kept")), "kept")
+
+
+def removed_lines(docs: DataFrame, threshold: float = 0.8, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, n_lines (its lines with words) and removed_lines (their numbers from 0, rising) of each document.
+
+    Null texts count as empty, and lines without words do not count and never go. A null doc_id comes before all others.
+    Rows that share a doc_id are one place: their lines with one number are judged alike, and each row gets a result of its
+    own. An empty table gives no rows.
+    """
 
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            rows, numbers, lines = _lines(batch)
+            worded = np.flatnonzero(pc.greater(pc.binary_length(pc.ascii_trim_whitespace(lines)), 0).to_numpy(zero_copy_only=False))
+            ends = np.searchsorted(rows[worded], np.arange(batch.num_rows + 1))
+            yield pa.record_batch([batch["doc"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers[worded], pa.int32()))], names=["doc", "lines"])
 
-def without_repeated_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    numbered = _places(docs).mapInArrow(number, "doc long, lines array<int>").join(_kept_lines(docs, threshold, heavy), "doc", "left")
+    removed = F.when(F.col("kept").isNotNull(), F.array_except("lines", "kept")).otherwise(F.col("lines"))
+    return numbered.select(_named("doc").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"), removed.alias("removed_lines"))
+
+
+def without_repeated_lines(docs: DataFrame, threshold: float = 0.8, heavy: int = HEAVY) -> DataFrame:
     """The documents without the lines that match an earlier one; other columns as they are.
 
-    Documents that had words and lose all of them go; those that never had any stay.
+    Lines without words stay. Documents that had words and lose all of them go; those that never had any stay as they are.
     """
-    removed = removed_lines(docs, threshold).where(F.size("removed_lines") > 0)
-    removed = stored(removed.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__doc"), F.col("removed_lines").alias("__removed")), "removed")
-    given = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(removed, "__doc", "left")
-    lines = F.split(text_of("text"), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__removed")
-    text = F.array_join(F.transform(kept, lambda i: F.get(F.col("__lines"), i)), "\n")
-    changed = given.withColumn("__lines", F.when(F.col("__removed").isNotNull(), lines))
-    changed = changed.withColumn("text", F.when(F.col("__removed").isNotNull(), text).otherwise(F.col("text")))
-    return changed.where(F.col("__removed").isNull() | F.col("text").rlike(r"[^ \t\n\x0B\f\r]")).select(*docs.columns)
+    places = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    given = docs.withColumn("__doc", places).join(_kept_lines(docs, threshold, heavy).withColumnsRenamed({"doc": "__doc", "kept": "__kept"}), "__doc", "left")
+    given = given.select(*docs.columns, "__kept")
+    schema, at = docs.schema, docs.columns.index("text")
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, stays = [], []
+            for text, kept in zip(batch["text"].to_pylist(), batch["__kept"].to_pylist()):
+                kept, lines = set(kept or ()), (text or "").encode().split(b"\n")
+                left = [line for i, line in enumerate(lines) if i in kept or not line.split()]
+                texts.append(text if len(left) == len(lines) else b"\n".join(left).decode())
+                stays.append(bool(kept) or len(left) == len(lines))
+            rows = batch.drop_columns(["__kept"])
+            yield rows.set_column(at, "text", pa.array(texts, rows.schema.field("text").type)).filter(pa.array(stays, pa.bool_()))
+
+    return given.mapInArrow(rewrite, schema)

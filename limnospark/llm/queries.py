@@ -50,12 +50,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 @query
 def op3_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of every document (blank ones apart), how many stay, and the numbers of those that go."""
-    docs = table(spark, folder, "documents")
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().join(lines.removed_lines(docs), "doc_id", "left")
-    gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
-    n_lines = F.coalesce("n_lines", F.lit(0).cast("long"))
-    return found.select("doc_id", n_lines.alias("n_lines"), (n_lines - F.size(gone)).alias("n_kept"), gone.alias("removed_lines"))
+    """Lines with words of every document, how many stay, and the numbers of those that go."""
+    found = lines.removed_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", (F.col("n_lines") - F.size("removed_lines")).alias("n_kept"), "removed_lines")
 
 
 @query

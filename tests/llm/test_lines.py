@@ -56,15 +56,24 @@ SMALL, LARGE = [f"w{i}" for i in range(9)], [f"é{i}" for i in range(400)]
     ([(None, "first line\nother"), (1, "other\nFIRST line\nline first first\n\nnew"), (2, "word " * 100_000 + "\n" + " ".join(LARGE)), (7, " ".join(LARGE[:390]))], 0.8, 5),
 ])
 def test_against_all_pairs(spark, rows, threshold, heavy):
-    got = lines.line_matches(frame(spark, rows), threshold, heavy).collect()
-    assert {(r.doc_id, r.line): r.removed for r in got} == brute(rows, threshold)
-    sets = {(i, n): word_set(line) for i, text in rows for n, line in enumerate((text or "").split("\n"))}
-    for r in got:
-        assert r.removed == (r.match_line is not None)
-        if r.removed:
-            one, other = sets[r.doc_id, r.line], sets[r.match_doc, r.match_line]
-            assert len(one & other) >= threshold * len(one | other) - 1e-9
-            assert (r.match_doc is not None, r.match_doc or 0, r.match_line) < (r.doc_id is not None, r.doc_id or 0, r.line)
+    got = lines.removed_lines(frame(spark, rows), threshold, heavy).collect()
+    expected = brute(rows, threshold)
+    assert len(got) == len(rows)
+    assert {(r.doc_id, n) for r in got for n in r.removed_lines} == {place for place, gone in expected.items() if gone}
+    assert sum(r.n_lines for r in got) == len(expected) and all(r.removed_lines == sorted(r.removed_lines) for r in got)
+
+
+@pytest.mark.parametrize("heavy", [0, 5, 10**6])
+def test_pairs_name_matching_earlier_lines(spark, heavy):
+    rows = made(6, 60, LARGE, 20)
+    df = frame(spark, rows)
+    sets = lines.line_rows(df, lines.word_counts(df), 0.8, heavy).withColumn("open", F.lit(1))
+    found = lines.verified(df, lines.all_pairs(sets, 0.8).unionByName(lines.leader_pairs(sets, 0.8)).distinct(), 0.8).collect()
+    texts = {(i, n): word_set(line) for i, text in rows for n, line in enumerate(text.split("\n"))}
+    assert len(found) > 10
+    for r in found:
+        one, other = texts[r.doc, r.line], texts[r.a_doc, r.a_line]
+        assert (r.a_doc, r.a_line) < (r.doc, r.line) and len(one & other) >= 0.8 * len(one | other) - 1e-9
 
 
 def test_repeated_rows_share_their_places(spark):
