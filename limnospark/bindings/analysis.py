@@ -8,6 +8,7 @@ from limnospark.bindings.registry import iso, query, rnd, rounded, table
 from limnospark.operators import regression
 from limnospark.operators.choose import with_best_series
 from limnospark.plans import quality, section_profiles, stage_discharge
+from limnospark.sources import series
 
 GROUP = ("station_id", "instrument")
 # A measurement is an order line: station = supplier, stage = quantity, flow = price.
@@ -103,19 +104,25 @@ long AS (SELECT station_id, d, instrument, analysis_group, rank, q, 'manual' AS
 """
 
 
-def _matched(spark: SparkSession, sf: str) -> DataFrame:
+def _summary(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
-    summary = table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.concat(F.lit("p0"), F.expr("o_custkey div 3")).alias("station_id"), F.date_format(F.trunc("o_orderdate", "month"), "yyyyMMdd").alias("measurement_date"),
         F.lpad((k % 86400).cast("string"), 6, "0").alias("measurement_time"),
         F.when(F.col("o_orderstatus") == "O", " FlowTracker").when(F.col("o_orderstatus") == "F", "molinete").otherwise("nivus").alias("instrument"),
         F.col("o_totalprice").cast("string").alias("q_total_ls"), F.when(k % 3 != 0, F.col("o_totalprice") / 100).alias("depth_mean_m"), k.alias("run_id"))
-    deepest = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("run_id")).agg(F.max("l_quantity").alias("instrument_stage_max_m"))
+
+
+def _manual(spark: SparkSession, sf: str) -> DataFrame:
     month = F.add_months(F.to_date(F.lit("1997-01-01")), (F.col("c_custkey") % 2).cast("int"))
-    manual = table(spark, sf, "customer").select(
+    return table(spark, sf, "customer").select(
         F.concat(F.lit("P"), F.expr("c_custkey div 3")).alias("station_id"), month.alias("measurement_date"), F.col("c_acctbal").alias("manual_stage_m"))
-    df = stage_discharge.standardize(summary).join(deepest, "run_id", "left")
-    return stage_discharge.match_manual(df, manual)
+
+
+def _matched(spark: SparkSession, sf: str) -> DataFrame:
+    deepest = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("run_id")).agg(F.max("l_quantity").alias("instrument_stage_max_m"))
+    df = stage_discharge.standardize(_summary(spark, sf)).join(deepest, "run_id", "left")
+    return stage_discharge.match_manual(df, series.manual_stage(_manual(spark, sf)))
 
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,16 +162,59 @@ def stage_max_depth(spark: SparkSession, sf: str) -> DataFrame:
     return stage_discharge.max_stage(stage_discharge.standardize(points)).withColumn("measurement_date", iso("measurement_date"))
 
 
-@query("stage_log", STAGE_SQL + """,
+LOG_SQL = """,
 n AS (SELECT * FROM long WHERE stage IS NOT NULL AND q IS NOT NULL)
-SELECT 'rows_diagnostic' AS metric, count(*) AS value FROM a UNION ALL SELECT 'rows_matched', count(*) FROM j UNION ALL SELECT 'rows_analysis', count(*) FROM n
-UNION ALL SELECT 'manual_stage_matched', count(manual) FROM j UNION ALL SELECT 'manual_stage_missing', count(*) - count(manual) FROM j
-UNION ALL SELECT 'instrument.' || instrument, count(*) FROM j GROUP BY 1
+SELECT 'rows_diagnostic' AS metric, count(*) AS value FROM a UNION ALL SELECT 'rows_matched', count(*) FROM a UNION ALL SELECT 'rows_analysis', count(*) FROM n
+UNION ALL SELECT 'analysis_rows_input', count(*) FROM long UNION ALL SELECT 'analysis_rows_output', count(*) FROM n
+UNION ALL SELECT 'analysis_rows_removed_missing_required', (SELECT count(*) FROM long) - (SELECT count(*) FROM n)
+UNION ALL SELECT 'manual_stage_matched', count(manual) FROM a UNION ALL SELECT 'manual_stage_missing', count(*) - count(manual) FROM a
+UNION ALL SELECT 'analysis_group.' || analysis_group, count(*) FROM a GROUP BY 1
+UNION ALL SELECT 'instrument.' || instrument, count(*) FROM a GROUP BY 1
 UNION ALL SELECT 'analysis_stage_origin.' || CASE stage_type WHEN 'manual' THEN 'manual' ELSE 'instrument' END, count(*) FROM n GROUP BY 1
-UNION ALL SELECT 'analysis_stage_type.' || stage_type, count(*) FROM n GROUP BY 1""")
+UNION ALL SELECT 'analysis_stage_type.' || stage_type, count(*) FROM n GROUP BY 1"""
+
+
+@query("stage_log", STAGE_SQL + LOG_SQL)
 def stage_log(spark: SparkSession, sf: str) -> DataFrame:
     ranked = _ranked(spark, sf)
-    return stage_discharge.log_rows(ranked, _matched(spark, sf), stage_discharge.analysis_pairs(ranked))
+    return stage_discharge.log_rows(ranked, ranked, stage_discharge.pair_rows(ranked))
+
+
+# The whole run from the tables: the deepest point comes by station, day, time and instrument.
+RUN_SQL = STAGE_SQL.replace(
+    "deep AS (SELECT l_orderkey AS run_id, max(l_quantity) AS max_depth FROM lineitem GROUP BY 1)",
+    "deep AS (SELECT station_id, d, t, instrument, max(l_quantity) AS max_depth FROM lineitem JOIN s ON run_id = l_orderkey GROUP BY ALL)",
+).replace("LEFT JOIN deep USING (run_id)", "LEFT JOIN deep USING (station_id, d, t, instrument)")
+
+
+def _run(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    summary = _summary(spark, sf)
+    points = summary.join(table(spark, sf, "lineitem"), F.col("run_id") == F.col("l_orderkey")).select(
+        "station_id", "measurement_date", "measurement_time", "instrument", F.col("l_quantity").alias("depth_m"))
+    manual = series.manual_stage(_manual(spark, sf))
+    return stage_discharge.run(summary, points, manual, {
+        "instruments": {name: {"enabled": True} for name in ("flowtracker", "molinete", "nivus")},
+        "instrument_selection": {"ranking": ["nivus", "molinete"]}, "selection": {"points": "all", "depth_mode": "ambas"}})
+
+
+@query("stage_run_log", RUN_SQL + LOG_SQL)
+def stage_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    return _run(spark, sf)["log"]
+
+
+@query("stage_run_best", RUN_SQL + f""",
+n AS (SELECT station_id, analysis_group, instrument, stage_type, stage AS x, q AS y FROM long WHERE stage IS NOT NULL AND q IS NOT NULL),
+c AS (SELECT *, avg(x) OVER g AS mx FROM n WINDOW g AS (PARTITION BY station_id, analysis_group, instrument, stage_type)),
+f AS (SELECT station_id, analysis_group, instrument, stage_type, count(*) AS n_points, regr_slope(y, x) AS a, regr_intercept(y, x) AS b
+      FROM c GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3 AND var_pop(x) > 0)
+SELECT station_id, analysis_group, instrument, stage_type, n_points, {rnd('a', 3)} AS a, {rnd('b', 2)} AS b FROM f""")
+def stage_run_best(spark: SparkSession, sf: str) -> DataFrame:
+    """Straight lines of the whole run, for groups whose stages differ."""
+    out = _run(spark, sf)
+    keys = ["station_id", "analysis_group", "instrument", "stage_origin", "stage_type"]
+    moving = out["analysis_pairs"].groupBy(*keys).agg((F.max("stage_m") > F.min("stage_m")).alias("moves")).where("moves").drop("moves")
+    lines = out["fits"].where("model = 'poly1'").join(moving, keys)
+    return rounded(lines.select("station_id", "analysis_group", "instrument", "stage_type", "n_points", "a", "b"), {"a": 3, "b": 2})
 
 
 @query("stage_wide", f"""
