@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from limnospark.functions.numbers import coefficients_struct
 from limnospark.bindings.registry import iso, query, rnd, rounded, table
 from limnospark.operators import regression
 from limnospark.operators.choose import with_best_series
@@ -39,8 +40,9 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 @query("stage_fits", FIT_SQL + f"""
 SELECT station_id, instrument, model, n AS n_points, {rnd('a')} AS a, {rnd('b')} AS b, {rnd('c')} AS c FROM fits""")
 def stage_fits(spark: SparkSession, sf: str) -> DataFrame:
-    fits = stage_discharge.fit(_pairs(spark, sf), GROUP)["fits"].drop("coefficients")
-    return rounded(fits, {"a": 4, "b": 4, "c": 4})
+    fits = stage_discharge.fit(_pairs(spark, sf), GROUP)["fits"]
+    named = fits.select(*GROUP, "model", "n_points", coefficients_struct(F.col("coefficients")).alias("k"))
+    return rounded(named.select(*GROUP, "model", "n_points", "k.*"), {"a": 4, "b": 4, "c": 4})
 
 
 # Rows of the first two lines of an order carry no finite flow.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,15 +26,20 @@ def get_session(app_name: str = "limnospark", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def cut_lineage(df):
-    """Checkpoint into the shared folder the cluster names; only a local session gets its own."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in `spark.checkpoint.dir`; only a local session without it gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not folder and context.master.startswith("local"):
-        folder = os.path.join(tempfile.gettempdir(), "limnospark-checkpoints")
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="limnospark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def cut_lineage(df):
+    """Checkpoint into the shared folder the cluster names."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -179,7 +179,3 @@ def gauges_daily(frames: Sequence[DataFrame | None], instruments: Sequence[Mappi
     ).where(F.col("point").rlike(r"^\d+$"))
     order = [codes.get(T.source_key_text(code), str(code).upper()) for code in ranking]
     return best_source_daily(rows, ["point", "date"], "source", "q_gauge_ls", order)
-
-
-def default_ranking(configured: Sequence[str] | None, instruments: Sequence[Mapping]) -> list[str]:
-    return [str(c).upper() for c in configured] if configured else [str(i["code"]).upper() for i in instruments]

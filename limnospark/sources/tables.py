@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
-from limnospark.functions.text import file_name_metadata, point_token
+from limnospark.functions.text import point_token
 from limnospark.functions.dates import eight_digit_date
 from limnospark.operators.choose import latest_runs
 from limnospark.operators.groups import null_safe_join
@@ -141,10 +141,6 @@ def audit_tables(df: DataFrame, stage: str) -> DataFrame:
     ).withColumn("stage", F.lit(stage))
 
 
-def measurement_key(path: Column, group: str) -> Column:
-    return file_name_metadata(path, group)
-
-
 def pair_by_key(summary: DataFrame, points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Summary rows with a flag telling whether Points exist for the same measurement."""
     present = points.select(*keys).distinct().withColumn("has_points", F.lit(True))
