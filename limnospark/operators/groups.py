@@ -36,19 +36,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def _block(position: str, width: int) -> Column:
-    return F.coalesce(F.floor(F.col(position) / width), F.lit(0)).cast("bigint")
+    """Block of a position; missing positions have a block of their own, before all others."""
+    return F.coalesce(F.floor(F.col(position) / width), F.lit(-(1 << 62))).cast("bigint")
 
 
 def attach_group_values(
     df: DataFrame, keys: Sequence[str], position: str, values: Mapping[str, Column], width: int = BLOCK_POSITIONS
 ) -> DataFrame:
-    """Add per-group aggregates to every row. `position` is a dense row or line number."""
+    """Add per-group aggregates to every row. `position` is a row or line number, dense or not.
+
+    The aggregates meet the rows by group and block, for the blocks that occur.
+    """
     blocked = df.withColumn("__block", _block(position, width))
-    per_group = blocked.groupBy(*keys).agg(
-        F.min("__block").alias("__first"), F.max("__block").alias("__last"),
-        *[value.alias(name) for name, value in values.items()],
-    )
-    per_block = per_group.withColumn("__block", F.explode(F.sequence("__first", "__last"))).drop("__first", "__last")
+    per_group = blocked.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
+    per_block = null_safe_join(blocked.select(*keys, "__block").distinct(), per_group, keys)
     return null_safe_join(blocked, per_block, [*keys, "__block"], "left").drop("__block")
 
 
@@ -112,31 +113,20 @@ def join_group_table(
 
 
 def grouped_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "median", buckets: int = 1024,
-    min_rows: int = HOT_MIN_ROWS,
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "median", share: float = 0.0005, min_rows: int = HOT_MIN_ROWS
 ) -> DataFrame:
-    """Exact median per group: copies are counted first, then only the middle bucket is ordered.
+    """Exact median per group: copies are counted first, then only the values next to the middle are ordered.
 
-    Groups without any value get no row.
+    Approximate quantiles a `share` of the rows below and above the middle bound those, however the values
+    are spread. Groups without any value get no row.
     """
-    copies = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__w"))
-    )
-    spread = copies.groupBy(*keys).agg(
-        F.sum("__w").alias("__n"), F.count(F.lit(1)).alias("__distinct"),
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
-    )
-    placed = join_group_table(copies, spread, keys, "__distinct", ["__v"], min_rows).withColumn(
-        "__bucket",
-        F.coalesce(
-            F.least(
-                F.floor(F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * buckets),
-                F.lit(buckets - 1),
-            ),
-            F.lit(0),
-        ),
-    )
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    copies = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w"))
+    near = F.percentile_approx("__v", F.array(F.lit(0.5 - share), F.lit(0.5 + share)), F.lit(int(4 / share)))
+    bounds = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), near.alias("__near"))
+    sizes = copies.groupBy(*keys).agg(F.count(F.lit(1)).alias("__distinct"))
+    placed = join_group_table(copies, null_safe_join(sizes, bounds, keys), keys, "__distinct", ["__v"], min_rows).withColumn(
+        "__bucket", F.when(F.col("__v") < F.col("__near")[0], 0).when(F.col("__v") <= F.col("__near")[1], 1).otherwise(2)).drop("__near")
     filled = placed.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__bw"), F.first("__n").alias("__n"))
     order = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     low, high = F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1

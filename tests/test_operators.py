@@ -154,6 +154,24 @@ def test_alias_levels(spark):
 
 
 def test_stage_options():
-    assert stage_discharge.option("AMBAS", ("both",)) == "both" and stage_discharge.option("maxima", ("max",)) == "max"
-    with pytest.raises(ValueError):
-        stage_discharge.option("other", ("both",))
+    assert stage_discharge.option("depth_mode", "AMBAS") == "both" and stage_discharge.option("depth_mode", None) == "both"
+    assert stage_discharge.option("instrument_stage_mode", " máxima ") == "max" and stage_discharge.option("depth_mode", "instrumento") == "instrument"
+    for name, bad in (("depth_mode", "media"), ("instrument_stage_mode", "manual"), ("depth_mode", "x")):
+        with pytest.raises(ValueError, match=name):
+            stage_discharge.option(name, bad)
+
+
+def test_sparse_and_missing_positions_make_no_blocks_of_their_own(spark):
+    df = spark.createDataFrame([("a", 0, 1), ("a", 2_000_000_000, 2), ("a", None, 3), ("b", None, 4)], "k string, p long, v int")
+    out = groups.attach_group_values(df, ["k"], "p", {"total": F.sum("v")})
+    assert sorted((r.k, r.v, r.total) for r in out.collect()) == [("a", 1, 6), ("a", 2, 6), ("a", 3, 6), ("b", 4, 4)]
+    ranked = groups.rank_in_group(df, ["k"], "p", ["v"], size="n").collect()
+    assert sorted((r.k, r.v, r["rank"], r.n) for r in ranked) == [("a", 1, 2, 3), ("a", 2, 3, 3), ("a", 3, 1, 3), ("b", 4, 1, 1)]
+
+
+@pytest.mark.parametrize("min_rows", [1, 10**6])
+def test_median_with_a_far_outlier(spark, min_rows):
+    rows = [("a", float(i % 997)) for i in range(5_000)] + [("a", 1e18), ("b", 3.0), ("b", None), ("c", 1.0), ("c", 2.0), (None, 5.0), ("d", None)]
+    out = groups.grouped_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", min_rows=min_rows).collect()
+    values = sorted(v for k, v in rows if k == "a")
+    assert {r.k: r["median"] for r in out} == {"a": values[len(values) // 2], "b": 3.0, "c": 1.5, None: 5.0}
