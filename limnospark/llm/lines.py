@@ -33,27 +33,16 @@ COUNT_BITS = 20
 CHUNK = 1 << 17
 MERGED_AT_ONCE = 64
 FILTER_BITS = 23
-#: Occurrences from which a word is heavy: a lighter one's lines are few enough to be joined with each other.
-HEAVY = 512
+#: Occurrences above which a word is heavy, as so many times a count's mean and at least so many: a lighter word's lines
+#: are few enough to be joined with each other.
+HEAVY_TIMES, HEAVY_LEAST = 32, 512
 BATCH_BYTES = 8 << 20  # text worked on together by a task
 _ONE, _MIX = np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """Hashes of words met so far, `remember` at most."""
-
-    def __init__(self, remember: int = 400_000):
-        super().__init__()
-        self.remember = remember
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.remember:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_HASHES = _Hashes()
+_WIDEST = 256
+# Random weights of a word's bytes by their position, for two hashes that do not depend on each other.
+_WEIGHTS = np.random.default_rng(8).integers(0, 1 << 64, (2, _WIDEST), np.uint64) | _ONE
 
 
 def _places(docs: DataFrame) -> DataFrame:
@@ -88,11 +77,22 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     empty = pc.index(distinct, "").as_py()  # a text of blanks alone, or blanks at its ends
     if empty >= 0:
         owner, codes = owner[codes != empty], codes[codes != empty]
+        codes = codes - (codes > empty)
+        distinct = distinct.filter(pc.not_equal(distinct, ""))
     return owner, codes, distinct
 
 
 def _hashed(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+    """Two 64-bit hashes of each word: sums of its bytes by random weights, mixed; very wide words take the library's hash."""
+    starts, ends = (np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1][i : i + len(words)] for i in (0, 1))
+    sizes = (ends - starts).astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[starts[0] : ends[-1]].astype(np.uint64) + _ONE
+    position = np.minimum(np.arange(len(data)) - np.repeat(starts - starts[0], sizes), _WIDEST - 1)
+    result = np.stack([np.add.reduceat(data * weights[position], starts - starts[0]) for weights in _WEIGHTS])
+    for i in np.flatnonzero(sizes >= _WIDEST).tolist():
+        result[:, i] = [xxhash.xxh64_intdigest(words[i].as_py(), seed) for seed in (0, 1)]
+    result = (result ^ result >> np.uint64(32)) * _MIX
+    return result ^ result >> np.uint64(29)
 
 
 def _counted_at(hashes: np.ndarray) -> np.ndarray:
@@ -110,7 +110,9 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         total = np.zeros(size, np.int64)
         for batch in _slices(batches):
             _, codes, distinct = _words(batch["text"])
-            total += np.bincount(_counted_at(_hashed(distinct)), np.bincount(codes, minlength=len(distinct)), size).astype(np.int64)
+            if len(codes):
+                own = np.bincount(codes, minlength=len(distinct))
+                total += np.bincount(_counted_at(_hashed(distinct)[0]), own, size).astype(np.int64)
         part = TaskContext.get().partitionId()
         for chunk, at in enumerate(range(0, size, CHUNK)):
             yield pa.RecordBatch.from_pydict({"chunk": [chunk], "part": [part], "counts": [total[at : at + CHUNK].tobytes()]})
@@ -135,11 +137,11 @@ def prefix_length(size, threshold: float):
     return size - np.ceil(threshold * np.asarray(size) - 1e-9).astype(np.int64) + 1
 
 
-LINE_KIND = "doc long, line int, k1 long, k2 long, size int, bitmap long, light int, prefix array<int>"
+LINE_KIND = "doc long, line int, k1 long, k2 long, size int, bits1 long, bits2 long, light int, prefix array<int>"
 
 
 def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int) -> DataFrame:
-    """Each line with words: its place, 128 bits that stand for its set, size, bitmap, and its prefix.
+    """Each line with words: its place, 128 bits that stand for its set, size, a bitmap of 128 bits, and its prefix.
 
     The prefix holds 32 bits of each word's hash, the rarest first; from position `light` on its words are heavy.
     """
@@ -152,15 +154,15 @@ def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int)
             owner, codes, distinct = _words(lines)
             if not len(codes):
                 continue
-            hashes = _hashed(distinct)
-            seen = held.value[_counted_at(hashes)]
+            both = _hashed(distinct)
+            hashes, seen = both[0], held.value[_counted_at(both[0])]
             rarest = np.lexsort((hashes, seen))  # distinct words, the rarest first
             rank = np.empty(len(rarest), np.int64)
             rank[rarest] = np.arange(len(rarest))
             pairs = np.sort(owner * len(rarest) + rank[codes])  # each line's words in this order
             pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
             owner, word = np.divmod(pairs, len(rarest))
-            words, seen = hashes[rarest][word], seen[rarest][word]
+            words, others, seen = hashes[rarest][word], both[1][rarest][word], seen[rarest][word]
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             own, sizes = owner[starts], np.diff(np.concatenate([starts, [len(owner)]]))
             lengths = prefix_length(sizes, threshold)
@@ -169,19 +171,20 @@ def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int)
             ends = np.concatenate([[0], np.cumsum(lengths)])
             light = np.add.reduceat((in_prefix & (seen <= heavy)).astype(np.int32), starts)
             k1 = np.add.reduceat(words * _MIX, starts)
-            k2 = np.add.reduceat((words ^ words >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9), starts)
-            bitmap = np.bitwise_xor.reduceat(_ONE << (words >> np.uint64(58)), starts)
+            k2 = np.add.reduceat((others ^ others >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9), starts)
+            bit, half = _ONE << (words >> np.uint64(58)), (others >> np.uint64(63)).astype(bool)
+            bits1, bits2 = (np.bitwise_xor.reduceat(np.where(half == h, bit, np.uint64(0)), starts) for h in (False, True))
             prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[in_prefix].astype(np.uint32).view(np.int32)))
             yield pa.record_batch([
                 batch["doc"].take(pa.array(rows[own])), pa.array(numbers[own], pa.int32()), k1.view(np.int64), k2.view(np.int64),
-                pa.array(sizes, pa.int32()), bitmap.view(np.int64), pa.array(light, pa.int32()), prefix], names=names)
+                pa.array(sizes, pa.int32()), bits1.view(np.int64), bits2.view(np.int64), pa.array(light, pa.int32()), prefix], names=names)
 
     return _places(docs).mapInArrow(run, LINE_KIND)
 
 
 def _entries(sets: DataFrame, of_prefix: Column, first: Column, *more: str) -> DataFrame:
     """A row for each word of a prefix: the word, the line's place, its size and bitmap, and the word's position."""
-    kept = sets.select("doc", "line", "size", "bitmap", first.alias("first"), *more, F.posexplode(of_prefix).alias("at", "word"))
+    kept = sets.select("doc", "line", "size", "bits1", "bits2", first.alias("first"), *more, F.posexplode(of_prefix).alias("at", "word"))
     return kept.withColumn("at", F.col("at") + F.col("first")).drop("first")
 
 
@@ -191,7 +194,7 @@ def _may_match(a: str, b: str, threshold: float) -> Column:
     both, share = ca("size") + cb("size"), threshold / (1 + threshold)
     return (
         ((ca("doc") < cb("doc")) | ((ca("doc") == cb("doc")) & (ca("line") < cb("line"))))
-        & (F.bit_count(ca("bitmap").bitwiseXOR(cb("bitmap"))) <= both * F.lit(1 - 2 * share) + 1e-9)
+        & (F.bit_count(ca("bits1").bitwiseXOR(cb("bits1"))) + F.bit_count(ca("bits2").bitwiseXOR(cb("bits2"))) <= both * F.lit(1 - 2 * share) + 1e-9)
         & (F.least(ca("size"), cb("size")) >= F.greatest(ca("size"), cb("size")) * F.lit(threshold) - 1e-9)
         & (F.least(ca("size") - ca("at"), cb("size") - cb("at")) >= both * F.lit(share) - 1e-9)
     )
@@ -205,7 +208,7 @@ def _pairs(joined: DataFrame) -> DataFrame:
 def leader_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     """Lines with a heavy word in their prefix, against the earliest line of that word."""
     heavy = _entries(sets.where("light < size(prefix)"), F.expr("slice(prefix, light + 1, size(prefix))"), F.col("light"))
-    first = heavy.groupBy("word").agg(F.min(F.struct("doc", "line", "size", "bitmap", "at")).alias("first"))
+    first = heavy.groupBy("word").agg(F.min(F.struct("doc", "line", "size", "bits1", "bits2", "at")).alias("first"))
     first = stored(first.select("word", "first.*"), "leaders")
     met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold)
     return _pairs(first.alias("a").join(heavy.alias("b"), met))
@@ -290,10 +293,13 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     return first.unionByName(later.select("doc", "line", "a.*"))
 
 
-def _kept_places(docs: DataFrame, threshold: float, heavy: int) -> DataFrame:
+def _kept_places(docs: DataFrame, threshold: float, heavy: int | None) -> DataFrame:
     """(doc, line) of the lines with words that stay."""
-    first = F.min(F.struct("doc", "line", "size", "bitmap", "light", "prefix")).alias("first")
-    rows = line_rows(docs, word_counts(docs), threshold, heavy)
+    first = F.min(F.struct("doc", "line", "size", "bits1", "bits2", "light", "prefix")).alias("first")
+    counts = word_counts(docs)
+    if heavy is None:
+        heavy = max(HEAVY_LEAST, HEAVY_TIMES * int(counts.mean()))
+    rows = line_rows(docs, counts, threshold, heavy)
     sets = stored(rows.groupBy("k1", "k2").agg(first).select("first.*"), "sets")
     led = stored(verified(docs, leader_pairs(sets, threshold), threshold), "led")
     open_ = sets.join(led.select("doc", "line", F.lit(0).alias("open")), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
@@ -305,12 +311,12 @@ def _named(place: str) -> Column:
     return F.when(F.col(place) != NO_ID, F.col(place))
 
 
-def _kept_lines(docs: DataFrame, threshold: float, heavy: int) -> DataFrame:
+def _kept_lines(docs: DataFrame, threshold: float, heavy: int | None) -> DataFrame:
     """doc and the numbers of its lines with words that stay, for documents that keep one."""
     return stored(_kept_places(docs, threshold, heavy).groupBy("doc").agg(F.collect_set("line").alias("kept")), "kept")
 
 
-def removed_lines(docs: DataFrame, threshold: float = 0.8, heavy: int = HEAVY) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: float = 0.8, heavy: int | None = None) -> DataFrame:
     """doc_id, n_lines (its lines with words) and removed_lines (their numbers from 0, rising) of each document.
 
     Null texts count as empty, and lines without words do not count and never go. A null doc_id comes before all others.
@@ -330,7 +336,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, heavy: int = HEAVY) -
     return numbered.select(_named("doc").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"), removed.alias("removed_lines"))
 
 
-def without_repeated_lines(docs: DataFrame, threshold: float = 0.8, heavy: int = HEAVY) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, threshold: float = 0.8, heavy: int | None = None) -> DataFrame:
     """The documents without the lines that match an earlier one; other columns as they are.
 
     Lines without words stay. Documents that had words and lose all of them go; those that never had any stay as they are.

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,7 +95,8 @@ def test_texts_without_repeated_lines(spark):
 def test_counts_of_words(spark):
     rows = [(i, "one two two\nThree " + "x" * (i % 7)) for i in range(300)]
     total = lines.word_counts(frame(spark, rows).repartition(130))
-    at = {w: lines._HASHES[w.encode()] % (1 << lines.COUNT_BITS) for w in ("one", "two", "three")}
+    names = ["one", "two", "three"]
+    at = dict(zip(names, lines._counted_at(lines._hashed(pa.array(names))[0]).tolist()))
     assert [int(total[at[w]]) for w in ("one", "two", "three")] == [300, 600, 300]
     assert int(total.sum()) == sum(len(t.split()) for _, t in rows)
 
@@ -120,3 +122,10 @@ def test_query(spark):
     assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
     assert {(r.doc_id, n) for r in got for n in r.removed_lines} == {p for p, gone in expected.items() if gone}
     assert sum(r.n_lines for r in got) == len(expected) and sum(r.n_kept for r in got) == sum(not x for x in expected.values())
+
+
+def test_hashes_of_words():
+    names = [f"{a}{b}" for a in ("x", "é", "日本", "") for b in range(3000)] + ["w" * n for n in (255, 256, 257, 5000)] + ["w" * 255 + "v" * 9]
+    found = lines._hashed(pa.array(names))
+    assert found.shape == (2, len(names)) and all(len(set(row.tolist())) == len(names) for row in found)
+    assert (lines._hashed(pa.array(["out", *names, "out"]).slice(1, len(names))) == found).all()
