@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app_name: str = "limnospark", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,6 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, so that what follows does not compute it again."""
+    folder = f"{shared_folder(df.sparkSession)}/limnospark-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def cut_lineage(df):
     """Checkpoint into the shared folder the cluster names."""
     context = df.sparkSession.sparkContext
