@@ -2,45 +2,37 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from limnospark.session import shared_folder, written as stored
+
+__all__ = ["NO_ID", "documents", "in_id_order", "named", "new_folder", "open_folder", "partitions", "stored", "text_of"]
 
 # Stands for a missing doc_id where rows are dealt out by it: the smallest long.
 NO_ID = -(1 << 63)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in `spark.checkpoint.dir`; only a local session without it gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="limnospark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/limnospark-{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: what follows survives lost executors
-    and does not run `df` again."""
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a shared folder and the path in it, as seen from any task."""
     return fs.FileSystem.from_uri(folder)
 
 
+def named(system: fs.FileSystem, draft: str, name: str) -> None:
+    """Give a finished file its name; one that an earlier try of the task has left is replaced."""
+    try:
+        system.move(draft, name)
+    except OSError:  # not every file system moves onto a file
+        system.delete_file(name)
+        system.move(draft, name)
+
+
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """`doc_id` as long, `text` with null as empty, and the columns named; other columns do not matter."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"), *more)

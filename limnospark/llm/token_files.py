@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from limnospark.llm.encoding import encoder
-from limnospark.llm.shared import documents, in_id_order, new_folder, open_folder, partitions, stored
+from limnospark.llm.shared import documents, in_id_order, named, new_folder, open_folder, partitions, stored
 
 BATCH_ROWS = 256
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -78,7 +78,7 @@ class _Writer:
             file.close()
             sink.close()
         for draft, name in zip(self._drafts, self._names):
-            self._system.move(draft, f"{self._folder}/{name}")
+            named(self._system, draft, f"{self._folder}/{name}")
         return self._names
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from limnospark.llm.shared import new_folder, open_folder, partitions, stored, text_of
+from limnospark.llm.shared import named, new_folder, open_folder, partitions, stored, text_of
 
 # Signatures of the ZIP format.
 LOCAL_HEADER, DIRECTORY_ENTRY, DIRECTORY_END = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06"
@@ -158,7 +158,7 @@ class _ArchiveWriter:
         self._zip.writestr(INDEX, "\n".join(self._index))
         self._zip.close()
         self._sink.close()
-        self._system.move(self._draft, self._name)
+        named(self._system, self._draft, self._name)
         return len(self._index)
 
 
