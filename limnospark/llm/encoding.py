@@ -36,7 +36,7 @@ class Encoder(dict):
     model, since the vocabulary's own split leaves it whole; every other piece takes the library's full path.
     """
 
-    def __init__(self, path: str, remember: int = 800_000):
+    def __init__(self, path: str, remember: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__()

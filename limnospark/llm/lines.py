@@ -27,7 +27,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from limnospark.llm.shared import NO_ID, stored, text_of
+from limnospark.llm.shared import NO_ID, release_memory, stored, text_of
 
 COUNT_BITS = 20
 CHUNK = 1 << 17
@@ -36,7 +36,7 @@ FILTER_BITS = 23
 #: Occurrences above which a word is heavy, as so many times a count's mean and at least so many: a lighter word's lines
 #: are few enough to be joined with each other.
 HEAVY_TIMES, HEAVY_LEAST = 32, 512
-BATCH_BYTES = 8 << 20  # text worked on together by a task
+BATCH_BYTES = 4 << 20  # text worked on together by a task
 _ONE, _MIX = np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,6 +58,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             upto = max(at + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
             yield batch.slice(at, upto - at)
             at = upto
+    release_memory()
 
 
 def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:

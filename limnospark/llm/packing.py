@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from limnospark.llm.encoding import encoder
-from limnospark.llm.shared import documents, in_id_order
+from limnospark.llm.shared import documents, in_id_order, release_memory
 
 # Ids that a cut is worth: one sequence more, a cut inside a document, a cut inside a sentence.
 SEQUENCE_COST, SENTENCE_COST, WORD_COST = 2.0, 8.0, 48.0
@@ -165,5 +165,6 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0,
                     ids = np.append(encode.encode(text), np.uint32(end_id))
                     yield from stream.add(doc_id, ids)
         yield from stream.rest()
+        release_memory()
 
     return in_id_order(documents(docs)).mapInArrow(run, RESULT)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from limnospark.llm.shared import documents, stored
+from limnospark.llm.shared import documents, release_memory, stored
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SAME = np.uint64(1)  # stands for every pair of equal words
@@ -32,7 +32,7 @@ _SAME = np.uint64(1)  # stands for every pair of equal words
 class _Hashes(dict):
     """Hashes of words met so far, `remember` at most."""
 
-    def __init__(self, remember: int = 1_000_000):
+    def __init__(self, remember: int = 100_000):
         super().__init__()
         self.remember = remember
 
@@ -152,5 +152,6 @@ def score_documents(docs: DataFrame, weights: np.ndarray, *keep: str, threshold:
         for batch in batches:
             scores = [score(*features(text.as_py() or "", bits), held.value) for text in batch["text"]]
             yield batch.select([field.name for field in kept]).append_column("score", pa.array(scores, pa.float64()))
+        release_memory()
 
     return given.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from limnospark.session import shared_folder, written as stored
 
-__all__ = ["NO_ID", "documents", "in_id_order", "named", "new_folder", "open_folder", "partitions", "stored", "text_of"]
+__all__ = ["NO_ID", "documents", "in_id_order", "named", "new_folder", "open_folder", "partitions", "release_memory", "stored", "text_of"]
 
 # Stands for a missing doc_id where rows are dealt out by it: the smallest long.
 NO_ID = -(1 << 63)
@@ -42,6 +44,14 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system at the end of a task: Python workers live on and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """Number of shuffle partitions, which the cluster sets for the size of its input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from limnospark.llm.components import components
-from limnospark.llm.shared import documents, stored
+from limnospark.llm.shared import documents, release_memory, stored
 
 SEED = 42
 # Fixed value: the Golay code's generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
         for batch in batches:
             values = np.array([fingerprint(text.as_py(), words) for text in batch["text"]], np.uint64)
             yield pa.record_batch([batch["doc_id"], values.view(np.int64)], names=["doc_id", "fp"])
+        release_memory()
 
     return documents(docs).mapInArrow(run, "doc_id long, fp long")
 
