@@ -18,7 +18,7 @@ word; the full join then asks only for lines still open. Heavy or not, every pai
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +101,20 @@ def _counted_at(hashes: np.ndarray) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences of words by the low `COUNT_BITS` bits of their hashes, over all documents.
+    """Occurrences of words by the low `COUNT_BITS` bits of their hashes, over all documents."""
+    size = 1 << COUNT_BITS
+
+    def own(batch: pa.RecordBatch) -> np.ndarray:
+        _, codes, distinct = _words(batch["text"])
+        if not len(codes):
+            return np.zeros(size, np.int64)
+        return np.bincount(_counted_at(_hashed(distinct)[0]), np.bincount(codes, minlength=len(distinct)), size).astype(np.int64)
+
+    return counts_of(_places(docs), own)
+
+
+def counts_of(docs: DataFrame, own: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """Sum of the tables of 2 ** `COUNT_BITS` counts that `own` makes of parts of the column text.
 
     Each task sends its table in a few chunks, which are added up `MERGED_AT_ONCE` at a time.
     """
@@ -110,10 +123,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in _slices(batches):
-            _, codes, distinct = _words(batch["text"])
-            if len(codes):
-                own = np.bincount(codes, minlength=len(distinct))
-                total += np.bincount(_counted_at(_hashed(distinct)[0]), own, size).astype(np.int64)
+            total += own(batch)
         part = TaskContext.get().partitionId()
         for chunk, at in enumerate(range(0, size, CHUNK)):
             yield pa.RecordBatch.from_pydict({"chunk": [chunk], "part": [part], "counts": [total[at : at + CHUNK].tobytes()]})
@@ -123,7 +133,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         return pa.table({"chunk": [table["chunk"][0].as_py()], "part": [table["part"][0].as_py() // MERGED_AT_ONCE], "counts": [counts.tobytes()]})
 
     kind = "chunk long, part long, counts binary"
-    parts = stored(_places(docs).select("text").mapInArrow(count, kind), "counts")
+    parts = stored(docs.select("text").mapInArrow(count, kind), "counts")
     while (parts.agg(F.max("part")).first()[0] or 0) > 0:
         group = F.expr(f"part div {MERGED_AT_ONCE}").alias("group")
         parts = stored(parts.groupBy("chunk", group).applyInArrow(merge, kind), "counts")
