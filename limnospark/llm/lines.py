@@ -1,8 +1,8 @@
 """Removal of lines that repeat an earlier line: an exact set-similarity join with prefix, position and length filters.
 
 A line is the set of its words; two lines match if the Jaccard similarity of their sets is at least the
-threshold. A line goes if any line at an earlier place (doc_id, then line number) matches it, whether that one stays or not, so
-the result does not depend on how the work is dealt.
+threshold. A line goes if any line at an earlier place (doc_id, then a hash of the whole text for rows that share an
+id or have none, then line number) matches it, whether that one stays or not, so the result does not depend on how the work is dealt.
 
 Words are put in one order, the rarest first. Two sets of sizes x and y that match share at least
 a = ceil(t / (1 + t) * (x + y)) words, so they share one among the first x - ceil(t x) + 1 of either: only these prefixes are
@@ -46,7 +46,16 @@ _WEIGHTS = np.random.default_rng(8).integers(0, 1 << 64, (2, _WIDEST), np.uint64
 
 
 def _places(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_of("text").alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), _tie(), text_of("text").alias("text"))
+
+
+def _tie() -> Column:
+    """Tells rows of one doc_id, or of none, apart by their texts."""
+    return F.xxhash64(text_of("text")).alias("tie")
+
+
+#: A line's place, and that of a line it may match.
+PLACE, A_PLACE = ["doc", "tie", "line"], ["a_doc", "a_tie", "a_line"]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +157,7 @@ def prefix_length(size, threshold: float):
     return size - np.ceil(threshold * np.asarray(size) - 1e-9).astype(np.int64) + 1
 
 
-LINE_KIND = "doc long, line int, k1 long, k2 long, size int, bits1 long, bits2 long, light int, prefix array<int>"
+LINE_KIND = "doc long, tie long, line int, k1 long, k2 long, size int, bits1 long, bits2 long, light int, prefix array<int>"
 
 
 def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int) -> DataFrame:
@@ -187,7 +196,7 @@ def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int)
             bits1, bits2 = (np.bitwise_xor.reduceat(np.where(half == h, bit, np.uint64(0)), starts) for h in (False, True))
             prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[in_prefix].astype(np.uint32).view(np.int32)))
             yield pa.record_batch([
-                batch["doc"].take(pa.array(rows[own])), pa.array(numbers[own], pa.int32()), k1.view(np.int64), k2.view(np.int64),
+                batch["doc"].take(pa.array(rows[own])), batch["tie"].take(pa.array(rows[own])), pa.array(numbers[own], pa.int32()), k1.view(np.int64), k2.view(np.int64),
                 pa.array(sizes, pa.int32()), bits1.view(np.int64), bits2.view(np.int64), pa.array(light, pa.int32()), prefix], names=names)
 
     return _places(docs).mapInArrow(run, LINE_KIND)
@@ -195,7 +204,7 @@ def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int)
 
 def _entries(sets: DataFrame, of_prefix: Column, first: Column, *more: str) -> DataFrame:
     """A row for each word of a prefix: the word, the line's place, its size and bitmap, and the word's position."""
-    kept = sets.select("doc", "line", "size", "bits1", "bits2", first.alias("first"), *more, F.posexplode(of_prefix).alias("at", "word"))
+    kept = sets.select(*PLACE, "size", "bits1", "bits2", first.alias("first"), *more, F.posexplode(of_prefix).alias("at", "word"))
     return kept.withColumn("at", F.col("at") + F.col("first")).drop("first")
 
 
@@ -204,7 +213,8 @@ def _may_match(a: str, b: str, threshold: float) -> Column:
     ca, cb = (lambda name: F.col(f"{a}.{name}")), (lambda name: F.col(f"{b}.{name}"))
     both, share = ca("size") + cb("size"), threshold / (1 + threshold)
     return (
-        ((ca("doc") < cb("doc")) | ((ca("doc") == cb("doc")) & (ca("line") < cb("line"))))
+        ((ca("doc") < cb("doc")) | ((ca("doc") == cb("doc")) & (
+            (ca("tie") < cb("tie")) | ((ca("tie") == cb("tie")) & (ca("line") < cb("line"))))))
         & (F.bit_count(ca("bits1").bitwiseXOR(cb("bits1"))) + F.bit_count(ca("bits2").bitwiseXOR(cb("bits2"))) <= both * F.lit(1 - 2 * share) + 1e-9)
         & (F.least(ca("size"), cb("size")) >= F.greatest(ca("size"), cb("size")) * F.lit(threshold) - 1e-9)
         & (F.least(ca("size") - ca("at"), cb("size") - cb("at")) >= both * F.lit(share) - 1e-9)
@@ -212,14 +222,13 @@ def _may_match(a: str, b: str, threshold: float) -> Column:
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(
-        F.col("b.doc").alias("doc"), F.col("b.line").alias("line"), F.col("a.doc").alias("a_doc"), F.col("a.line").alias("a_line")).distinct()
+    return joined.select(*(F.col(f"b.{c}").alias(c) for c in PLACE), *(F.col(f"a.{c}").alias(f"a_{c}") for c in PLACE)).distinct()
 
 
 def leader_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     """Lines with a heavy word in their prefix, against the earliest line of that word."""
     heavy = _entries(sets.where("light < size(prefix)"), F.expr("slice(prefix, light + 1, size(prefix))"), F.col("light"))
-    first = heavy.groupBy("word").agg(F.min(F.struct("doc", "line", "size", "bits1", "bits2", "at")).alias("first"))
+    first = heavy.groupBy("word").agg(F.min(F.struct(*PLACE, "size", "bits1", "bits2", "at")).alias("first"))
     first = stored(first.select("word", "first.*"), "leaders")
     met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold)
     return _pairs(first.alias("a").join(heavy.alias("b"), met))
@@ -236,9 +245,10 @@ def all_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     return _pairs(entries.alias("a").join(entries.alias("b"), met))
 
 
-def _marks(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
+def _marks(docs: np.ndarray, lines: np.ndarray, ties: np.ndarray | None = None) -> np.ndarray:
     """A line's place in the filter."""
-    mixed = docs.astype(np.uint64) * _MIX + lines.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    docs = docs.astype(np.uint64) if ties is None else docs.astype(np.uint64) ^ (ties.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
+    mixed = docs * _MIX + lines.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     return (mixed ^ mixed >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - FILTER_BITS)
 
 
@@ -248,7 +258,8 @@ def _filter_of(places: DataFrame) -> np.ndarray:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            bits[_marks(batch["doc"].to_numpy(), batch["line"].to_numpy())] = True
+            ties = batch["tie"].to_numpy() if "tie" in batch.schema.names else None
+            bits[_marks(batch["doc"].to_numpy(), batch["line"].to_numpy(), ties)] = True
         at = np.flatnonzero(bits)
         words = np.zeros(1 << FILTER_BITS - 6, np.uint64)
         np.bitwise_or.at(words, at >> 6, _ONE << (at & 63).astype(np.uint64))
@@ -272,50 +283,49 @@ def _lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             rows, numbers, lines = _lines(batch)
-            kept = np.flatnonzero(held.value[_marks(batch["doc"].to_numpy()[rows], numbers)])
+            kept = np.flatnonzero(held.value[_marks(batch["doc"].to_numpy()[rows], numbers, batch["tie"].to_numpy()[rows])])
             if len(kept):
                 texts = pc.ascii_trim_whitespace(pc.ascii_lower(lines.take(pa.array(kept))))
-                yield pa.record_batch([batch["doc"].take(pa.array(rows[kept])), pa.array(numbers[kept], pa.int32()), texts], names=["doc", "line", "text"])
+                yield pa.record_batch([*(batch[c].take(pa.array(rows[kept])) for c in ("doc", "tie")), pa.array(numbers[kept], pa.int32()), texts], names=[*PLACE, "text"])
 
-    return stored(_places(docs).mapInArrow(read, "doc long, line int, text string"), "texts")
+    return stored(_places(docs).mapInArrow(read, "doc long, tie long, line int, text string"), "texts")
 
 
 def _matching(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose words match."""
-    joined = pairs.join(texts, ["doc", "line"]).join(
-        texts.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("text").alias("a_text")), ["a_doc", "a_line"])
-    sets = joined.select("doc", "line", "a_doc", "a_line", *(F.array_distinct(F.split(c, "[ \\t\\n\\x0B\\f\\r]+")).alias(c) for c in ("text", "a_text")))
+    joined = pairs.join(texts, PLACE).join(texts.select(*(F.col(c).alias(f"a_{c}") for c in (*PLACE, "text"))), A_PLACE)
+    sets = joined.select(*PLACE, *A_PLACE, *(F.array_distinct(F.split(c, "[ \\t\\n\\x0B\\f\\r]+")).alias(c) for c in ("text", "a_text")))
     shared = F.size(F.array_intersect("text", "a_text"))
-    return sets.where(shared >= (F.size("text") + F.size("a_text") - shared) * F.lit(threshold) - 1e-9).select("doc", "line", "a_doc", "a_line")
+    return sets.where(shared >= (F.size("text") + F.size("a_text") - shared) * F.lit(threshold) - 1e-9).select(*PLACE, *A_PLACE)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(doc, line, a_doc, a_line): each line that matches the other line of one of its pairs, with one such line.
+    """`PLACE` and `A_PLACE`: each line that matches the other line of one of its pairs, with one such line.
 
     A line's earliest partner is tried first, which mostly decides it, and the others only if that one does not match.
     """
     pairs = stored(pairs, "pairs")
-    places = pairs.select("doc", "line").unionByName(pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"))).distinct()
+    places = pairs.select(*PLACE).unionByName(pairs.select(*(F.col(f"a_{c}").alias(c) for c in PLACE))).distinct()
     texts = _lines_at(docs, places)
-    first = pairs.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a")).select("doc", "line", "a.*")
+    first = pairs.groupBy(*PLACE).agg(F.min(F.struct(*A_PLACE)).alias("a")).select(*PLACE, "a.*")
     first = stored(_matching(first, texts, threshold), "first")
-    others = stored(pairs.join(first.select("doc", "line"), ["doc", "line"], "left_anti"), "others")
-    later = _matching(others, texts, threshold).groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a"))
-    return first.unionByName(later.select("doc", "line", "a.*"))
+    others = stored(pairs.join(first.select(*PLACE), PLACE, "left_anti"), "others")
+    later = _matching(others, texts, threshold).groupBy(*PLACE).agg(F.min(F.struct(*A_PLACE)).alias("a"))
+    return first.unionByName(later.select(*PLACE, "a.*"))
 
 
 def _kept_places(docs: DataFrame, threshold: float, heavy: int | None) -> DataFrame:
-    """(doc, line) of the lines with words that stay."""
-    first = F.min(F.struct("doc", "line", "size", "bits1", "bits2", "light", "prefix")).alias("first")
+    """Places of the lines with words that stay."""
+    first = F.min(F.struct(*PLACE, "size", "bits1", "bits2", "light", "prefix")).alias("first")
     counts = word_counts(docs)
     if heavy is None:
         heavy = max(HEAVY_LEAST, HEAVY_TIMES * int(counts.mean()))
     rows = line_rows(docs, counts, threshold, heavy)
     sets = stored(rows.groupBy("k1", "k2").agg(first).select("first.*"), "sets")
     led = stored(verified(docs, leader_pairs(sets, threshold), threshold), "led")
-    open_ = sets.join(led.select("doc", "line", F.lit(0).alias("open")), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
+    open_ = sets.join(led.select(*PLACE, F.lit(0).alias("open")), PLACE, "left").withColumn("open", F.coalesce("open", F.lit(1)))
     found = led.unionByName(verified(docs, all_pairs(open_, threshold), threshold))
-    return sets.select("doc", "line").join(stored(found.select("doc", "line").distinct(), "found"), ["doc", "line"], "left_anti")
+    return sets.select(*PLACE).join(stored(found.select(*PLACE).distinct(), "found"), PLACE, "left_anti")
 
 
 def _named(place: str) -> Column:
@@ -323,16 +333,17 @@ def _named(place: str) -> Column:
 
 
 def _kept_lines(docs: DataFrame, threshold: float, heavy: int | None) -> DataFrame:
-    """doc and the numbers of its lines with words that stay, for documents that keep one."""
-    return stored(_kept_places(docs, threshold, heavy).groupBy("doc").agg(F.collect_set("line").alias("kept")), "kept")
+    """doc, tie and the numbers of its lines with words that stay, for documents that keep one."""
+    return stored(_kept_places(docs, threshold, heavy).groupBy("doc", "tie").agg(F.collect_set("line").alias("kept")), "kept")
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8, heavy: int | None = None) -> DataFrame:
     """doc_id, n_lines (its lines with words) and removed_lines (their numbers from 0, rising) of each document.
 
     Null texts count as empty, and lines without words do not count and never go. A null doc_id comes before all others.
-    Rows that share a doc_id are one place: their lines with one number are judged alike, and each row gets a result of its
-    own. An empty table gives no rows.
+    Rows that share a doc_id and have different texts are documents of their own, in the order of a hash of the text; with the same
+    text they are one document repeated, and each gets its result. Rows of one text without an id are documents of
+    their own too: all but one lose all their lines. An empty table gives no rows.
     """
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,20 +351,27 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, heavy: int | None = N
             rows, numbers, lines = _lines(batch)
             worded = np.flatnonzero(pc.greater(pc.binary_length(pc.ascii_trim_whitespace(lines)), 0).to_numpy(zero_copy_only=False))
             ends = np.searchsorted(rows[worded], np.arange(batch.num_rows + 1))
-            yield pa.record_batch([batch["doc"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers[worded], pa.int32()))], names=["doc", "lines"])
+            yield pa.record_batch([batch["doc"], batch["tie"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers[worded], pa.int32()))], names=["doc", "tie", "lines"])
 
-    numbered = _places(docs).mapInArrow(number, "doc long, lines array<int>").join(_kept_lines(docs, threshold, heavy), "doc", "left")
-    removed = F.when(F.col("kept").isNotNull(), F.array_except("lines", "kept")).otherwise(F.col("lines"))
-    return numbered.select(_named("doc").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"), removed.alias("removed_lines"))
+    numbered = _places(docs).mapInArrow(number, "doc long, tie long, lines array<int>")
+    texts = numbered.groupBy("doc", "tie").agg(F.first("lines").alias("lines"), F.count("*").alias("rows"))
+    rows = texts.join(_kept_lines(docs, threshold, heavy), ["doc", "tie"], "left").withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    stays = F.col("kept").isNotNull() & ((F.col("doc") != NO_ID) | (F.col("row") == 1))
+    removed = F.when(stays, F.array_except("lines", "kept")).otherwise(F.col("lines"))
+    return rows.select(_named("doc").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"), removed.alias("removed_lines"))
 
 
 def without_repeated_lines(docs: DataFrame, threshold: float = 0.8, heavy: int | None = None) -> DataFrame:
     """The documents without the lines that match an earlier one; other columns as they are.
 
     Lines without words stay. Documents that had words and lose all of them go; those that never had any stay as they are.
+    Rows that share a doc_id, or have none, are told apart as in `removed_lines`.
     """
     places = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    given = docs.withColumn("__doc", places).join(_kept_lines(docs, threshold, heavy).withColumnsRenamed({"doc": "__doc", "kept": "__kept"}), "__doc", "left")
+    copies = F.col("doc_id").isNull() & text_of("text").rlike("[^ \\t\\n\\x0B\\f\\r]")  # each after the first loses all its words
+    own = docs.where(~copies).unionByName(docs.where(copies).dropDuplicates(["text"]))
+    kept = _kept_lines(docs, threshold, heavy).withColumnsRenamed({"doc": "__doc", "tie": "__tie", "kept": "__kept"})
+    given = own.withColumn("__doc", places).withColumn("__tie", _tie()).join(kept, ["__doc", "__tie"], "left")
     given = given.select(*docs.columns, "__kept")
     schema, at = docs.schema, docs.columns.index("text")
 

@@ -1,9 +1,11 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from limnospark.llm import lines
@@ -129,3 +131,39 @@ def test_hashes_of_words():
     found = lines._hashed(pa.array(names))
     assert found.shape == (2, len(names)) and all(len(set(row.tolist())) == len(names) for row in found)
     assert (lines._hashed(pa.array(["out", *names, "out"]).slice(1, len(names))) == found).all()
+
+
+SHARED = ([(None, "intro one\nd e f g h"), (None, "d e f g\nunique clean line"), (None, "same text\nagain"), (None, "same text\nagain"), (None, "same text\nagain"), (None, " "), (None, " ")]
+          + [(5, "one line of five words\nmore"), (5, "other words in here\none line of five words"), (5, "one line of five words\nthird"), (6, "third\nlast")]
+          + [(None if i % 3 else i % 2, text) for i, text in made(7, 40, SMALL, 8)])
+
+
+def brute_rows(rows, threshold):
+    """doc_id, text and removed lines of each row: places are id, hash of the text, and copy of a text without an id."""
+    seen, places, keys = Counter(), [], []
+    for doc, text in rows:
+        tie = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        tie -= (tie >> 63) << 64
+        keys.append((-(2**63) if doc is None else doc, tie, seen[text] if doc is None else 0))
+        seen[text] += doc is None
+        places += [(keys[-1], n, word_set(line)) for n, line in enumerate((text or "").split("\n")) if word_set(line)]
+    result = []
+    for key, (doc, text) in zip(keys, rows):
+        gone = [n for k, n, w in places if k == key and any((k2, n2) < (k, n) and len(w & w2) >= threshold * len(w | w2) - 1e-9 for k2, n2, w2 in places)]
+        result.append((doc, text, sorted(set(gone))))
+    return result
+
+
+def test_rows_without_ids_or_with_one_id(spark):
+    expected = brute_rows(SHARED, 0.8)
+    got = lines.removed_lines(frame(spark, SHARED), 0.8, 5).collect()
+    assert Counter((r.doc_id, r.n_lines, tuple(r.removed_lines)) for r in got) == Counter(
+        (doc, sum(bool(word_set(x)) for x in text.split("\n")), tuple(gone)) for doc, text, gone in expected)
+    left = Counter()
+    for doc, text, gone in expected:
+        own = text.split("\n")
+        stay = [x for n, x in enumerate(own) if n not in gone]
+        if not gone or any(word_set(x) for x in stay):
+            left[doc, "\n".join(stay)] += 1
+    assert Counter((r.doc_id, r.text) for r in lines.without_repeated_lines(frame(spark, SHARED), 0.8, 5).collect()) == left
+    assert left[None, "intro one\nd e f g h"] + left[None, "d e f g\nunique clean line"] >= 1
