@@ -29,9 +29,9 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """Ids of whole texts without special tokens, as the library gives them.
+    """Ids of whole texts, as the library gives them without adding special tokens.
 
-    Each distinct piece between white space goes to the library once; as a dictionary, the encoder holds the
+    Texts are parted at the vocabulary's added tokens, such as "<|endoftext|>", which are ids of their own. Each distinct piece between white space goes to the library once; as a dictionary, the encoder holds the
     ids of pieces met so far, `remember` at most. A word of letters alone goes straight to the library's
     model, since the vocabulary's own split leaves it whole; every other piece takes the library's full path.
     """
@@ -41,7 +41,11 @@ class Encoder(dict):
 
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._added = {token.content: array("I", [i]).tobytes() for i, token in added.items() if token.content}
+        self._marks = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")  # the longest counts
+        # tokens that take blanks with them, or are words only, are left to the library
+        self._plain = not any(token.lstrip or token.rstrip or token.single_word for token in added.values())
         self._split = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
         self._blank = self._letters[32]
@@ -55,7 +59,12 @@ class Encoder(dict):
         """The ids as native unsigned 32-bit integers."""
         if len(self) > self._remember:
             self.clear()
-        return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+        if not self._added or not self._marks.search(text):
+            return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+        if not self._plain:
+            return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = self._marks.split(text)  # every second one is an added token
+        return b"".join(self._added[part] if i % 2 else b"".join(map(self.__getitem__, _PIECES.findall(part))) for i, part in enumerate(parts))
 
     def __missing__(self, piece: str) -> bytes:
         word = piece.rstrip(_MARKS)

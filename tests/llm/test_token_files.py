@@ -64,3 +64,12 @@ def test_query(spark):
         assert row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
     assert len(got) == len(docs)
+
+
+def test_texts_with_an_added_token(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "after")]
+    fresh = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = [[*fresh.encode(text, add_special_tokens=False).ids, 2] for _, text in rows]
+    got = sorted(token_files.read_tokens(token_files.write_tokens(frame(spark, rows), VOCABULARY)).collect(), key=lambda r: r.doc_id)
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == expected
+    assert [r.start for r in got] == [0, 5, 8]
