@@ -86,7 +86,8 @@ def read_text_csv(spark: SparkSession, path: str, names: Sequence[str] | None =
 def csv_cells(line: Column, sep: str = ",") -> Column:
     """Cells of one CSV line; quoted cells may hold separators and doubled quotes, but no line breaks."""
     mark = re.escape(sep)
-    raw = F.regexp_extract_all(line, F.lit(f'(?:^|{mark})("(?:[^"]|"")*"|[^{mark}]*)'), F.lit(1))
+    # a separator in front of the first cell too: an empty match at the start would hide the second one
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f'{mark}("(?:[^"]|"")*"|[^{mark}]*)'), F.lit(1))
     return F.transform(raw, lambda cell: F.when(
         (F.length(cell) > 1) & cell.startswith('"') & cell.endswith('"'),
         F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))).otherwise(cell))

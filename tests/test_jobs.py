@@ -102,6 +102,15 @@ def test_each_csv_file_has_its_own_header(spark, tmp_path):
     assert sorted(tuple(r) for r in rows) == [("1", "2", ""), ('x, "y"', "3", "")]
 
 
+def test_csv_lines_that_begin_with_an_empty_cell(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(",a,b\n1,2,3\n,4,5\n,,6\n7,,\n")
+    (tmp_path / "2.csv").write_text('b,a\n,"x, ""y"""\n"",8\n')
+    rows = files.read_robust_csv(spark, str(tmp_path), ["a", "b"]).collect()
+    assert sorted(tuple(r) for r in rows) == sorted([("2", "3"), ("4", "5"), ("", "6"), ("", ""), ('x, "y"', ""), ("8", "")])
+    (tmp_path / "3.txt").write_text(";a|b\n|1;2\n")
+    assert [tuple(r) for r in files.read_robust_csv(spark, str(tmp_path / "3.txt"), [";a", "b"], "|").collect()] == [("", "1;2")]
+
+
 def test_written_tables_are_salted(spark, tmp_path):
     df = spark.range(20_000).selectExpr("if(id % 10 = 0, 'nivus', 'molinete') AS instrument", "id").repartition(16)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join such small parts
