@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from limnospark.llm import fingerprints, licenses, lines, mixing, packing, quality, simhash, token_files, top_k, warc
+from limnospark.llm import filter_audit, fingerprints, licenses, lines, mixing, packing, quality, runs, simhash, token_files, top_k, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,70 @@ WITH counted AS (
 SELECT doc_id, domain, lang, source, tokens, unnest(range(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END))::INTEGER AS epoch
 FROM placed
 """
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """`doc_id` and `text`; every tenth text by the hash of its id repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all(
+        "text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))).alias("words")).withColumn("n", F.size("words").cast("long"))
+    placed = chosen.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.greatest("n", F.lit(1)))).withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    changed = F.concat_ws(" ", F.transform("words", lambda word, i: F.when(i < F.col("a"), word).otherwise(
+        F.get("words", (F.col("a") + (i - F.col("a")) % F.greatest("p", F.lit(1))).cast("int")))))
+    return placed.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest run of every text, and digests of all its runs and of the text without their repeats."""
+    found = runs.find_runs(planted_runs(table(spark, folder, "documents")), "doc_id")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))))
+    rows = found.withColumn("longest", longest)
+    length, start, period = F.col("longest.length"), -F.col("longest.col2"), -F.col("longest.col3")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    found = filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.drop("filter")
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH known AS (SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),
+texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts),
+facts AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {'A': len(words) < 50, 'B': 100 * len(list_distinct(words)) < 65 * len(words),
+    'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(doc_id > first, first IS NOT NULL)} AS fails
+  FROM words LEFT JOIN known USING (doc_id)
+),
+counts AS (
+  SELECT part, fails.A::INTEGER + 2 * fails.B::INTEGER + 4 * fails.C::INTEGER + 8 * fails.D::INTEGER + 16 * fails.E::INTEGER AS failed,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM facts GROUP BY ALL
+),
+bits AS (SELECT unnest([1, 2, 4, 8, 16]) AS bit, unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM bits a, bits b, bits c, bits d, bits e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+steps AS (SELECT filter_order, s.step::INTEGER AS step, bits[s.step] AS bit, coalesce(list_sum(bits[:s.step - 1]), 0)::INTEGER AS done FROM orders, range(1, 6) s(step)),
+rows AS (
+  SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (failed & (done | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (failed & done = 0 AND failed & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (failed & done <> 0 AND failed & bit <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (failed = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (failed & done = 0 AND failed & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (failed & done = 0 AND failed & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (bit), sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM rows
+"""
