@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from limnospark.llm import filter_audit, fingerprints, licenses, lines, mixing, packing, quality, runs, simhash, token_files, top_k, warc
+from limnospark.llm import filter_audit, fingerprints, licenses, lines, mixing, packing, quality, runs, simhash, token_files, top_k, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,6 +185,18 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_held_out(name: str = "doc_id") -> Column:
+    """Rows whose toxicity labels are kept for checking."""
+    return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@query
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    models = toxicity.fit(docs, table(spark, folder, "labels"), use=~toxicity_held_out())
+    return toxicity.score_documents(docs, models, "doc_id").withColumn("held_out", toxicity_held_out())
+
+
 @query
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     found = filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
