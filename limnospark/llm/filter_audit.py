@@ -16,6 +16,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from limnospark.llm.shared import stored
+
 #: There are k! orders of k filters; each of them is a few rows of the result.
 MOST_FILTERS = 7
 
@@ -133,7 +135,7 @@ def document_filters(docs: DataFrame) -> DataFrame:
         (100 * F.size(F.array_distinct("words")) < 65 * F.size("words")).alias("repetitive"),
         (100 * F.regexp_count("text", F.lit("[A-Z]")) > 5 * F.char_length("text")).alias("shouting"), F.col("text").rlike(r"[#$%&*|]").alias("marked"),
     )
-    alike = facts.groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("n"))
+    alike = stored(facts.groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("n")), "filter-facts")  # read three times below
     found = copies_of_earlier(alike, "digest", "doc_id")
     # the digests have done their work: what is left of a document is its id, its part and its failures
     return found.groupBy("doc_id", "part", "short", "repetitive", "shouting", "marked", "copy").agg(F.sum("n").alias("n"))
