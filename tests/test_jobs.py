@@ -161,3 +161,62 @@ def test_arrivals_keep_the_latest_run(spark, tmp_path):
     arrivals.keep_distinct(stream, f"{root}/distinct", f"{root}/c2").trigger(availableNow=True).start().awaitTermination()
     assert {(r.k, r.v) for r in arrivals.latest_table(spark, f"{root}/latest", ["k"], "run", ["v"]).collect()} == {("a", 1), ("b", 3)}
     assert arrivals.distinct_table(spark, f"{root}/distinct").count() == 4
+
+
+def long_sheet(n, sheet="CALCULO", file="/x/P7_a.xlsx"):
+    """A sheet of `n` verticals, three rows apart, whose labels and values lie on either side of the index's blocks."""
+    cells = [("AFORO", 0, 0), ("ESTACION", 1, 0), ("P 7", 1, 8), ("FECHA", 2, 0), ("15/12/2025", 2, 8), ("Vert n", 10, 0)]
+    for k in range(n):
+        r = 13 + 3 * k
+        cells += [(f"{k}.0", r, 0), (str(k % 97), r, 2), (str(k % 5), r, 3), ("0,5", r + 2, 13), (str(k), r, 5), (str(k + 1), r + 1, 5), ("-", r + 1, 2)]
+    end = 13 + 3 * n
+    cells += [("TOTALES", end, 1), ("0,75", end, 10), ("3", end, 11), ("4", end, 12), ("5", end + 1, 2), ("9", end, 13)]
+    return [(file, sheet, r, c, v) for v, r, c in cells]
+
+
+def test_long_sheets_are_read_in_blocks(spark):
+    from limnospark.sources import cell_table
+
+    n = 400
+    rows = long_sheet(n) + [("/x/P7_a.xlsx", "CALCULO", 1290, 0, "Molinete"), ("/x/P7_a.xlsx", "CALCULO", 1291, 1, "OTT")] + [
+        ("/x/P7_a.xlsx", "A", 0, 0, "AFORO"), ("/x/P7_a.xlsx", "A", 5, 0, "ESTACION")]
+    rows += [("/x/P7_a.xlsx", "CALCULO", 252, 4, "Observaciones"), ("/x/P7_a.xlsx", "CALCULO", 252, 5, "calm"), ("/x/P7_a.xlsx", "CALCULO", 258, 15, "and clear")]
+    cells = spark.createDataFrame(rows, "file string, sheet string, r bigint, c int, value string").repartition(5)
+    index = cell_table.sheet_index(cells)
+    blocks = {(r.sheet, r.block): len(r.grid) for r in index.collect()}
+    assert len(blocks) == 7 and max(blocks.values()) < 700
+    out = ingest.ingest_cells(cells, sheet="CALCULO")
+    s = out["Summary"].first()
+    assert (s.station_id, s.n_points, s.q_m3s, s.area_m2, s.vel_media_ms, s.molinete, s.observaciones, s.ancho_m) == ("P7", n, 4.0, 3.0, 0.75, "OTT", "calm and clear", 96.0)
+    points = out["Points"].orderBy("point_index").collect()
+    assert [(p.point_index, p.row, p.progr_m, p.prof_m, p.rev_1_s, p.rev_2_s, p.vert_label) for p in points] == [
+        (k + 1, 13 + 3 * k, k % 97, k % 5, k, k + 1, str(k)) for k in range(n)]
+    assert {p.q_percent for p in points} == {50.0}
+    assert abs(s.prof_media_m - sum(k % 5 for k in range(n)) / n) < 1e-9
+
+
+def test_sheet_choice_and_odd_sheets(spark):
+    rows = [("/x/a.xlsx", s, r, c, v) for s, r, c, v in [
+        ("B", 0, 0, "Vert n"), ("B", 9, 0, "TOTALES"), ("C", 0, 0, "AFORO"), ("CALCULO", 0, 0, "nothing"), (None, 0, 0, "AFORO")]]
+    rows += [("/x/b.xlsx", "Z", 0, 0, None), ("/x/b.xlsx", "Z", 7, 0, " "), ("/x/b.xlsx", "Y", 3, 1, "text")]
+    from limnospark.sources import cell_table
+
+    cells = spark.createDataFrame(rows, "file string, sheet string, r bigint, c int, value string")
+    index = cell_table.sheet_index(cells)
+    chosen = lambda want: {r.file: (r.sheet, r.last) for r in cell_table.sheet_layout(index, want).collect()}
+    assert chosen("C") == {"/x/a.xlsx": ("C", 0), "/x/b.xlsx": ("Y", 3)}
+    assert chosen("Z")["/x/b.xlsx"] == ("Z", 7) and chosen("B")["/x/a.xlsx"] == ("B", 9)
+    out = ingest.ingest_cells(cells)
+    assert out["Summary"].count() == 0 and out["rejected"].count() == 2 and out["Points"].count() == 0
+    assert ingest.ingest_cells(cells.limit(0))["rejected"].count() == 0
+
+
+def test_sheets_are_read_in_one_pass(spark):
+    cells = spark.createDataFrame(long_sheet(3), "file string, sheet string, r bigint, c int, value string")
+    from limnospark.session import written
+
+    kept = []
+    out = ingest.ingest_cells(cells, keep=lambda df, label: kept.append(label) or written(df, label))
+    for group in ("Points", "Summary"):
+        plan = out[group]._jdf.queryExecution().executedPlan().toString()
+        assert kept == ["index", "layout"] and plan.count("Exchange hashpartitioning") <= 2 and plan.count("FileScan") == 2
