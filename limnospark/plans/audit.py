@@ -224,6 +224,7 @@ def sheet_crosscheck(
         "prof_media_diff_abs": F.abs(F.col("prof_media_summary") - F.col("prof_media_calc")),
         "ancho_diff_abs": F.abs(F.col("ancho_summary") - F.col("ancho_calc")),
     })
+    # Limits and texts of the warnings.
     warnings = [
         (F.coalesce(F.col("n_points_summary") != F.col("n_points_points"), F.lit(True)), "n_points mismatch"),
         (F.col("q_diff_pct") > 1, "q_m3s Summary != sum Points q_m3s"),

@@ -1,4 +1,7 @@
 import os
+import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,3 +223,64 @@ def test_sheets_are_read_in_one_pass(spark):
     for group in ("Points", "Summary"):
         plan = out[group]._jdf.queryExecution().executedPlan().toString()
         assert kept == ["index", "layout"] and plan.count("Exchange hashpartitioning") <= 2 and plan.count("FileScan") == 2
+
+
+def plain_machine(lines):
+    """Section and key machine line by line: key -> values."""
+    from limnospark.functions.text import snake_case_text
+    from limnospark.sources.dis_text import KEY_NAMES, SECTION_TITLES
+
+    section = key = None
+    found = {}
+    for no, line in enumerate(lines, 1):
+        text = line.strip()
+        title = SECTION_TITLES.get(snake_case_text(text))
+        parts = re.split(r"\s{2,}", text, maxsplit=1)
+        name, value = f"unparsed_summary_line_{no}", text
+        if text == "" or title:
+            key, section = None, title or section
+            if text == "":
+                continue
+        elif section != "beamcheck":
+            if len(parts) == 2:
+                base = KEY_NAMES.get(snake_case_text(parts[0]), snake_case_text(parts[0]))
+                key = f"{section}_{base}" if section in ("discharge_uncertainty_iso", "discharge_uncertainty_statistical") else base
+                m = re.fullmatch(r"([-+]?[0-9]+(?:[.,][0-9]+)?)\s*(m\^3/s|m|%|deg ?C)", parts[1].strip(), re.I)
+                value = parts[1].strip()
+                if m:
+                    unit = {"m^3/s": "m3_s", "m": "m", "%": "percent"}.get(m[2].lower(), "degC")
+                    key, value = snake_case_text(f"{key}_{unit}") if unit == "degC" else f"{key}_{unit}", m[1].replace(",", ".")
+            name = key or name
+        found.setdefault(snake_case_text(name), []).append(value)
+    return {k: " | ".join(v) for k, v in found.items()}
+
+
+def test_section_and_key_machine(spark):
+    from limnospark.sources import dis_text
+
+    rng = random.Random(5)
+    kinds = ["", " ", "plain text", "Total Flow   1,5 m^3/s", "Depth  2 m", "Depth  3", "Temp   4 deg C", "Share  5%", "Share  5 %x", "Discharge Uncertainty (ISO)",
+             "Discharge Uncertainty (Statistical)", "Automatic Quality Control Test (BeamCheck)", "Operator(s)   Ann", "  Bob", "1.2.3 m  x"]
+    texts = []
+    for n in [0, 1, 2, 5, 30, 200] * 4:
+        texts.append([rng.choice(kinds) for _ in range(n)])
+    tail = ["St Clock Depth", "() ()", "1 10:00 5"]
+    files_df = spark.createDataFrame([(str(i), "\n".join(t + tail)) for i, t in enumerate(texts)], "file string, text string")
+    for r in dis_text.parse_files(files_df).select("file", "fields", "status").collect():
+        assert r.fields == plain_machine(texts[int(r.file)]) and r.status == "ok"
+
+
+def test_long_dis_files_take_time_in_proportion(spark):
+    from limnospark.sources import dis_text
+
+    def seconds(n):
+        lines = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.when(i % 7 == 0, F.concat(F.lit("Key "), i % 1000, F.lit("   "), i)).when(i % 11 == 0, "").otherwise(F.concat(F.lit("text "), i)))
+        df = spark.range(1).select(F.lit("a").alias("file"), F.concat_ws("\n", lines, F.lit("St Clock Depth\n() ()\n1 10:00 5")).alias("text"))
+        start = time.perf_counter()
+        fields = dis_text.parse_files(df).select(F.map_keys("fields").alias("k"), "status").first()
+        assert fields.status == "ok" and len(fields.k) > n // 20
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    short, long = seconds(10_000), seconds(100_000)
+    assert long < 30 * short + 5
