@@ -12,8 +12,8 @@ verified on the words themselves.
 
 Rarity comes from counts over all documents in a table of fixed size; two words that share a count's place only seem less rare.
 Equal sets are merged first: the earliest line of each is kept or compared, the others go. A family of very many lines that differ a little would join with itself in the
-square of its size, so lines with a heavy word in their prefix are first compared with the earliest line of that
-word; the full join then asks only for lines still open. Heavy or not, every pair is looked at until the line is decided.
+square of its size, so lines are first compared with the first line of each of their rarest prefix words, and of their heavy ones; the
+full join then asks only for lines still open. Every pair is looked at until the line is decided.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ FILTER_BITS = 23
 #: Occurrences above which a word is heavy, as so many times a count's mean and at least so many: a lighter word's lines
 #: are few enough to be joined with each other.
 HEAVY_TIMES, HEAVY_LEAST = 32, 512
+#: How many of a line's rarest prefix words lead it to a line to be compared with first; sets with bitmaps of 64 bits.
+LED_BY, SMALL_SET = 3, 64
 BATCH_BYTES = 4 << 20  # text worked on together by a task
 _ONE, _MIX = np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
@@ -202,36 +204,57 @@ def line_rows(docs: DataFrame, counts: np.ndarray, threshold: float, heavy: int)
     return _places(docs).mapInArrow(run, LINE_KIND)
 
 
-def _entries(sets: DataFrame, of_prefix: Column, first: Column, *more: str) -> DataFrame:
-    """A row for each word of a prefix: the word, the line's place, its size and bitmap, and the word's position."""
-    kept = sets.select(*PLACE, "size", "bits1", "bits2", first.alias("first"), *more, F.posexplode(of_prefix).alias("at", "word"))
-    return kept.withColumn("at", F.col("at") + F.col("first")).drop("first")
+def _numbered(sets: DataFrame) -> DataFrame:
+    """The sets with a number each, `id`, which stands for the place wherever entries are dealt out by words."""
+    return sets if "id" in sets.columns else stored(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
+
+
+def _entries(sets: DataFrame, chosen: Column | None = None, *more: str) -> DataFrame:
+    """A row for each word of a prefix: the word, its position, and of the set its number, document, size and bitmap.
+
+    The bitmaps of sets of up to `SMALL_SET` words are folded into 64 bits, which tell such sets apart well enough.
+    """
+    small = F.col("size") <= SMALL_SET
+    kept = sets.select(
+        "id", "doc", "size", F.when(small, F.col("bits1").bitwiseXOR(F.col("bits2"))).otherwise(F.col("bits1")).alias("bits1"),
+        F.when(small, 0).otherwise(F.col("bits2")).cast("long").alias("bits2"), "light", *more, F.posexplode("prefix").alias("at", "word"))
+    return (kept if chosen is None else kept.where(chosen)).drop("light")
 
 
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """Whether line a is earlier and may match b: place, length, position and bitmap of two entries with the same word."""
+    """Whether the sets of two entries with the same word may match, a's document not being later: length, position and bitmap."""
     ca, cb = (lambda name: F.col(f"{a}.{name}")), (lambda name: F.col(f"{b}.{name}"))
     both, share = ca("size") + cb("size"), threshold / (1 + threshold)
+    ones, twos = ca("bits1").bitwiseXOR(cb("bits1")), ca("bits2").bitwiseXOR(cb("bits2"))
+    apart = F.when((ca("size") <= SMALL_SET) | (cb("size") <= SMALL_SET), F.bit_count(ones.bitwiseXOR(twos))).otherwise(F.bit_count(ones) + F.bit_count(twos))
     return (
-        ((ca("doc") < cb("doc")) | ((ca("doc") == cb("doc")) & (
-            (ca("tie") < cb("tie")) | ((ca("tie") == cb("tie")) & (ca("line") < cb("line"))))))
-        & (F.bit_count(ca("bits1").bitwiseXOR(cb("bits1"))) + F.bit_count(ca("bits2").bitwiseXOR(cb("bits2"))) <= both * F.lit(1 - 2 * share) + 1e-9)
+        (ca("doc") <= cb("doc")) & (ca("id") != cb("id"))
         & (F.least(ca("size"), cb("size")) >= F.greatest(ca("size"), cb("size")) * F.lit(threshold) - 1e-9)
         & (F.least(ca("size") - ca("at"), cb("size") - cb("at")) >= both * F.lit(share) - 1e-9)
+        & (apart <= both * F.lit(1 - 2 * share) + 1e-9)
     )
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(*(F.col(f"b.{c}").alias(c) for c in PLACE), *(F.col(f"a.{c}").alias(f"a_{c}") for c in PLACE)).distinct()
+def _pairs(joined: DataFrame, sets: DataFrame) -> DataFrame:
+    """The places of the pairs whose first line is the earlier one, each once."""
+    pairs = joined.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
+    places = sets.select("id", F.struct(*PLACE).alias("place"))
+    placed = pairs.join(places.select(F.col("id").alias("a_id"), F.col("place").alias("a")), "a_id").join(
+        places.select(F.col("id").alias("b_id"), F.col("place").alias("b")), "b_id").where("a < b")
+    return placed.select(*(F.col(f"b.{c}").alias(c) for c in PLACE), *(F.col(f"a.{c}").alias(f"a_{c}") for c in PLACE))
 
 
 def leader_pairs(sets: DataFrame, threshold: float) -> DataFrame:
-    """Lines with a heavy word in their prefix, against the earliest line of that word."""
-    heavy = _entries(sets.where("light < size(prefix)"), F.expr("slice(prefix, light + 1, size(prefix))"), F.col("light"))
-    first = heavy.groupBy("word").agg(F.min(F.struct(*PLACE, "size", "bits1", "bits2", "at")).alias("first"))
-    first = stored(first.select("word", "first.*"), "leaders")
+    """Lines against the first line of each of their rarest prefix words and of each of their heavy ones.
+
+    Lines of one family share such words, so most of them are decided by one comparison for each word.
+    """
+    sets = _numbered(sets)
+    entries = _entries(sets, (F.col("at") < LED_BY) | (F.col("at") >= F.col("light")))
+    first = entries.groupBy("word").agg(F.min(F.struct("doc", "id", "size", "bits1", "bits2", "at")).alias("first"), F.count(F.lit(1)).alias("lines"))
+    first = stored(first.where("lines > 1").select("word", "first.*"), "leaders")
     met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold)
-    return _pairs(first.alias("a").join(heavy.alias("b"), met))
+    return _pairs(first.alias("a").join(entries.alias("b"), met), sets)
 
 
 def all_pairs(sets: DataFrame, threshold: float) -> DataFrame:
@@ -240,9 +263,10 @@ def all_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     Both sides are one table dealt by word once: `open` stands in a condition on both, since a condition on one
     side would make two tables of it.
     """
-    entries = _entries(sets, F.col("prefix"), F.lit(0), "open")
+    sets = _numbered(sets)
+    entries = _entries(sets, None, "open")
     met = (F.col("a.word") == F.col("b.word")) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & _may_match("a", "b", threshold)
-    return _pairs(entries.alias("a").join(entries.alias("b"), met))
+    return _pairs(entries.alias("a").join(entries.alias("b"), met), sets)
 
 
 def _marks(docs: np.ndarray, lines: np.ndarray, ties: np.ndarray | None = None) -> np.ndarray:
@@ -321,7 +345,7 @@ def _kept_places(docs: DataFrame, threshold: float, heavy: int | None) -> DataFr
     if heavy is None:
         heavy = max(HEAVY_LEAST, HEAVY_TIMES * int(counts.mean()))
     rows = line_rows(docs, counts, threshold, heavy)
-    sets = stored(rows.groupBy("k1", "k2").agg(first).select("first.*"), "sets")
+    sets = _numbered(rows.groupBy("k1", "k2").agg(first).select("first.*"))
     led = stored(verified(docs, leader_pairs(sets, threshold), threshold), "led")
     open_ = sets.join(led.select(*PLACE, F.lit(0).alias("open")), PLACE, "left").withColumn("open", F.coalesce("open", F.lit(1)))
     found = led.unionByName(verified(docs, all_pairs(open_, threshold), threshold))
