@@ -237,8 +237,10 @@ def _may_match(a: str, b: str, threshold: float) -> Column:
 
 def _pairs(joined: DataFrame, sets: DataFrame) -> DataFrame:
     """The places of the pairs whose first line is the earlier one, each once."""
-    pairs = joined.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
-    places = sets.select("id", F.struct(*PLACE).alias("place"))
+    pairs = stored(joined.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct(), "numbers")
+    asked = pairs.select(F.col("a_id").alias("id")).unionByName(pairs.select(F.col("b_id").alias("id"))).distinct()
+    # the sets are dealt out once, and merged at every size, so that the plan does not change with it
+    places = stored(sets.select("id", F.struct(*PLACE).alias("place")).join(asked.hint("merge"), "id"), "places")
     placed = pairs.join(places.select(F.col("id").alias("a_id"), F.col("place").alias("a")), "a_id").join(
         places.select(F.col("id").alias("b_id"), F.col("place").alias("b")), "b_id").where("a < b")
     return placed.select(*(F.col(f"b.{c}").alias(c) for c in PLACE), *(F.col(f"a.{c}").alias(f"a_{c}") for c in PLACE))
@@ -347,7 +349,7 @@ def _kept_places(docs: DataFrame, threshold: float, heavy: int | None) -> DataFr
     rows = line_rows(docs, counts, threshold, heavy)
     sets = _numbered(rows.groupBy("k1", "k2").agg(first).select("first.*"))
     led = stored(verified(docs, leader_pairs(sets, threshold), threshold), "led")
-    open_ = sets.join(led.select(*PLACE, F.lit(0).alias("open")), PLACE, "left").withColumn("open", F.coalesce("open", F.lit(1)))
+    open_ = sets.join(led.select(*PLACE, F.lit(0).alias("open")).hint("merge"), PLACE, "left").withColumn("open", F.coalesce("open", F.lit(1)))
     found = led.unionByName(verified(docs, all_pairs(open_, threshold), threshold))
     return sets.select(*PLACE).join(stored(found.select(*PLACE).distinct(), "found"), PLACE, "left_anti")
 
