@@ -2,7 +2,7 @@
 
 from limnospark.bindings.registry import ORACLES, QUERIES
 from limnospark.bindings import (  # noqa: F401  (each module registers its queries)
-    analysis, checks, consolidation, correlations, exports, forms, parsing, smaller,
+    analysis, checks, consolidation, correlations, exports, forms, gauge_files, parsing, smaller, specs, stores,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

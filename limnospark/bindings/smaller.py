@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from limnospark.bindings.registry import query, rnd, rounded, table
 from limnospark.operators.reshape import drop_empty_columns
 from limnospark.operators.specs import negative_columns
-from limnospark.plans import registry_export, stage_discharge, table_export
+from limnospark.plans import stage_discharge, table_export
 from limnospark.session import shared_folder
 from limnospark.sources import series, tables
 
@@ -78,19 +78,3 @@ def written_table(spark: SparkSession, sf: str) -> DataFrame:
     tables.write_table(rows, f"{root}/Summary")
     read = tables.load_table(spark, root, "Summary", "f").groupBy("instrument", "station_id").agg(F.sum("q").alias("q"), F.count(F.lit(1)).alias("n"))
     return rounded(read, {"q": 2})
-
-
-@query("written_records", "SELECT n_nationkey AS export_id, n_name AS name, n_regionkey::VARCHAR AS region FROM nation")
-def written_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Records written as one CSV folder for each export, read back as text."""
-    root = _folder(spark)
-    rows = table(spark, sf, "nation").select(F.col("n_nationkey").alias("export_id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
-    registry_export.write_records(rows, root)
-    return spark.read.option("header", True).schema("name string, region string, export_id long").csv(root).select("export_id", "name", "region")
-
-
-@query("written_report", "SELECT r_regionkey::VARCHAR AS id, r_name AS name FROM region")
-def written_report(spark: SparkSession, sf: str) -> DataFrame:
-    root = _folder(spark)
-    tables.write_report(table(spark, sf, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")), root, ";")
-    return spark.read.option("header", True).option("sep", ";").schema("id string, name string").csv(root)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from limnospark.functions import dates as D, text as T
 from limnospark.operators.matching import first_match_lookup, lookup_with_count, masked_lookup
 from limnospark.session import cut_lineage
+from limnospark.sources.keyed_files import write_keyed
 
 SELECTION_COLUMNS = ("station_id", "measurement_date", "measurement_time", "instrument", "export_id")
 # Columns of the two records, in order.
@@ -186,6 +187,6 @@ def run(
     }
 
 
-def write_records(records: DataFrame, path: str, sep: str = ",") -> None:
-    """One folder per export id."""
-    records.write.mode("overwrite").option("header", True).option("sep", sep).partitionBy("export_id").csv(path)
+def write_records(records: DataFrame, path: str, sep: str = ",", buckets: int = 32, parts: int = 1) -> DataFrame:
+    """The records by export id, in a set number of files; the result is their index."""
+    return write_keyed(records, path, "export_id", buckets, parts, sep)

@@ -175,3 +175,56 @@ def test_median_with_a_far_outlier(spark, min_rows):
     out = groups.grouped_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", min_rows=min_rows).collect()
     values = sorted(v for k, v in rows if k == "a")
     assert {r.k: r["median"] for r in out} == {"a": values[len(values) // 2], "b": 3.0, "c": 1.5, None: 5.0}
+
+
+def test_keyed_files(spark, tmp_path):
+    from limnospark.sources.keyed_files import bucket_of, read_keyed, write_keyed
+
+    df = spark.range(5_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 101 != 0, F.concat(F.lit("E"), F.col("id") % 700)).alias("export_id"),
+        "id", F.when(F.col("id") % 2 == 0, "").otherwise(F.concat(F.lit('a "b", c;'), F.col("id"))).alias("text"))
+    index = write_keyed(df, str(tmp_path / "x"), "export_id", buckets=8, parts=3, sep=";")
+    files = list((tmp_path / "x" / "records").glob("*/*/*.csv"))
+    assert len(files) <= 24
+    back = read_keyed(spark, str(tmp_path / "x"), df.schema, "export_id", sep=";")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    some = read_keyed(spark, str(tmp_path / "x"), df.schema, "export_id", ["E7", "hot", "absent"], buckets=8, sep=";")
+    assert some.count() == df.where("export_id in ('E7', 'hot')").count()
+    seen = {r.f.split("__bucket=")[1].split("/")[0] for r in some.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(seen) <= 2 and "__bucket" in some._jdf.queryExecution().executedPlan().toString()
+    # the index names the rows of each file where a key's records stand
+    rows = index.where("key = 'hot'").collect()
+    assert sum(r.rows for r in rows) == df.where("export_id = 'hot'").count() and len(rows) == 3
+    for r in rows:
+        (file,) = (tmp_path / "x" / "records" / f"__bucket={r.bucket}" / f"__part={r.part}").glob("*.csv")
+        lines = file.read_text().splitlines()[1:]
+        assert {line.split(";")[0] for line in lines[r.first_row:r.first_row + r.rows]} == {"hot"}
+        assert all(not line.startswith("hot") for line in lines[:r.first_row])
+    assert {r.bucket for r in rows} == {spark.range(1).select(bucket_of(F.lit("hot"), 8)).first()[0]}
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        write_keyed(df, str(tmp_path / "x"), "export_id", policy="fail_if_exists")
+    assert write_keyed(df.limit(0), str(tmp_path / "y"), "export_id").count() == 0
+
+
+def test_mixed_gauge_layouts(spark):
+    from limnospark.sources.gauge_files import mixed_gauges
+
+    entries = [
+        {"code": "ft", "subdir": "flow", "flow_column": "Q", "flow_unit": "m3/s"}, {"code": "NV", "subdir": "nivus", "summary_format": "long"},
+        {"code": "ML", "subdir": "mol", "flow_column": "q"}]
+    texts = {
+        "/n/Summary.csv": "Station,FECHA,q_ls,source\nP12,20250102,5,x y\nP13,1989-12-31,5,a\nnan,20250102,1,b\nP14,bad,1,c\nP15,03/02/2025,NaN,c\n16.5,20250102,\"7\",NaN\n",
+        "/n/flow/Summary.csv": "punto,datetime,my caudal x\n4,2025-01-02 10:00:00,2\n",
+        "/n/mol/Summary.csv": "punto,caudal\n4,2\n",  # no date column
+        "/n/flow/Summary/P8_Summary_20250103_101500.csv": "Q,date\n1,20250104\n3,20250104\nx,20250104\n5,20250105\n",
+        "/n/mol/Summary/P9_Summary_20250103_101500.csv": "q,other\n4,1\n8,1\n",
+        "/n/mol/Summary/P10_Summary_20250103_101500.csv": "Q\n4\n",
+        "/n/nivus/Summary/P11_Summary_20250106_101500.csv": "name,x\nq [l/s],10,20,y\nq [l/s],99\n",
+        "/n/nivus/Summary/P11_Summary_20250107_101500.csv": "q [l/s],-,z\nq [l/s],99\n",
+        "/n/nivus/Summary/P11_Summary_2025.csv": "q [l/s],5\n", "/n/other/Summary/P8_Summary_20250103_101500.csv": "q\n5\n", "/n/nivus/Summary/P12_Summary_20250108_101500.csv": "",
+    }
+    out = mixed_gauges(spark.createDataFrame(list(texts.items()), "file string, text string"), entries)
+    got = sorted((r.layout, r.point, str(r.date), r.source, r.q_gauge_ls) for r in out.collect())
+    assert got == [
+        ("matrix", "11", "2025-01-06", "NV", 15.0), ("table", "12", "2025-01-02", "X Y", 5.0), ("table", "16.5", "2025-01-02", "NAN", 7.0), ("table", "4", "2025-01-02", "FT", 2000.0),
+        ("wide", "8", "2025-01-04", "FT", 2000.0), ("wide", "8", "2025-01-05", "FT", 5000.0), ("wide", "9", "2025-01-03", "ML", 6.0)]
