@@ -125,16 +125,18 @@ def plan_mix(docs: DataFrame, levels: Mapping[str, Column], budget: Column, weig
     return counted, stored(plan.join(last, names, "left"), "mix")
 
 
-def take(rows: DataFrame, plan: DataFrame, names: Sequence[str], seed: int) -> DataFrame:
-    """Each row once for each epoch that takes it, with the epoch as `epoch`.
+def take(rows: DataFrame, plan: DataFrame, names: Sequence[str], seed: int, epoch: str = "epoch") -> DataFrame:
+    """Each row once for each epoch that takes it, with the epoch in the column `epoch`.
 
-    `rows` has doc_id and the levels. The plan has a row for each leaf and is joined by Spark's own choice.
+    `rows` has doc_id and the levels; other columns may have any names but that of the epoch. The plan has a row for each leaf and is joined
+    by Spark's own choice.
     """
-    more = F.coalesce(_order(seed, "whole") <= F.col("last"), F.lit(False)) & (F.col("rest") > 0)
-    kept = rows.join(plan.select(*names, "whole", "rest", "last"), list(names))
-    epochs = F.when(more, F.col("whole") + 1).otherwise(F.col("whole"))
-    chosen = kept.withColumn("epochs", epochs).where("epochs > 0")
-    return chosen.select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)).alias("epoch"))
+    own = [F.col(n).alias(f"__mix_{n}") for n in ("whole", "rest", "last")]
+    more = F.coalesce(_order(seed, "__mix_whole") <= F.col("__mix_last"), F.lit(False)) & (F.col("__mix_rest") > 0)
+    kept = rows.join(plan.select(*names, *own), list(names))
+    epochs = F.when(more, F.col("__mix_whole") + 1).otherwise(F.col("__mix_whole"))
+    chosen = kept.withColumn("__mix_epochs", epochs).where("__mix_epochs > 0")
+    return chosen.select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("__mix_epochs") - 1)).alias(epoch))
 
 
 def mix(docs: DataFrame, levels: Mapping[str, Column], budget: Column, weights: Mapping[tuple[str, ...], int],

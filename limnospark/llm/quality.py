@@ -98,7 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", use: Column
     """Weights learnt from at most `sample` labelled documents, those whose ids hash lowest.
 
     `use` chooses label rows by their columns. Rows without an id or label are left out; of several labels of one id
-    the largest holds. Without any labelled document all weights are 0, so that every score is 0.5.
+    the largest holds, and of several rows of one id one is learnt from. Without any labelled document all weights are 0, so that every score is 0.5.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = (known if use is None else known.where(use)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
@@ -106,7 +106,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", use: Column
     )
     order = F.xxhash64(F.lit("sample"), "doc_id")
     chosen = known.withColumn("__order", order).orderBy("__order", "doc_id").limit(sample)
-    texts = documents(docs).join(F.broadcast(chosen), "doc_id")  # `sample` small rows at most
+    # of rows that share a labelled id the one whose text hashes lowest is learnt from, so that the sample's bound holds
+    hashed = documents(docs).withColumn("__hash", F.xxhash64("text")).join(F.broadcast(chosen), "doc_id")  # `sample` small rows at most
+    texts = hashed.groupBy("doc_id", "__order", "__label").agg(F.min_by("text", "__hash").alias("text"))
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,3 +157,20 @@ def score_documents(docs: DataFrame, weights: np.ndarray, *keep: str, threshold:
         release_memory()
 
     return given.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, threshold: float = 0.7) -> DataFrame:
+    """The documents whose score is `threshold` or more, with all their columns, whatever those are called.
+
+    Null and empty texts are judged by the constant alone. Repeated rows stay or go together, and an empty table gives an empty one.
+    """
+    bits = int(len(weights) - 1).bit_length() - 1
+    held = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [score(*features(text.as_py() or "", bits), held.value) >= threshold for text in batch["text"]]
+            yield batch.filter(pa.array(good, pa.bool_()))
+        release_memory()
+
+    return docs.mapInArrow(run, docs.schema)

@@ -9,8 +9,8 @@ sys.path.append(os.path.join(os.path.dirname(__file__), "..", ".."))
 import corpus_pipeline  # noqa: E402
 import test_lines  # noqa: E402
 import test_mixing  # noqa: E402
+import test_near_copies as near  # noqa: E402
 import test_packing  # noqa: E402
-import test_simhash  # noqa: E402
 from __spark_entry__ import queries  # noqa: E402
 from limnospark.llm.queries import MIX_SEED, MIX_WEIGHTS, QUERIES  # noqa: E402
 
@@ -62,7 +62,42 @@ def test_lines_of_what_is_left(stages):
 def test_near_copies(stages):
     before, after = stages[2]
     rows = list(texts(before).items())
-    assert set(texts(after)) == {component for _, _, component in test_simhash.brute(rows)}
+    assert sorted(texts(after).items()) == sorted(near.brute(rows)[1])
+
+
+def test_near_copies_of_documents_of_many_lines(spark):
+    """The stage on its own input: copies in which one line differs."""
+    rows = []
+    for i in range(40):
+        lines = [[f"{'abc'[k % 3]}{i}x{j}y{k}" for k in range(12)] for j in range(20)]
+        rows.append((i, "\n".join(map(" ".join, lines))))
+        lines[i % 20][:6] = [f"new{i}n{k}" for k in range(6)]
+        rows.append((100 + i, "\n".join(map(" ".join, lines))))
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+
+
+CLASHING = {"score": 1.5, "predicted": "p", "whole": 2, "rest": None, "last": "z", "epoch": 3, "label": "l", "tokens": 7, "kept": "k", "line": 1, "size": 2, "id": 5}
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_clashing_columns_nulls_and_empty_tables(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (3, "", "en", "src0", 0), (3, "", "en", "src0", 0), (None, "long words " * 30_000, "de", "src1", 1)], docs.schema)
+    docs = docs.unionByName(odd).withColumns({n: F.lit(v).cast("string") if v is None else F.lit(v) for n, v in CLASHING.items()})
+    plain = stage(spark, docs.drop(*CLASHING), FOLDER)
+    got = stage(spark, docs, FOLDER)
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert got.dtypes == docs.dtypes
+        rows = got.collect()
+        assert rows and all(r[n] == v for r in rows for n, v in CLASHING.items())
+        assert sorted((str(r.doc_id), r.text) if r.text else (str(r.doc_id), "") for r in rows) == sorted(
+            (str(r.doc_id), r.text) if r.text else (str(r.doc_id), "") for r in plain.collect())
+    else:
+        assert got.columns == plain.columns and got.count() == plain.count()
+    assert stage(spark, docs.limit(0), FOLDER).count() == 0
 
 
 def test_mix(stages):

@@ -66,3 +66,11 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted for r in rows if r.quality == 1]) > 0.98
     assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
     assert got.select(F.count("held_out")).first()[0] == got.count()
+
+
+def test_many_rows_of_one_labelled_id_train_as_one(spark):
+    docs = spark.range(5_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 50).alias("text")).unionByName(
+        spark.createDataFrame([(8, "other text")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    weights = quality.fit(docs, labels)
+    assert weights[-1] == 0.0  # the constant: one good and one bad document
