@@ -288,13 +288,19 @@ def quality_cg_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(quality.score_pivot(scores, months), {m: 6 for m in months})
 
 
-def _profiles(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").select(
+PROFILE_INSTRUMENTS = {"a": {"enabled": True, "code": "AA"}, "r": {"enabled": True}, "n": {}}
+
+
+def profile_points(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
         F.lower("l_returnflag").alias("instrument"), F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit("p00"), F.col("l_suppkey"))).alias("station_id"),
         F.when(F.col("l_partkey") % 2 == 0, "1970-01-01").otherwise(iso("l_shipdate")).alias("measurement_date"), F.col("l_linenumber").alias("distance_m"),
         F.col("l_quantity").alias("depth_m"),
         F.concat(F.lit("/n/P"), F.col("l_suppkey"), F.lit("_Points_"), F.date_format("l_shipdate", "yyyyMMdd"), F.lit("_101500.csv")).alias("file"))
-    loaded = section_profiles.load_points(rows, {"a": {"enabled": True, "code": "AA"}, "r": {"enabled": True}, "n": {}}, "file")
+
+
+def _profiles(spark: SparkSession, sf: str) -> DataFrame:
+    loaded = section_profiles.load_points(profile_points(spark, sf), PROFILE_INSTRUMENTS, "file")
     return section_profiles.select_rows(loaded, start="19960101", end="1999-12-31")
 
 

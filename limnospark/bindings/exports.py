@@ -8,7 +8,7 @@ from limnospark.bindings.registry import query, rnd, rounded, table
 from limnospark.operators.groups import grouped_median
 from limnospark.operators.matching import first_match_lookup, masked_lookup
 from limnospark.plans import registry_export
-from limnospark.plans.table_export import ExportRequest, run_export
+from limnospark.plans.table_export import ExportRequest, export_blocks, run_export
 
 MONTHS = [f"1997{m:02d}" for m in range(1, 13)]
 
@@ -65,6 +65,27 @@ def export_pivot_median(spark: SparkSession, sf: str) -> DataFrame:
     return _pivot(spark, sf, "median", ["price"])
 
 
+@query("export_pivot_medians", LINES_SQL + _wide_sql({p: f"median(CASE WHEN period = '@' THEN {p} END)" for p in ("q", "price", "l_partkey")}))
+def export_pivot_medians(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact medians of three parameters at once."""
+    return _pivot(spark, sf, "median", ["q", "price", "l_partkey"])
+
+
+@query("export_daily_blocks", LINES_SQL + f""",
+days AS (SELECT strftime(unnest(generate_series(DATE '1997-01-01', DATE '1997-12-31', INTERVAL 1 DAY)), '%Y%m%d') AS day),
+means AS (SELECT instrument, station_id, d AS day, avg(q) AS q FROM l GROUP BY ALL)
+SELECT k.instrument, k.station_id, day, {rnd('m.q', 6)} AS q FROM (SELECT DISTINCT instrument, station_id FROM l) k CROSS JOIN days LEFT JOIN means m USING (instrument, station_id, day)""")
+def export_daily_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """A daily pivot of a year in blocks of 73 days, their cells as rows again."""
+    request = ExportRequest(parameters=["q"], early="19970101", late="19971231", grouping="daily")
+    out = None
+    for periods, wide in export_blocks(_lines(spark, sf), request, width=73, filled=False):
+        cells = F.inline(F.array(*[F.struct(F.lit(p).alias("day"), F.col(f"`{p} | q`").alias("q")) for p in periods]))
+        rows = wide.select("instrument", "station_id", cells)
+        out = rows if out is None else out.unionByName(rows)
+    return rounded(out, {"q": 6})
+
+
 @query("export_pivot_first", LINES_SQL + _wide_sql({
     "q": "arg_min(q, (l_orderkey, l_linenumber, l_partkey, l_suppkey, price)) FILTER (period = '@')"}))
 def export_pivot_first(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from limnospark.bindings import analysis, checks, correlations, exports
 from limnospark.bindings.registry import ORACLES, iso, query, rounded, table
-from limnospark.plans import correlation, registry_export
+from limnospark.plans import correlation, registry_export, section_profiles, stage_discharge
+from limnospark.plans.table_export import ExportRequest, run_export
 from limnospark.session import shared_folder
 from limnospark.sources import files, series, tables
 from limnospark.sources.keyed_files import read_keyed, read_output, write_outputs
@@ -68,6 +69,36 @@ def written_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return read_keyed(spark, f"{root}/rows", rows.schema, "point")
 
 
+@query("export_of_months", ORACLES["export_flat"])
+def export_of_months(spark: SparkSession, sf: str) -> DataFrame:
+    """A flat export from a table kept by instrument and month; the request's first date prunes the months before it."""
+    root = _folder(spark)
+    tables.write_table(exports._lines(spark, sf), f"{root}/Points", month_of="measurement_date")
+    read = spark.read.parquet(f"{root}/Points")
+    return run_export(read, ExportRequest(instrument="a", points=["3", "P4"], parameters=["q"], early="19960601"))
+
+
+@query("profiles_of_months", ORACLES["profile_rows"])
+def profiles_of_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Section profiles from a table kept by month; rows that only their file dates are read, too."""
+    root = _folder(spark)
+    tables.write_table(analysis.profile_points(spark, sf), f"{root}/Points", month_of="measurement_date")
+    loaded = section_profiles.load_points(spark.read.parquet(f"{root}/Points"), analysis.PROFILE_INSTRUMENTS, "file")
+    chosen = section_profiles.select_rows(loaded, start="19960101", end="1999-12-31")
+    return section_profiles.profile_rows(chosen.withColumn("measurement_date", iso("measurement_date")))
+
+
+@query("stage_of_months", ORACLES["stage_selected"])
+def stage_of_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The matched measurements kept by month, read back for some points and years."""
+    root = _folder(spark)
+    tables.write_table(analysis._matched(spark, sf), f"{root}/matched", partitions=(), month_of="measurement_date")
+    df = stage_discharge.select_dates(stage_discharge.select_points(spark.read.parquet(f"{root}/matched"), ["7", "p012"]), "19960101", "1999-12-31")
+    out = df.withColumn("q_total_ls", F.col("q_total_ls").cast("double")).select(
+        "station_id", iso("measurement_date").alias("measurement_date"), "measurement_time", "instrument", "run_id", "q_total_ls", "manual_stage_m", "instrument_stage_max_m")
+    return rounded(out, {"q_total_ls": 2, "manual_stage_m": 2})
+
+
 @query("manual_stage_files", """
 SELECT 'P' || CAST(o_custkey AS VARCHAR) AS station_id, strftime(o_orderdate, '%Y-%m-%d') AS measurement_date,
        CASE WHEN o_orderkey % 5 <> 0 THEN round(o_totalprice, 2) END AS manual_stage_m FROM orders""")

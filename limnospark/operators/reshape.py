@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,13 +13,20 @@ from limnospark.operators.groups import grouped_median, null_safe_join
 AGGREGATIONS = ("mean", "sum", "median", "min", "max", "first")
 
 
-def period_axis(spark, early: str, late: str, grain: str) -> list[str]:
-    """Every month or day from `early` to `late` (both `YYYYMMDD`)."""
-    step, pattern = ("interval 1 month", "yyyyMM") if grain == "monthly" else ("interval 1 day", "yyyyMMdd")
-    first = f"to_date('{early}', 'yyyyMMdd')"
-    start = f"trunc({first}, 'month')" if grain == "monthly" else first
-    query = f"select date_format(p, '{pattern}') p from (select explode(sequence({start}, to_date('{late}', 'yyyyMMdd'), {step})) p)"
-    return [row.p for row in spark.sql(query).collect()]
+def period_count(early: str, late: str, grain: str) -> int:
+    """How many months or days lie between two dates (`YYYYMMDD`), both included."""
+    first, last = (datetime.strptime(d, "%Y%m%d") for d in (early, late))
+    return max((last.year - first.year) * 12 + last.month - first.month + 1 if grain == "monthly" else (last - first).days + 1, 0)
+
+
+def period_axis(early: str, late: str, grain: str, start: int = 0, count: int | None = None) -> list[str]:
+    """Labels of the months or days from `early` to `late`, or `count` of them from number `start` on."""
+    first, whole = datetime.strptime(early, "%Y%m%d"), period_count(early, late, grain)
+    numbers = range(start, whole if count is None else min(start + count, whole))
+    if grain == "monthly":
+        months = [first.year * 12 + first.month - 1 + i for i in numbers]
+        return [f"{m // 12:04d}{m % 12 + 1:02d}" for m in months]
+    return [(first + timedelta(days=i)).strftime("%Y%m%d").zfill(8) for i in numbers]
 
 
 def aggregate(
@@ -29,12 +37,13 @@ def aggregate(
     if method not in AGGREGATIONS:
         raise ValueError(f"unknown aggregation: {method}")
     if method == "median":
-        out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).drop("__rows")
-        for name in parameters:
-            out = null_safe_join(out, grouped_median(df, keys, name, "__median"), keys, "left").withColumnRenamed(
-                "__median", name
-            )
-        return out
+        # The parameters become rows of one table, so that one selection finds the middle of each group and parameter.
+        cells = F.array(*[F.struct(F.lit(i).alias("__parameter"), F.col(f"`{name}`").cast("double").alias("__value")) for i, name in enumerate(parameters)])
+        long = df.select(*keys, F.inline(cells))
+        medians = grouped_median(long, [*keys, "__parameter"], "__value", "__median")
+        wide = medians.groupBy(*keys).agg(*[F.max(F.when(F.col("__parameter") == i, F.col("__median"))).alias(name) for i, name in enumerate(parameters)])
+        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).drop("__rows")
+        return null_safe_join(groups, wide, keys, "left")
 
     def one(name: str) -> Column:
         column = F.col(f"`{name}`")
@@ -80,10 +89,15 @@ def complete_rows(wide: DataFrame, wanted: DataFrame, row_keys: Sequence[str]) -
     return null_safe_join(wanted.select(*row_keys), wide, row_keys, "left")
 
 
-def complete_periods(grouped: DataFrame, row_keys: Sequence[str], period: str, periods: Sequence[str]) -> DataFrame:
-    """Long form with one row per row key and period of the calendar."""
+def complete_periods(grouped: DataFrame, row_keys: Sequence[str], period: str, early: str | None, late: str | None, grain: str) -> DataFrame:
+    """Long form with one row per row key and period of the calendar, which Spark makes where it is joined."""
     rows = grouped.select(*row_keys).distinct()
-    calendar = rows.withColumn(period, F.explode(F.array(*[F.lit(p) for p in periods])))
+    if not early or not late:
+        return null_safe_join(rows.withColumn(period, F.lit(None).cast("string")).limit(0), grouped, [*row_keys, period], "left")
+    step, pattern = ("interval 1 month", "yyyyMM") if grain == "monthly" else ("interval 1 day", "yyyyMMdd")
+    first, last = F.to_date(F.lit(early), "yyyyMMdd"), F.to_date(F.lit(late), "yyyyMMdd")
+    days = F.sequence(F.trunc(first, "month") if grain == "monthly" else first, last, F.expr(step))
+    calendar = rows.select(*row_keys, F.explode(days).alias("__day")).select(*row_keys, F.date_format("__day", pattern).alias(period))
     return null_safe_join(calendar, grouped, [*row_keys, period], "left")
 
 

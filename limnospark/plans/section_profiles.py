@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from limnospark.functions import dates as D, text as T
 from limnospark.operators.specs import ref
+from limnospark.sources.tables import within_months
 
 KEYS = ("station_id", "measurement_date", "measurement_time", "instrument", "instrument_code")
 
@@ -41,6 +42,7 @@ def select_rows(df: DataFrame, instruments: Sequence[str] | None = None, points:
         df = df.where(F.col("instrument").isin(*instruments))
     if points:
         df = df.where(F.col("station_id").isin(*points))
+    df = within_months(df, start, end, undated=True)  # a file's name may date a row that has no date of its own
     if start:
         df = df.where(F.col("measurement_date") >= D.iso_date(F.lit(start)))
     if end:

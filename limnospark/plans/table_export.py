@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from limnospark.functions.dates import eight_digit_date, with_computed
 from limnospark.functions.text import point_token, point_token_text
 from limnospark.operators.reshape import (
-    aggregate, complete_periods, complete_rows, period_axis, pivot_periods, requested_rows,
+    aggregate, complete_periods, complete_rows, period_axis, period_count, pivot_periods, requested_rows,
 )
 from limnospark.operators.specs import ref
-from limnospark.sources.tables import DATE_NAMES, POINT_NAMES, first_present, instruments_of, only_instrument, parameter_columns
+from limnospark.session import written
+from limnospark.sources.tables import DATE_NAMES, POINT_NAMES, first_present, instruments_of, only_instrument, parameter_columns, within_months
+
+
+#: Periods that one pivoted frame may have.
+MOST_PERIODS = 1_000
 
 
 @dataclass(frozen=True)
@@ -42,6 +47,7 @@ def select_rows(df: DataFrame, request: ExportRequest) -> DataFrame:
         if request.early or request.late:
             raise KeyError("the table has no date column")
         return df
+    df = within_months(df, request.early, request.late)
     df = with_computed(df, {"date_text": eight_digit_date(ref(date))}).where("date_text is not null")
     if request.early:
         df = df.where(F.col("date_text") >= request.early)
@@ -54,7 +60,9 @@ def date_bounds(df: DataFrame, request: ExportRequest) -> tuple[str | None, str
     """Asked bounds, and the data's own where one was left open (one aggregated row)."""
     if (request.early and request.late) or "date_text" not in df.columns:
         return request.early, request.late
-    found = df.agg(F.min("date_text").alias("lo"), F.max("date_text").alias("hi")).first()
+    # eight digits that are no date make no calendar
+    real = F.when(F.try_to_timestamp("date_text", F.lit("yyyyMMdd")).isNotNull(), F.col("date_text"))
+    found = df.agg(F.min(real).alias("lo"), F.max(real).alias("hi")).first()
     return request.early or found["lo"], request.late or found["hi"]
 
 
@@ -76,31 +84,80 @@ def grouped_export(df: DataFrame, request: ExportRequest, parameters: Sequence[s
     return aggregate(work, [*keys, "period"], numeric, request.aggregation, request.order), keys, numeric
 
 
-def run_export(df: DataFrame, request: ExportRequest, long: bool = False) -> DataFrame:
-    """The requested export. `none` is flat, `monthly` and `daily` are pivoted, or long if asked."""
+def _checked(df: DataFrame, request: ExportRequest) -> tuple[DataFrame, list[str]]:
     chosen = select_rows(df, request)
     parameters = list(request.parameters) or parameter_columns(df)
     missing = [p for p in parameters if p not in df.columns]
     if missing:
         raise KeyError(f"parameters not found: {missing}")
+    if request.grouping not in ("none", "monthly", "daily"):
+        raise ValueError("grouping must be none, monthly or daily")
+    return chosen, parameters
+
+
+def _wanted_rows(chosen: DataFrame, request: ExportRequest, keys: Sequence[str]) -> DataFrame | None:
+    """The rows that a pivot has even where nothing was measured; None if the data decide."""
+    if not request.points:
+        return None
+    instruments = None
+    if "instrument" in keys:
+        instruments = instruments_of(chosen)
+        if request.instrument and request.instrument.lower() != "all":
+            instruments = chosen.sparkSession.range(1).select(F.lit(request.instrument).alias("instrument"))
+    return requested_rows(instruments, request.points, chosen.sparkSession)
+
+
+def run_export(df: DataFrame, request: ExportRequest, long: bool = False) -> DataFrame:
+    """The requested export. `none` is flat, `monthly` and `daily` are pivoted, or long if asked.
+
+    A pivot has a column for each period and parameter and takes up to `MOST_PERIODS` periods; `export_blocks` takes any number.
+    """
+    chosen, parameters = _checked(df, request)
     if request.grouping == "none":
         return flat_export(chosen, parameters)
-    if request.grouping not in ("monthly", "daily"):
-        raise ValueError("grouping must be none, monthly or daily")
     early, late = date_bounds(chosen, request)
-    periods = period_axis(df.sparkSession, early, late, request.grouping) if early and late else []
     grouped, keys, numeric = grouped_export(chosen, request, parameters)
     if long:
-        return complete_periods(grouped, keys, "period", periods)
+        return complete_periods(grouped, keys, "period", early, late, request.grouping)
+    if early and late and period_count(early, late, request.grouping) > MOST_PERIODS:
+        raise ValueError(f"{early} to {late} has more than {MOST_PERIODS} periods: use export_blocks, or the long form")
+    periods = period_axis(early, late, request.grouping) if early and late else []
     wide = pivot_periods(grouped, keys, "period", periods, numeric)
-    if request.points:
-        instruments = None
-        if "instrument" in keys:
-            instruments = instruments_of(chosen)
-            if request.instrument and request.instrument.lower() != "all":
-                instruments = df.sparkSession.range(1).select(F.lit(request.instrument).alias("instrument"))
-        wide = complete_rows(wide, requested_rows(instruments, request.points, df.sparkSession), keys)
-    return wide
+    wanted = _wanted_rows(chosen, request, keys)
+    return wide if wanted is None else complete_rows(wide, wanted, keys)
+
+
+def export_blocks(
+    df: DataFrame, request: ExportRequest, width: int = 120, filled: bool = True, keep: Callable[[DataFrame, str], DataFrame] = written,
+) -> Iterator[tuple[list[str], DataFrame]]:
+    """A pivot over any number of periods, as one frame for each block of `width` periods, with the block's periods.
+
+    Every frame has the same rows, those of the whole request. The values are grouped once and kept as a table. With `filled`, blocks
+    in which nothing was measured are left out, so that a stray date far away adds one block and not all those between.
+    """
+    chosen, parameters = _checked(df, request)
+    if request.grouping == "none":
+        raise ValueError("a flat export has no periods")
+    early, late = date_bounds(chosen, request)
+    if not early or not late:
+        return
+    grouped, keys, numeric = grouped_export(chosen, request, parameters)
+    grouped = keep(grouped, "grouped")
+    rows = _wanted_rows(chosen, request, keys)
+    rows = grouped.select(*keys).distinct() if rows is None else rows
+    count = period_count(early, late, request.grouping)
+    held = None
+    if filled:
+        # number of the period in the calendar, from its label
+        first = F.to_date(F.lit(early), "yyyyMMdd")
+        day = F.try_to_timestamp(F.rpad("period", 8, "01") if request.grouping == "monthly" else F.col("period"), F.lit("yyyyMMdd")).cast("date")
+        number = F.months_between(day, F.trunc(first, "month")).cast("int") if request.grouping == "monthly" else F.date_diff(day, first)
+        held = {r.block for r in grouped.select(F.floor(number / width).alias("block")).distinct().collect()}  # one number for each block
+    for block in range(-(-count // width)):
+        if held is None or block in held:
+            periods = period_axis(early, late, request.grouping, block * width, width)
+            own = grouped.where(F.col("period").between(periods[0], periods[-1]))
+            yield periods, complete_rows(pivot_periods(own, keys, "period", periods, numeric), rows, keys)
 
 
 def request_metadata(df: DataFrame, request: ExportRequest, bounds: tuple[str | None, str | None]) -> DataFrame:

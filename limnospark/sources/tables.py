@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -18,26 +19,46 @@ POINT_NAMES = ("station_id", "point", "station_code", "station")
 DATE_NAMES = ("measurement_date", "date")
 ID_COLUMNS = ("instrument", "station_id", "station_code", "station_name", "point", "measurement_date", "date", "measurement_time")
 META_COLUMNS = ("source_file", "source_run_dir", "run_id", "source_csv")
+#: Partition column that `write_table` makes of a date: year and month, or null where there is no date.
+MONTH = "measurement_month"
 WRITE_MODES = {"overwrite": "overwrite", "fail_if_exists": "errorifexists"}
 
 
 def write_table(
     df: DataFrame, path: str, partitions: Sequence[str] = ("instrument",), policy: str = "overwrite", salts: int = 8,
-    spread: Sequence[str] = (),
+    spread: Sequence[str] = (), month_of: str | None = None,
 ) -> None:
     """Write one table as Parquet; `fail_if_exists` refuses to replace one.
 
     Rows are dealt out by partition and a few salts (a hash of `spread`, by default of all columns), so a partition gets at
-    most `salts` files and a large one is still written by as many tasks.
+    most `salts` files and a large one is still written by as many tasks. `month_of` names a date kept as text or typed: its
+    month becomes a partition, too, so that a range of dates opens the months it touches and no others.
     """
     if policy not in WRITE_MODES:
         raise ValueError(f"write policy must be one of {sorted(WRITE_MODES)}")
+    if month_of:
+        df, partitions = df.withColumn(MONTH, F.substring(eight_digit_date(F.col(f"`{month_of}`")), 1, 6)), (*partitions, MONTH)
     present = [p for p in partitions if p in df.columns]
     salt = F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(salts))
     dealt = df.repartition(*present, salt)
     dealt.write.mode(WRITE_MODES[policy]).partitionBy(*present).option("maxRecordsPerFile", 5_000_000).parquet(path)
 
 
+def within_months(df: DataFrame, early: str | None, late: str | None, undated: bool = False) -> DataFrame:
+    """Rows of the months from `early` to `late` (dates as text), for tables that have the months as partitions; others as they are.
+
+    The exact dates are for the caller to compare. `undated` keeps rows whose month says nothing: none, or that of the epoch.
+    """
+    if MONTH not in df.columns or not (early or late):
+        return df
+    month, inside = F.col(MONTH).cast("string"), F.lit(True)
+    for bound, holds in ((early, month.__ge__), (late, month.__le__)):
+        digits = re.sub("[^0-9]", "", str(bound or ""))
+        if len(digits) == 8 and digits[:4] > "1900":  # other spellings of a date are left to the exact comparison
+            inside = inside & holds(F.lit(digits[:6]))
+    return df.where(inside | month.isNull() | (month == "197001") if undated else inside)
+
+
 def write_report(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 

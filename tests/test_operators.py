@@ -228,3 +228,59 @@ def test_mixed_gauge_layouts(spark):
     assert got == [
         ("matrix", "11", "2025-01-06", "NV", 15.0), ("table", "12", "2025-01-02", "X Y", 5.0), ("table", "16.5", "2025-01-02", "NAN", 7.0), ("table", "4", "2025-01-02", "FT", 2000.0),
         ("wide", "8", "2025-01-04", "FT", 2000.0), ("wide", "8", "2025-01-05", "FT", 5000.0), ("wide", "9", "2025-01-03", "ML", 6.0)]
+
+
+def test_dates_prune_months(spark, tmp_path):
+    from limnospark.plans import section_profiles
+    from limnospark.plans.table_export import ExportRequest, run_export
+    from limnospark.sources import tables
+
+    rows = [("nivus", f"P{i % 3}", f"{1996 + i // 12}-{i % 12 + 1:02d}-15", float(i)) for i in range(48)] + [("nivus", "P1", None, -1.0), ("nivus", "P1", "1970-01-01", -2.0)]
+    df = spark.createDataFrame(rows, "instrument string, station_id string, measurement_date string, q double")
+    tables.write_table(df, str(tmp_path / "t"), month_of="measurement_date")
+    read = spark.read.parquet(str(tmp_path / "t"))
+
+    def files_of(out):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters" in plan and tables.MONTH in plan.split("PartitionFilters")[1].split("]")[0]
+        return len(out.select(F.input_file_name()).distinct().collect())
+
+    flat = run_export(read, ExportRequest(parameters=["q"], early="19970310", late="19970520"))
+    assert sorted(r.q for r in flat.collect()) == [14.0, 15.0, 16.0]
+    files_of(flat)
+    moved = stage_discharge.select_dates(read.withColumn("measurement_date", F.to_date("measurement_date")), "1997-03-16", "19970520")
+    assert sorted(r.q for r in moved.collect()) == [15.0, 16.0] and files_of(moved) <= 3
+    loaded = section_profiles.load_points(read, {"nivus": {"enabled": True}})
+    chosen = section_profiles.select_rows(loaded, start="19970310", end="1997-05-20")
+    assert sorted(r.q for r in chosen.collect()) == [14.0, 15.0, 16.0]
+    files_of(chosen)
+    assert run_export(read, ExportRequest(parameters=["q"])).count() == 49
+    assert tables.within_months(read, "March 1997", None).count() == 50 and tables.within_months(df, "19970310", None).count() == 50
+
+
+def test_a_stray_date_makes_one_more_block(spark):
+    from limnospark.plans.table_export import ExportRequest, export_blocks, run_export
+
+    rows = [("m9", "P1", "2025-01-05", 1.0), ("m9", "P1", "2025-03-05", 2.0), ("m9", "P2", "9999-12-31", 3.0), ("m9", "P1", "99999999", 9.0), ("m9", "P1", None, 9.0)]
+    df = spark.createDataFrame(rows, "instrument string, station_id string, measurement_date string, q double")
+    request = ExportRequest(parameters=["q"], grouping="monthly")
+    with pytest.raises(ValueError, match="export_blocks"):
+        run_export(df, request)
+    blocks = list(export_blocks(df, request, width=24))
+    assert [(p[0], p[-1], len(p)) for p, _ in blocks] == [("202501", "202612", 24), ("999901", "999912", 12)]
+    first, last = ({r.station_id: r.asDict() for r in wide.collect()} for _, wide in blocks)
+    assert set(first) == set(last) == {"P1", "P2"}
+    assert first["P1"]["202503 | q"] == 2.0 and first["P2"]["202501 | q"] is None and last["P2"]["999912 | q"] == 3.0
+    assert len(list(export_blocks(df, ExportRequest(parameters=["q"], grouping="daily", early="20250101", late="20250310"), width=30, filled=False))) == 3
+    long = run_export(df, ExportRequest(parameters=["q"], grouping="monthly", late="20250331"), long=True)
+    assert sorted((r.period, r.q) for r in long.where("station_id = 'P1'").collect()) == [("202501", 1.0), ("202502", None), ("202503", 2.0)]
+    assert list(export_blocks(df.limit(0), request)) == []
+
+
+def test_periods_of_a_calendar():
+    from limnospark.operators.reshape import period_axis, period_count
+
+    assert period_axis("20241130", "20250201", "monthly") == ["202411", "202412", "202501", "202502"]
+    assert period_axis("20240228", "20240301", "daily") == ["20240228", "20240229", "20240301"]
+    assert period_count("00010101", "99991231", "monthly") == 9999 * 12 and period_axis("00010101", "99991231", "daily", 31, 1) == ["00010201"]
+    assert period_axis("20250201", "20250101", "monthly") == []
