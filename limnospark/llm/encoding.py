@@ -32,11 +32,11 @@ class Encoder(dict):
     """Ids of whole texts, as the library gives them without adding special tokens.
 
     Texts are parted at the vocabulary's added tokens, such as "<|endoftext|>", which are ids of their own. Each distinct piece between white space goes to the library once; as a dictionary, the encoder holds the
-    ids of pieces met so far, `remember` at most. A word of letters alone goes straight to the library's
+    ids of pieces met so far: `remember` of them and as many older ones, from which those still met are taken over. A word of letters alone goes straight to the library's
     model, since the vocabulary's own split leaves it whole; every other piece takes the library's full path.
     """
 
-    def __init__(self, path: str, remember: int = 300_000):
+    def __init__(self, path: str, remember: int = 400_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -50,6 +50,7 @@ class Encoder(dict):
         self._letters = _byte_letters()
         self._blank = self._letters[32]
         self._remember = remember
+        self._older: dict[str, bytes] = {}
         self.size = self._tokenizer.get_vocab_size()
 
     def encode(self, text: str) -> np.ndarray:
@@ -58,6 +59,7 @@ class Encoder(dict):
     def encode_bytes(self, text: str) -> bytes:
         """The ids as native unsigned 32-bit integers."""
         if len(self) > self._remember:
+            self._older = dict(self)
             self.clear()
         if not self._added or not self._marks.search(text):
             return b"".join(map(self.__getitem__, _PIECES.findall(text)))
@@ -67,6 +69,10 @@ class Encoder(dict):
         return b"".join(self._added[part] if i % 2 else b"".join(map(self.__getitem__, _PIECES.findall(part))) for i, part in enumerate(parts))
 
     def __missing__(self, piece: str) -> bytes:
+        known = self._older.get(piece)
+        if known is not None:
+            self[piece] = known
+            return known
         word = piece.rstrip(_MARKS)
         if not word.lstrip(" ").isalpha():
             ids = self._tokenizer.encode(piece, add_special_tokens=False).ids
