@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 # Rows of one group that one task sorts together.
 BLOCK_POSITIONS = 65_536
+# Blocks that the rows of one group without a position are dealt out to.
+MISSING_PARTS = 1_024
 # A group is hot above this share of all rows, so fewer than 1,024 groups can be hot.
 HOT_SHARE = 1.0 / 1024
 HOT_MIN_ROWS = 1_000_000
@@ -64,23 +66,32 @@ def rank_in_group(
 ) -> DataFrame:
     """1-based rank by `position` (then `ties`) inside each group, and the group size if asked.
 
-    Rank = rank inside the block + rows in the blocks before it.
+    Rank = rank inside the block + rows in the blocks before it. Rows without a position come first. They may be any number, so
+    they are dealt out to blocks of their own: by the first tie where it is a number, else, without ties, by a hash of
+    the row, since any order of them will do.
     """
-    blocked = df.withColumn("__block", _block(position, width))
-    inside = W.partitionBy(*keys, "__block").orderBy(F.col(position).asc_nulls_first(), *ties)
-    counts = blocked.groupBy(*keys, "__block").agg(F.count(F.lit(1)).alias("__n"))
-    over_blocks = W.partitionBy(*keys).orderBy("__block")
+    missing = F.col(position).isNull()
+    if not ties:
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(MISSING_PARTS))
+    elif isinstance(df.schema[ties[0]].dataType, T.NumericType):
+        part = F.floor(F.col(f"`{ties[0]}`") / width)
+    else:
+        part = F.lit(0)
+    blocked = df.withColumn("__block", _block(position, width)).withColumn("__part", F.when(missing, part).cast("bigint"))
+    block = [*keys, "__block", "__part"]
+    inside = W.partitionBy(*block).orderBy(F.col(position).asc_nulls_first(), *ties)
+    counts = blocked.groupBy(*block).agg(F.count(F.lit(1)).alias("__n"))
+    over_blocks = W.partitionBy(*keys).orderBy("__block", F.col("__part").asc_nulls_first())
     offsets = counts.select(
-        *keys, "__block",
+        *block,
         F.coalesce(F.sum("__n").over(over_blocks.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
         F.sum("__n").over(W.partitionBy(*keys)).alias("__size"),
     )
-    ranked = null_safe_join(
-        blocked.withColumn("__inside", F.row_number().over(inside)), offsets, [*keys, "__block"]
-    ).withColumn(rank, (F.col("__inside") + F.col("__before")).cast("bigint"))
+    ranked = null_safe_join(blocked.withColumn("__inside", F.row_number().over(inside)), offsets, block).withColumn(
+        rank, (F.col("__inside") + F.col("__before")).cast("bigint"))
     if size:
         ranked = ranked.withColumn(size, F.col("__size"))
-    return ranked.drop("__block", "__inside", "__before", "__size")
+    return ranked.drop("__block", "__part", "__inside", "__before", "__size")
 
 
 def join_group_table(

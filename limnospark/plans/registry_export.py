@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from limnospark.functions import dates as D, text as T
+from limnospark.operators.groups import null_safe_join, rank_in_group
 from limnospark.operators.matching import first_match_lookup, lookup_with_count, masked_lookup
-from limnospark.session import cut_lineage
 from limnospark.sources.keyed_files import write_keyed
 
 SELECTION_COLUMNS = ("station_id", "measurement_date", "measurement_time", "instrument", "export_id")
@@ -57,27 +57,30 @@ def build_selection(
         df = df.where(F.col("measurement_date") >= early)
     if late:
         df = df.where(F.col("measurement_date") <= late)
-    number = numbered(df, ["instrument", "station_id", "measurement_date", "measurement_time"])
+    number = numbered(df)
     text = T.pad_left(F.col("number").cast("string"), 3)
     return number.select(*SELECTION_COLUMNS[:4], F.concat(F.lit(prefix), text).alias("export_id"))
 
 
-def numbered(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Running number over a whole table in a given order.
+def numbered(df: DataFrame) -> DataFrame:
+    """Running number of measurements by instrument, station, date and time, missing values first.
 
-    A distributed sort gives every row its place inside its partition; adding up one count per
-    partition turns places into numbers. The sorted rows are checkpointed, so both steps see the
-    same partitions even if an executor is lost in between.
+    A number is the rows of earlier instruments, plus those of earlier stations of the instrument, plus the rank in the station, which is
+    taken in blocks of days. Only counts are ordered beyond a block: one for each station, then one for each instrument.
     """
-    placed = cut_lineage(df.orderBy(*order).withColumn("__place", F.monotonically_increasing_id()))
-    placed = placed.withColumn("__part", F.shiftright("__place", 33))
-    parts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
-    before = F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
-    starts = parts.select("__part", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
-    # One row per sort partition.
-    numbered_rows = placed.join(F.broadcast(starts), "__part")
-    number = F.col("__place") - F.col("__first") + F.col("__before") + 1
-    return numbered_rows.withColumn("number", number).drop("__place", "__part", "__first", "__before")
+    keys = ["instrument", "station_id"]
+    stations = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    instruments = stations.groupBy("instrument").agg(F.sum("__rows").alias("__all"))
+    earlier = lambda spec: spec.rowsBetween(W.unboundedPreceding, -1)
+    # one row for each instrument
+    first = instruments.select("instrument", F.coalesce(F.sum("__all").over(earlier(W.orderBy(F.col("instrument").asc_nulls_first()))), F.lit(0)).alias("__first"))
+    own = F.coalesce(F.sum("__rows").over(earlier(W.partitionBy("instrument").orderBy(F.col("station_id").asc_nulls_first()))), F.lit(0))
+    starts = null_safe_join(stations.select(*keys, own.alias("__own")), first, ["instrument"])
+    # texts that are no day stand behind all days, in their own order
+    day = F.when(F.col("measurement_date").isNotNull(), F.coalesce(F.when(F.length("measurement_date") == 8, F.col("measurement_date").try_cast("int")), F.lit(10 ** 9)))
+    ranked = rank_in_group(df.withColumn("__day", day), keys, "__day", ["measurement_date", "measurement_time"], "__rank")
+    return null_safe_join(ranked, starts, keys).withColumn("number", F.col("__first") + F.col("__own") + F.col("__rank")).drop(
+        "__day", "__rank", "__own", "__first")
 
 
 def _per_instrument(configs: Mapping[str, Mapping], pick) -> Column:

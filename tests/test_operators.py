@@ -284,3 +284,32 @@ def test_periods_of_a_calendar():
     assert period_axis("20240228", "20240301", "daily") == ["20240228", "20240229", "20240301"]
     assert period_count("00010101", "99991231", "monthly") == 9999 * 12 and period_axis("00010101", "99991231", "daily", 31, 1) == ["00010201"]
     assert period_axis("20250201", "20250101", "monthly") == []
+
+
+def test_rows_without_a_position_rank_in_many_parts(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 10 != 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("k"), F.when(F.col("id") % 6 == 0, F.col("id")).alias("pos"), "id")
+    plain = groups.rank_in_group(df, ["k"], "pos", size="n")
+    rows = {}
+    for r in plain.collect():
+        rows.setdefault(r.k, []).append((r.rank, r.pos, r.n))
+    for found in rows.values():
+        found.sort()
+        assert [rank for rank, _, _ in found] == list(range(1, len(found) + 1)) and {n for _, _, n in found} == {len(found)}
+        positions = [pos for _, pos, _ in found if pos is not None]
+        assert positions == sorted(positions) and all(pos is None for _, pos, _ in found[:len(found) - len(positions)])
+    tied = groups.rank_in_group(df, ["k"], "pos", ["id"], width=1_000).where("pos is null and k = 'hot'").orderBy("rank").collect()
+    assert [r.id for r in tied] == sorted(r.id for r in tied)
+    # no task sorts the whole group
+    parts = df.where("k = 'hot' and pos is null").groupBy(F.pmod(F.xxhash64("k", "pos", "id"), F.lit(groups.MISSING_PARTS))).count()
+    assert parts.agg(F.max("count")).first()[0] < 200
+
+
+def test_selection_numbers(spark):
+    from limnospark.plans.registry_export import numbered
+
+    rows = [(i, s, d, t) for i in ("m9", None, "a") for s in ("2", "10", None) for d in ("20250102", "20241231", "later", None) for t in ("101500", "090000")]
+    df = spark.createDataFrame(rows, "instrument string, station_id string, measurement_date string, measurement_time string")
+    got = [tuple(r)[:4] for r in numbered(df).orderBy("number").select("instrument", "station_id", "measurement_date", "measurement_time").collect()]
+    assert got == sorted(rows, key=lambda r: tuple((v is not None, v or "") for v in r))
+    assert [r.number for r in numbered(df).orderBy("number").collect()] == list(range(1, len(rows) + 1))
