@@ -43,11 +43,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     folder = f"{shared_folder(df.sparkSession)}/limnospark-{label}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def cut_lineage(df):
-    """Checkpoint into the shared folder the cluster names."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
