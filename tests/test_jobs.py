@@ -79,6 +79,31 @@ def test_profiler_documents(spark):
     assert "Exchange" not in out["Points"]._jdf.queryExecution().executedPlan().toString()
 
 
+def test_profiler_documents_by_group(spark):
+    """A group alone gives the rows that it gives beside the others, from a schema without the others; the rejected files are the same."""
+    broken = XML[:XML.index("<gate")] + "<gate"
+    docs = spark.createDataFrame([("/r/P9/a.xml", XML), ("/r/P9/b_20250102_030405.xml", XML.replace("2025-06-25T10:14:46", "later")), ("/r/c.xml", broken),
+                                  ("/r/d.xml", "<archive ver='2'/>"), ("/r/e.xml", None)], "file string, content string")
+    whole = ingest.ingest_xml(docs)
+    rejected = sorted(whole["rejected"].collect())
+    assert [r.status for r in rejected] == ["unreadable", "no timestamp", "unreadable"]
+    for group in ("Summary", "Sections", "Points", "Gates"):
+        alone = ingest.ingest_xml(docs, groups=(group,))
+        assert sorted(alone) == sorted([group, "rejected"]) and alone[group].columns == whole[group].columns
+        assert sorted(map(str, alone[group].collect())) == sorted(map(str, whole[group].collect()))
+        assert sorted(alone["rejected"].collect()) == rejected
+    assert sorted(ingest.ingest_xml(docs, groups=())["rejected"].collect()) == rejected
+    plan = ingest.ingest_xml(docs, groups=("Points",))["Points"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "sect" not in plan and "gate" not in plan
+
+
+def test_dis_summary_cuts_each_stamp_once(spark):
+    """An expression that is used twice is worked out twice: the start stamp is cut at slashes, then at dashes."""
+    docs = spark.createDataFrame([("/r/P1/a.dis", "x")], "file string, text string")
+    plan = ingest.ingest_dis(docs)["Summary"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[/], -1") == 1
+
+
 def test_sheet_without_sentence_uses_the_cross(spark):
     cells = [("ESTACION", 1, 0), ("P 7", 1, 1), ("FECHA", 2, 0), ("15/12/2025", 2, 1), ("M.I", 4, 3), ("M.D", 4, 5), ("X", 6, 5), ("AFORO", 0, 0),
              ("Vert n", 10, 0), ("1", 13, 0), ("2,5", 13, 2), ("0,4", 13, 3), ("0,5", 15, 13), ("-", 16, 2), ("3", 14, 5), ("2", 13, 5)]
