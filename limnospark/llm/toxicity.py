@@ -15,22 +15,22 @@ A document's likeness is log P(text | toxic) - log P(text | ordinary), divided b
 alone, so a task works each word out once: the longest gram known decides, each unknown one adds the ratio of the classes' backoff weights.
 A logistic curve over the likeness, fitted to labelled documents that the models have not seen, makes it a score.
 
-The counts cover all documents. What goes to every task is bounded: the `most` most frequent grams and contexts at most; rarer ones are left
-to their shorter parts.
+The counts cover all documents. What goes to every task is bounded: the `most` most frequent grams and contexts at most. If there are more, the
+documents' grams that are not among those are looked up in the whole table by a join, so that every gram counts as it is.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from limnospark.llm.shared import documents, release_memory, stored
+from limnospark.llm.shared import documents, release_memory, stored, text_of
 
 _COUNTS = ("n_all", "n_toxic", "n_ordinary")
 #: Words that a task remembers, and the length from which it remembers none.
@@ -47,6 +47,12 @@ class Models:
     contexts: dict[str, float] = field(default_factory=dict)
     slope: float = 1.0
     middle: float = 0.0
+    #: All grams and contexts (key, value, is_gram), if there are more than are held here.
+    table: DataFrame | None = None
+
+    def held(self) -> Models:
+        """What goes to the tasks."""
+        return replace(self, table=None)
 
     def word(self, word: str) -> float:
         """log P(word | toxic) - log P(word | ordinary)."""
@@ -194,8 +200,8 @@ def ratios(counts: DataFrame, order: int, shared: int) -> DataFrame:
     return found
 
 
-def _most_frequent(found: DataFrame, most: int) -> DataFrame:
-    """The rows above a count at which no more than `most` remain; counts are told apart by an eighth of an octave."""
+def _most_frequent(found: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """The rows above a count at which no more than `most` remain, and whether they are all; counts are told apart by an eighth of an octave."""
     size = F.floor(8 * F.log2(F.col("n"))).cast("int")
     held = sorted(((r.size, r.rows) for r in found.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)  # 512 rows at most
     total, least = 0, 0
@@ -204,7 +210,7 @@ def _most_frequent(found: DataFrame, most: int) -> DataFrame:
         if total > most:
             least = level + 1
             break
-    return found.where(size >= least)
+    return found.where(size >= least), least == 0
 
 
 def _curve(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -250,7 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", use: Column |
     seen = counts.agg(F.max("n_toxic"), F.max("n_ordinary")).first()
     if not seen[0] or not seen[1]:
         return models
-    rows = _most_frequent(stored(ratios(counts, order, shared), "toxicity-ratios"), most).select("key", "value", "is_gram").toArrow()  # `most` rows
+    found = stored(ratios(counts, order, shared), "toxicity-ratios")
+    frequent, whole = _most_frequent(found, most)
+    models.table = None if whole else found
+    rows = frequent.select("key", "value", "is_gram").toArrow()  # `most` rows
     for key, value, is_gram in zip(*(rows[c].to_pylist() for c in ("key", "value", "is_gram"))):
         (models.grams if is_gram else models.contexts)[key] = value
     chosen = known.where("for_curve").withColumn("order", F.xxhash64(F.lit("curve"), "doc_id")).orderBy("order", "doc_id").limit(curve)
@@ -269,6 +278,8 @@ def score_documents(docs: DataFrame, models: Models, *keep: str, threshold: floa
     taken = {"likeness", "score", "predicted"} & set(keep)
     if taken:
         raise ValueError(f"{sorted(taken)} are names of the result")
+    if models.table is not None:
+        return _scored_by_table(docs, models, keep).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     held = docs.sparkSession.sparkContext.broadcast(models)
     given = docs.select(*keep, F.col("text").cast("string").alias("__text"))
     fields = docs.select(*keep).schema.fields
@@ -285,3 +296,65 @@ def score_documents(docs: DataFrame, models: Models, *keep: str, threshold: floa
         release_memory()
 
     return given.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def _open_grams(text: str, models: Models) -> tuple[float, int, Counter]:
+    """The sum over the grams that the models hold, the number of letters, and the other grams with their counts."""
+    total, letters, other = 0.0, 0, Counter()
+    for word, n in Counter(words_of(text)).items():
+        letters += n * (len(word) + 1)
+        for gram in grams_of(word, models.order)[models.shared - 1:]:
+            value = models.grams.get(gram)
+            if value is None:
+                other[gram] += n
+            else:
+                total += n * value
+    return total, letters, other
+
+
+def _values(grams: DataFrame, models: Models) -> DataFrame:
+    """gram and value of distinct grams, as `Models.unknown` has them, by joins with the whole table."""
+    known, weights = models.table.where("is_gram"), models.table.where("NOT is_gram")
+    lengths = range(models.order, models.shared, -1)
+    asked = {models.order: grams}  # any lengths; a shorter gram is its own shorter part
+    for k in lengths[1:]:
+        asked[k] = asked[k + 1].select(F.expr(f"right(gram, least({k}, length(gram)))").alias("gram")).distinct()
+    value = None
+    for k in reversed(lengths):
+        rows = asked[k].join(known.select(F.col("key").alias("gram"), F.col("value").alias("own")), "gram", "left")
+        context = F.expr("substring(gram, 1, length(gram) - 1)")
+        rows = rows.withColumn("context", F.when(F.length("gram") == k, context))
+        rows = rows.join(weights.select(F.col("key").alias("context"), F.col("value").alias("weight")), "context", "left")
+        shorter = F.lit(0.0)
+        if value is not None:
+            rows = rows.withColumn("rest", F.expr(f"right(gram, least({k - 1}, length(gram)))"))
+            rows, shorter = rows.join(value.select(F.col("gram").alias("rest"), F.col("value").alias("below")), "rest", "left"), F.col("below")
+        value = rows.select("gram", F.coalesce("own", F.coalesce("weight", F.lit(0.0)) + shorter).alias("value"))
+    return value
+
+
+def _scored_by_table(docs: DataFrame, models: Models, keep: tuple[str, ...]) -> DataFrame:
+    """The columns `keep` with likeness and score, for more grams than a task can hold."""
+    spark, names = docs.sparkSession, [f"__{i}" for i in range(len(keep))]
+    held = spark.sparkContext.broadcast(models.held())
+    given = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names)), text_of("text").alias("__text"))
+    fields = [*given.schema.fields[:-1], *StructType.fromDDL("__sum double, __letters long, __open array<struct<gram: string, n: long>>").fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_open_grams(text.as_py(), held.value) for text in batch["__text"]]
+            other = [[{"gram": g, "n": n} for g, n in o.items()] for _, _, o in found]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[n] for n in names), pa.array([s for s, _, _ in found], pa.float64()), pa.array([n for _, n, _ in found], pa.int64()),
+                 pa.array(other, pa.list_(pa.struct([("gram", pa.string()), ("n", pa.int64())])))], names=[f.name for f in fields])
+        release_memory()
+
+    rows = stored(given.mapInArrow(run, StructType(fields)).withColumn("__row", F.monotonically_increasing_id()), "toxicity-rows")
+    grams = rows.select("__row", F.inline("__open").alias("gram", "n"))
+    values = _values(grams.select("gram").distinct(), models)
+    sums = grams.join(values, "gram").groupBy("__row").agg(F.sum(F.col("n") * F.col("value")).alias("__more"))
+    total = F.col("__sum") + F.coalesce("__more", F.lit(0.0))
+    likeness = F.when(F.col("__letters") > 0, total / F.col("__letters")).otherwise(0.0)
+    power = F.greatest(F.least(F.lit(models.slope) * (F.col("likeness") - models.middle), F.lit(35.0)), F.lit(-35.0))
+    return rows.join(sums, "__row", "left").select(*(F.col(n).alias(c) for n, c in zip(names, keep)), likeness.alias("likeness")).withColumn(
+        "score", 1 / (1 + F.exp(-power)))

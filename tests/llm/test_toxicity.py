@@ -107,6 +107,22 @@ def test_small_corpus(spark):
     assert 0 < len(fewer.grams) + len(fewer.contexts) <= 50 < len(models.grams)
 
 
+@pytest.mark.parametrize("order, shared, most", [(4, 2, 40), (5, 2, 10), (3, 2, 0)])
+def test_grams_that_no_task_holds_are_looked_up(spark, order, shared, most):
+    """With room for few grams the scores are those of all grams."""
+    texts = [f"{a} {b}" for a, b in zip(CALM * 10, (RUDE * 15)[:60])] + ["", None, "unheard zzz \u00e9t\u00e9 idiotward", "x"]
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)] + [(None, texts[0], 7), (1, texts[1], 8)], "doc_id long, text string, score long").drop("score")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    whole = toxicity.fit(docs, labels, order=order, shared=shared)
+    few = toxicity.fit(docs, labels, order=order, shared=shared, most=most)
+    assert whole.table is None and few.table is not None and len(few.grams) + len(few.contexts) <= most
+    assert math.isclose(few.slope, whole.slope, rel_tol=1e-6) and math.isclose(few.middle, whole.middle, rel_tol=1e-6, abs_tol=1e-9)
+    want, got = (sorted(((str(r.doc_id), r.likeness, r.score, r.predicted) for r in toxicity.score_documents(docs, m, "doc_id").collect())) for m in (whole, few))
+    assert len(got) == len(want) == len(texts) + 2
+    for a, b in zip(want, got):
+        assert a[0] == b[0] and a[1:3] == pytest.approx(b[1:3], rel=1e-6, abs=1e-9)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     got = QUERIES["op12_toxicity"](spark, folder)
