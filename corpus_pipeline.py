@@ -33,9 +33,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word Jaccard similarity of 0.8 or more) the document with the smallest id; documents
-    without an id stay if their whole group has none."""
-    return near_copies.without_near_copies(docs, words=5, similarity=0.8)
+    """Of each group of near-duplicates the document with the smallest id: SimHash fingerprints within two bits, as `op1_simhash` links them,
+    and an exact join for the near-copies that so few bits cannot reach (five-word Jaccard similarity of 0.8 or more). Documents without an
+    id stay if their whole group has none."""
+    return near_copies.without_near_copies(docs, words=5, similarity=0.8, bits=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

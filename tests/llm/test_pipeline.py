@@ -12,6 +12,7 @@ import test_mixing  # noqa: E402
 import test_near_copies as near  # noqa: E402
 import test_packing  # noqa: E402
 from __spark_entry__ import queries  # noqa: E402
+from limnospark.llm import simhash  # noqa: E402
 from limnospark.llm.queries import MIX_SEED, MIX_WEIGHTS, QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -78,6 +79,18 @@ def test_near_copies_of_documents_of_many_lines(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
 
 
+def test_near_copies_by_fingerprint(spark):
+    """What the SimHash operator links is one group, whatever its sets' similarity: repeats count there, and not in a set."""
+    def text(i, j):
+        return " ".join([f"a{i} b{i} c{i}"] * 100 + [f"own{i}x{j}y{k}" for k in range(30)])
+
+    rows = [(10 * j + i, text(i, j)) for i in range(5) for j in range(3)] + [(100, " ".join(f"w{k}" for k in range(60)))]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    linked = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(linked) == [0, 1, 2, 3, 4, 100]
+
+
 CLASHING = {"score": 1.5, "predicted": "p", "whole": 2, "rest": None, "last": "z", "epoch": 3, "label": "l", "tokens": 7, "kept": "k", "line": 1, "size": 2, "id": 5}
 
 
