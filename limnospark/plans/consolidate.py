@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from limnospark.functions.dates import with_computed
 from limnospark.functions.text import file_name_metadata, null_if_blank
 from limnospark.operators.choose import first_row
 from limnospark.operators.groups import attach_group_values
 from limnospark.operators.specs import RAW_TRACE_COLUMNS, alias_mapping, apply_aliases, ref, trace_first
-from limnospark.sources.tables import run_columns, select_runs
+from limnospark.sources.tables import run_parts, select_runs
 
 # Raw columns that may hold each trace value.
 TRACE_CANDIDATES = {
@@ -31,26 +32,41 @@ def fill_trace(
     "First" is by row number inside the file. The file's values are attached by row block, so one
     large file does not end up in one task.
     """
+    firsts = trace_firsts(df.columns, row, candidates)
+    attached = attach_group_values(df, [file], row, firsts)
+    return attached.withColumns(_filled(df.columns, firsts, defaults, candidates)).drop(*firsts)
+
+
+def trace_firsts(columns: Sequence[str], row: str, candidates: Mapping[str, Sequence[str]] = TRACE_CANDIDATES) -> dict[str, Column]:
+    """Aggregates: the first non-empty value by row number of each candidate column that is there."""
     firsts: dict[str, Column] = {}
-    for name, columns in candidates.items():
-        for i, column in enumerate(c for c in columns if c in df.columns):
+    for name, wanted in candidates.items():
+        for i, column in enumerate(c for c in wanted if c in columns):
             value = null_if_blank(ref(column).cast("string"))
             firsts[f"__{name}_{i}"] = F.min_by(value, F.when(value.isNotNull(), F.col(row)))
-    attached = attach_group_values(df, [file], row, firsts)
+    return firsts
+
+
+def _filled(columns: Sequence[str], firsts: Mapping[str, Column], defaults: Mapping[str, Column], candidates: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     filled = {}
     for name in dict.fromkeys([*candidates, *defaults]):
-        own = [null_if_blank(ref(name).cast("string"))] if name in df.columns else []
+        own = [null_if_blank(ref(name).cast("string"))] if name in columns else []
         found = [F.col(c) for c in firsts if c.rsplit("_", 1)[0] == f"__{name}"]
         default = [defaults[name]] if name in defaults else []
         filled[name] = F.coalesce(*own, *found, *default, F.lit(""))
-    return attached.withColumns(filled).drop(*firsts)
+    return filled
 
 
 def describe_files(rows: DataFrame, path: str, group: str) -> DataFrame:
     """One row per file: run, instrument, group and what its name says."""
-    files = rows.select(path).distinct()
+    return described_files(rows.select(path).distinct(), path, group)
+
+
+def described_files(files: DataFrame, path: str, group: str) -> DataFrame:
+    """As `describe_files`, from a table with one row per file."""
     named = file_name_metadata(F.col(path), group)
-    return files.withColumns({**run_columns(F.col(path)), "named": named}).where(F.col("group") == group)
+    told = with_computed(files, {"__run": run_parts(F.col(path))}).select(*[ref(c) for c in files.columns], "__run.*")
+    return told.where(F.col("group") == group).withColumn("named", named)
 
 
 def select_files(
@@ -89,8 +105,15 @@ def build_group(
     include: Sequence[str] = (), exclude: Sequence[str] = (), latest_only: bool = False,
     deduplicate: bool = True, by: Sequence[str] = ("filename",), aliases: Mapping | None = None,
 ) -> dict[str, DataFrame]:
-    """One instrument's group from all its runs: the consolidated rows and the manifest."""
-    files = describe_files(rows, path, group).where(F.col("instrument") == instrument)
+    """One instrument's group from all its runs: the consolidated rows and the manifest.
+
+    One aggregation lists the files and finds the first values that fill their trace columns, so that the rows are joined once,
+    to the chosen files. A hash of the path goes before it in grouping and join, since paths begin alike and are slow to sort.
+    """
+    data = apply_aliases(rows, alias_mapping(aliases, instrument, group)).withColumn("__hash", F.xxhash64(path))
+    firsts = trace_firsts([c for c in data.columns if c != "__hash"], row)
+    listed = data.groupBy("__hash", path).agg(F.count(F.lit(1)).alias("__rows"), *[value.alias(name) for name, value in firsts.items()])
+    files = described_files(listed, path, group).where(F.col("instrument") == instrument)
     if include or exclude or latest_only:
         files = files.join(select_runs(files, include, exclude, latest_only).select("pipeline", "run_id").distinct(), ["pipeline", "run_id"], "left_semi")
     known = {"filename", "csv_filename", "csv_path", "run_id", "source_run_dir", "instrument", "group"}
@@ -105,15 +128,11 @@ def build_group(
             keyed = keyed.withColumn(k, F.coalesce(*own, *named, F.lit("")))
     chosen = select_files(keyed, by, path, deduplicate)
     described = {c: f"__{c}" for c in ("run_id", "source_run_dir", "instrument", "named")}
-    kept = rows.join(
-        chosen.select(path, *[F.col(c).alias(a) for c, a in described.items()]), path
-    )
-    extra = list(described.values())
-    data = apply_aliases(kept, alias_mapping(aliases, instrument, group))
-    filled = fill_trace(data, path, row, {
+    kept = data.join(chosen.select("__hash", path, *[F.col(c).alias(a) for c, a in described.items()], *firsts), ["__hash", path])
+    filled = kept.withColumns(_filled(data.columns, firsts, {
         "station_id": F.col("__named.station_id"), "measurement_date": F.col("__named.measurement_date"),
         "measurement_time": F.col("__named.measurement_time"), "instrument": F.col("__instrument"),
         "source_file": F.col(path), "source_run_dir": F.col("__source_run_dir"), "run_id": F.col("__run_id"),
-    })
-    return {"rows": trace_first(filled.drop(*extra, path, row), RAW_TRACE_COLUMNS), "manifest": manifest(files, chosen, path)}
-
+    }, TRACE_CANDIDATES))
+    out = filled.drop("__hash", *described.values(), *firsts, path, row)
+    return {"rows": trace_first(out, RAW_TRACE_COLUMNS), "manifest": manifest(files, chosen, path)}
