@@ -48,8 +48,8 @@ SELECT pipeline, run_id FROM runs WHERE right(run_id, 1) <> '7' AND right(run_id
 def chosen_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Runs kept by the lists of runs to include and to exclude."""
     runs = tables.list_runs(consolidation._rows(spark, sf).select("csv_path"))
-    names = [r.run_id for r in table(spark, sf, "lineitem").select(F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lit("_"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("run_id"))
-             .where("right(run_id, 2) = '13'").distinct().collect()]  # the list that a user would write
+    names = table(spark, sf, "lineitem").select(F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lit("_"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("run_id")).where(
+        "right(run_id, 2) = '13'").distinct()  # grows with the runs, so it is a table
     left = tables.select_runs(runs, exclude=names)
     wanted = left.where("right(run_id, 1) <> '7'").select("run_id").distinct()
     return left.join(wanted, "run_id", "left_semi").select("pipeline", "run_id")
