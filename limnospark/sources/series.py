@@ -64,24 +64,25 @@ def station_series(df: DataFrame, timestep: str, flow: str = "q(m3/s)") -> DataF
     grains = FALLBACKS[timestep]
     rank = F.array_position(F.array(*[F.lit(g) for g in grains]), F.col("timestep"))
     ranked = df.where(F.col("timestep").isin(*grains)).withColumn("__rank", rank)
-    # One row per station and grain decides; the data rows are then kept by a semi join.
-    chosen = ranked.groupBy("station").agg(F.min("__rank").alias("__rank"))
-    used = ranked.join(chosen, ["station", "__rank"], "left_semi")
-    rows = used.select(
-        "station", D.date_of(used, "date").alias("date"),
-        (N.number_of(used, flow) * 1000.0).alias("q_station_ls"),
+    rows = ranked.where("station is not null").select(
+        "station", "__rank", D.date_of(ranked, "date").alias("date"),
+        (N.number_of(ranked, flow) * 1000.0).alias("q_station_ls"),
         *([F.coalesce("time", F.lit("00:00:00")).alias("time")] if "time" in df.columns else []),
     ).dropna(subset=["date", "q_station_ls"])
-    if timestep == "hourly":
+    if timestep == "hourly":  # one grain only, so there is nothing to choose
         return rows.select("station", "date", "time", "q_station_ls")
-    return station_means(rows, timestep)
+    # One row per station and grain decides. The grains are averaged before the choice, so that the join meets one row
+    # per station, grain and period: a few stations with many rows would otherwise be a task each.
+    chosen = ranked.groupBy("station").agg(F.min("__rank").alias("__rank"))
+    means = station_means(rows, timestep, ("__rank",))
+    return means.join(chosen, ["station", "__rank"], "left_semi").drop("__rank")
 
 
-def station_means(rows: DataFrame, timestep: str) -> DataFrame:
-    """Mean flow per day, or per month named by its first day."""
+def station_means(rows: DataFrame, timestep: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Mean flow per day, or per month named by its first day; `keys` are kept apart."""
     day = D.month_start(F.col("date")) if timestep == "monthly" else F.col("date")
     name = "month" if timestep == "monthly" else "date"
-    return rows.groupBy("station", day.alias(name)).agg(F.avg("q_station_ls").alias("q_station_ls"))
+    return rows.groupBy("station", *keys, day.alias(name)).agg(F.avg("q_station_ls").alias("q_station_ls"))
 
 
 def read_manual_stage(spark: SparkSession, folder: str) -> DataFrame:
