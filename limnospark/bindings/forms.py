@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limnospark.bindings.registry import iso, query, rnd, rounded, table
+from limnospark.bindings.registry import iso, query, rnd, rounded, spread, table
 from limnospark.functions import dates as D, numbers as N, text as T
 from limnospark.operators.instrument_specs import instrument_spec
 from limnospark.operators.specs import alias_mapping, apply_aliases, normalize_table
@@ -65,13 +65,17 @@ def date_forms(spark: SparkSession, sf: str) -> DataFrame:
     compact = F.date_format(d, "yyyyMMdd")
     serial = F.datediff(d.cast("date"), F.to_date(F.lit("1899-12-30"))).cast("string")
     stamp = D.measurement_timestamp(iso(d), F.lit("10:20:30"))
-    return table(spark, sf, "orders").select(
-        "o_orderkey", iso(D.iso_date(text)).alias("month_first"), iso(D.iso_date(text, day_first=True)).alias("day_first"),
+    # The file is one of a few, so its rows are dealt out; what is shown twice is worked out once.
+    orders = D.with_computed(spread(table(spark, sf, "orders").select("o_orderkey", "o_orderdate")), {"text": text, "compact": compact})
+    dates = D.with_computed(orders, {"month_first": D.iso_date(F.col("text"))})
+    compact = F.col("compact")
+    return dates.select(
+        "o_orderkey", iso("month_first").alias("month_first"), iso(D.iso_date(F.col("text"), day_first=True)).alias("day_first"),
         D.eight_digit_date(F.concat(F.lit("P1_"), compact, F.lit("_x"))).alias("eight_digits"), iso(D.serial_date(serial)).alias("serial"),
-        D.format_stamp(stamp, "%d/%m/%Y %H:%M:%S").alias("stamp"), iso(D.month_start(D.iso_date(text))).alias("month"),
+        D.format_stamp(stamp, "%d/%m/%Y %H:%M:%S").alias("stamp"), iso(D.month_start(F.col("month_first"))).alias("month"),
         D.period_label(compact, F.lit(None), "monthly").alias("period"),
         D.first_stamp(F.concat(F.lit("start "), iso(d), F.lit(" 01:02:03 end"))).alias("first_stamp"),
-        iso(D.path_date(F.concat(F.lit("/data/20009999_"), F.date_format(d, "yyyyMMdd"), F.lit("/a.xls")))).alias("path_date"),
+        iso(D.path_date(F.concat(F.lit("/data/20009999_"), compact, F.lit("/a.xls")))).alias("path_date"),
         D.file_stamp(F.concat(F.lit("P1_20000101_010101_"), compact, F.lit("_101112.xml")))["measurement_date"].alias("file_date"),
         iso(D.iso_date_or(F.lit("1970-01-01"), compact)).alias("or_file"))
 
