@@ -10,7 +10,7 @@ from limnospark.bindings import analysis, checks, correlations, exports
 from limnospark.bindings.registry import ORACLES, iso, query, rounded, table
 from limnospark.plans import correlation, registry_export, section_profiles, stage_discharge
 from limnospark.plans.table_export import ExportRequest, run_export
-from limnospark.session import shared_folder
+from limnospark.session import shared_folder, written
 from limnospark.sources import files, series, tables
 from limnospark.sources.keyed_files import read_keyed, read_output, write_outputs
 
@@ -22,14 +22,14 @@ def _folder(spark: SparkSession) -> str:
 @query("written_records", ORACLES["registry_visits"])
 def written_records(spark: SparkSession, sf: str) -> DataFrame:
     """All visit records written by export id into a set number of files, and read back."""
-    root, visits = _folder(spark), exports.registry_visits(spark, sf)
+    root, visits = _folder(spark), written(exports.registry_visits(spark, sf), "visits")
     registry_export.write_records(visits, root, buckets=16, parts=2)
     return read_keyed(spark, root, visits.schema, "export_id")
 
 
 @query("written_index", exports.REGISTRY_SQL + "SELECT export_id AS key, CAST(count(*) AS BIGINT) AS rows FROM o WHERE error IS NULL GROUP BY export_id")
 def written_index(spark: SparkSession, sf: str) -> DataFrame:
-    index = registry_export.write_records(exports.registry_gaugings(spark, sf), _folder(spark), ";", buckets=16)
+    index = registry_export.write_records(written(exports.registry_gaugings(spark, sf), "gaugings"), _folder(spark), ";", buckets=16)
     return index.select("key", "rows")
 
 
@@ -44,8 +44,9 @@ def written_report(spark: SparkSession, sf: str) -> DataFrame:
 @query("written_stage_discharge", ORACLES["stage_run_log"])
 def written_stage_discharge(spark: SparkSession, sf: str) -> DataFrame:
     """The stage-discharge run's tables written: pairs and fits by station, the log read back."""
-    root, out = _folder(spark), analysis._run(spark, sf)
-    kept = {name: out[name] for name in ("analysis_pairs", "fits", "log")}
+    root, out = _folder(spark), analysis._run(spark, sf, keep=written)
+    # the fits are read for their files and for the index of those
+    kept = {"analysis_pairs": out["analysis_pairs"], "fits": written(out["fits"], "fits"), "log": out["log"]}
     write_outputs(kept, root, {"analysis_pairs": "station_id", "fits": "station_id"}, buckets=8)
     return read_output(spark, root, "log", out["log"].schema)
 
@@ -53,7 +54,7 @@ def written_stage_discharge(spark: SparkSession, sf: str) -> DataFrame:
 @query("written_quality", ORACLES["quality_measurements"])
 def written_quality(spark: SparkSession, sf: str) -> DataFrame:
     """The quality run's measurements by point and its log."""
-    root, out = _folder(spark), analysis._quality(spark, sf, grain="monthly")
+    root, out = _folder(spark), analysis._quality(spark, sf, grain="monthly", keep=written)
     write_outputs({"measurements": out["measurements"], "log": out["log"]}, root, {"measurements": "point"}, buckets=8)
     return rounded(read_keyed(spark, f"{root}/measurements", out["measurements"].schema, "point"), {"cg": 6})
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,11 +29,13 @@ def weighted_scores(rows: DataFrame, keys: Sequence[str], weight: str, score: st
 def quality_metrics(
     normalized: DataFrame, raw: DataFrame, weight: str = "percent_q", grain: str = "daily",
     points: Sequence[str] = (), months: Sequence[str] = (), all_months: bool = False,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> dict[str, DataFrame]:
     """Scores and log of every file.
 
     Both tables carry `file` (`<point>_Points_<date>[_<time>].csv`) and `row_no`; rows pair up by
-    row number and files of unequal length are errors. Filters on the name come before any join.
+    row number and files of unequal length are errors. Filters on the name come before any join. `keep` may write the
+    table of one row per file, which scores and log both read.
     """
     score = quality_column(raw.columns)
 
@@ -79,6 +81,7 @@ def quality_metrics(
         "status": status, "reason": reason, "period": period_label(F.col("date"), F.col("time"), grain),
         "cg": F.when(status == "ok", F.try_divide(F.col("swq"), F.col("sw"))),
     })
+    scored = keep(scored.drop("n_normalized", "n_raw", "n_pairs", "sw", "swq"), "scored")
     skipped = tagged.where("date is null").select("file").distinct().select(
         "file", F.lit("skipped").alias("status"), F.lit("filename_not_recognized").alias("reason"))
     log = scored.select("file", "status", "reason", "point", "date", "time").unionByName(skipped, allowMissingColumns=True)
