@@ -189,14 +189,14 @@ RUN_SQL = STAGE_SQL.replace(
 ).replace("LEFT JOIN deep USING (run_id)", "LEFT JOIN deep USING (station_id, d, t, instrument)")
 
 
-def _run(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, sf: str, **options) -> dict[str, DataFrame]:
     summary = _summary(spark, sf)
     points = summary.join(table(spark, sf, "lineitem"), F.col("run_id") == F.col("l_orderkey")).select(
         "station_id", "measurement_date", "measurement_time", "instrument", F.col("l_quantity").alias("depth_m"))
     manual = series.manual_stage(_manual(spark, sf))
     return stage_discharge.run(summary, points, manual, {
         "instruments": {name: {"enabled": True} for name in ("flowtracker", "molinete", "nivus")},
-        "instrument_selection": {"ranking": ["nivus", "molinete"]}, "selection": {"points": "all", "depth_mode": "ambas"}})
+        "instrument_selection": {"ranking": ["nivus", "molinete"]}, "selection": {"points": "all", "depth_mode": "ambas"}}, **options)
 
 
 @query("stage_run_log", RUN_SQL + LOG_SQL)

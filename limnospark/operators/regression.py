@@ -89,9 +89,8 @@ def curve_fits(df: DataFrame, keys: Sequence[str], x: str, y: str, min_points: i
             F.avg(x).alias("mx"), F.avg(y).alias("my"), F.var_pop(x).alias("m2"),
             F.skewness(x).alias("skew"), F.kurtosis(x).alias("kurt"),
             F.covar_pop(x, y).alias("cuv"), F.covar_pop(F.col(x) * F.col(x), F.col(y)).alias("cxxy"),
-            F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("shift"),
             F.count(lx).alias("np"), F.avg(lx).alias("mlx"), F.avg(ly).alias("mly"), F.var_pop(lx).alias("vlx"),
-            F.regr_slope(ly, lx).alias("lslope"), F.regr_intercept(ly, lx).alias("lshift"),
+            F.covar_pop(lx, ly).alias("clxy"),
             F.avg(F.when(F.col(x) > 0, F.col(y))).alias("my_positive"),
         )
         .where(F.col("n_points") >= min_points)
@@ -100,6 +99,10 @@ def curve_fits(df: DataFrame, keys: Sequence[str], x: str, y: str, min_points: i
         "m3": F.col("skew") * F.pow("m2", F.lit(1.5)),
         "spread": (F.col("kurt") + 2.0) * F.col("m2") * F.col("m2"),  # m4 - m2^2
         "cu2v": F.col("cxxy") - 2.0 * F.col("mx") * F.col("cuv"),
+        # Lines from the moments that are there, since each regression aggregate would carry seven more numbers per group.
+        "slope": F.try_divide(F.col("cuv"), F.col("m2")), "lslope": F.try_divide(F.col("clxy"), F.col("vlx")),
+    }).withColumns({
+        "shift": F.col("my") - F.col("slope") * F.col("mx"), "lshift": F.col("mly") - F.col("lslope") * F.col("mlx"),
     }).withColumn("det", F.col("m2") * F.col("spread") - F.col("m3") * F.col("m3"))
     # Fewer than three distinct x leave the quadratic without a unique solution.
     solvable = F.col("det") > 1e-10 * F.col("m2") * (F.col("spread") + F.col("m2") * F.col("m2"))
