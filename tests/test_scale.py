@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from limnospark.functions import dates
+from limnospark.operators import regression
+from limnospark.plans import quality
 from limnospark.plans.consolidate import build_group
 from limnospark.sources import series, tables
 
@@ -52,3 +55,26 @@ def test_station_rows_are_averaged_before_their_grain_is_chosen(spark):
     out = series.station_series(rows, "daily")
     assert not plan(out).startswith("Aggregate")
     assert {(r.station, str(r.date), r.q_station_ls) for r in out.collect()} == {("a", "2025-01-01", 2000.0), ("b", "2025-01-02", 5000.0)}
+
+
+def test_run_keeps_what_its_results_share(spark):
+    kept = []
+    rows = spark.createDataFrame([("P1_Points_20250101_101500.csv", 1, 2.0), ("bad", 1, 1.0)], "file string, row_no long, percent_q double")
+    raw = spark.createDataFrame([("P1_Points_20250101_101500.csv", 1, 3.0)], "file string, row_no long, `tq [%]` double")
+    out = quality.quality_metrics(rows, raw, keep=lambda df, label: kept.append(label) or df)
+    assert kept == ["scored"]
+    assert [(r.point, r.cg) for r in out["measurements"].collect()] == [("P1", 3.0)] and out["log"].count() == 2
+
+
+def test_curve_fits_carry_no_moment_twice(spark):
+    rows = spark.createDataFrame([("a", float(x), 3.0 * x + 1.0) for x in range(1, 6)] + [("b", 2.0, 5.0)] * 3 + [("z", 0.0, 5.0)] * 3, "k string, x double, y double")
+    fits = regression.curve_fits(rows, ["k"], "x", "y")
+    assert "regr_" not in plan(fits)
+    lines = {r.k: {m.model: (round(m.a, 6), round(m.b, 6)) for m in r.models} for r in fits.collect()}
+    assert lines["a"]["poly1"] == (3.0, 1.0) and lines["b"]["poly1"] == (1.25, 2.5) and "poly1" not in lines["z"]
+
+
+def test_full_stamps_are_read_like_others(spark):
+    df = spark.createDataFrame([("2025-01-02", "10:20:30"), ("2025-13-02", "10:20:30"), ("2025-1-2", "1:2:3"), (None, "10:20:30")], "d string, t string")
+    stamps = [r.s for r in df.select(F.date_format(dates.measurement_timestamp(F.col("d"), F.col("t")), "yyyyMMddHHmmss").alias("s")).collect()]
+    assert stamps[0] == "20250102102030" and stamps[1] is None and stamps[3] is None
