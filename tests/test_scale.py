@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from limnospark.functions import dates
+from limnospark.functions import dates, numbers
 from limnospark.operators import regression
 from limnospark.plans import quality
 from limnospark.plans.consolidate import build_group
@@ -78,3 +78,10 @@ def test_full_stamps_are_read_like_others(spark):
     df = spark.createDataFrame([("2025-01-02", "10:20:30"), ("2025-13-02", "10:20:30"), ("2025-1-2", "1:2:3"), (None, "10:20:30")], "d string, t string")
     stamps = [r.s for r in df.select(F.date_format(dates.measurement_timestamp(F.col("d"), F.col("t")), "yyyyMMddHHmmss").alias("s")).collect()]
     assert stamps[0] == "20250102102030" and stamps[1] is None and stamps[3] is None
+
+
+def test_numbers_are_worked_out_once(spark):
+    texts = {"1,5": 1.5, " 2 ": 2.0, "1d": None, "1F": None, "inf": None, "Infinity": float("inf"), "nan": None, "-": None, "": None, "x": None, "1e3": 1000.0, "0x1p1d": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", numbers.cell_number(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in df.collect()} == texts
+    assert plan(df).count("trim(t") <= 1
