@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from limnospark.functions.text import null_if_blank, strip
 from limnospark.operators.choose import first_row
 
+#: Keys of a lookup whose results go to every task at most, and requests from which a key is one of them: there are few enough
+#: others of one key for a task.
+HOT_KEYS, HOT_ROWS = 1_024, 100_000
+
 
 def nearest_date_match(
     left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], date: str, days: int,
@@ -78,13 +82,17 @@ def lookup_with_count(
 
 
 def masked_lookup(
-    requests: DataFrame, table: DataFrame, criteria: Mapping[str, Column], value: str, prefix: str = "lookup"
+    requests: DataFrame, table: DataFrame, criteria: Mapping[str, Column], value: str, prefix: str = "lookup",
+    spread: Sequence[str] | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Match on whichever criteria a request fills in.
 
     Every table row is listed once per non-empty subset of the criteria columns, counted per
     (subset, values), and a request joins on the subset it fills. Adds `<prefix>_mask`,
     `<prefix>_count` and `<prefix>_value`.
+
+    Requests that fill nothing, and those of keys that `hot_rows` requests or more share, are not gathered by key: they are dealt
+    out by their columns `spread` (all, if not given), and the results of those keys, the `HOT_KEYS` largest at most, go to every task.
     """
     names = list(criteria)
     masks = [mask for size in range(1, len(names) + 1) for mask in combinations(range(len(names)), size)]
@@ -97,17 +105,29 @@ def masked_lookup(
         F.explode(F.array(*[key(cells, mask) for mask in masks])).alias("__key"),
         F.col(value).cast("string").alias("__value"),
     )
-    counted = listed.groupBy("__key").agg(
-        F.count(F.lit(1)).alias(f"{prefix}_count"), F.min("__value").alias(f"{prefix}_value")
-    )
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("__key").agg(F.count(F.lit(1)).alias(f"{prefix}_count"), F.min("__value").alias(f"{prefix}_value"))
+
     asked = [null_if_blank(c.cast("string")) for c in criteria.values()]
     request_key = F.to_json(F.array(*asked))
     any_filled = F.coalesce(*asked).isNotNull()
-    joined = requests.withColumns({
+    keyed = requests.withColumns({
         f"{prefix}_mask": F.concat_ws(",", *[F.when(c.isNotNull(), F.lit(n)) for n, c in zip(names, asked)]),
         "__key": F.when(any_filled, request_key),
-    }).join(counted, "__key", "left").drop("__key")
-    return joined.withColumn(f"{prefix}_count", F.coalesce(F.col(f"{prefix}_count"), F.lit(0)))
+    })
+    sizes = keyed.where("__key IS NOT NULL").groupBy("__key").agg(F.count(F.lit(1)).alias("__asked"))
+    hot = sizes.where(F.col("__asked") >= hot_rows).orderBy(F.desc("__asked"), "__key").limit(HOT_KEYS).select("__key")
+    found = counted(listed.join(F.broadcast(hot), "__key")).withColumnsRenamed({f"{prefix}_count": "__hot_count", f"{prefix}_value": "__hot_value"})
+    known = hot.join(F.broadcast(found), "__key", "left").withColumn("__hot", F.lit(True))
+    # no listed key begins like the texts that the rows are dealt out by
+    apart = F.concat(F.lit("#"), F.xxhash64(*[F.col(f"`{c}`") for c in (requests.columns if spread is None else spread)]))
+    dealt = keyed.join(F.broadcast(known), "__key", "left").withColumn(
+        "__key", F.when(F.col("__key").isNull() | F.col("__hot").isNotNull(), apart).otherwise(F.col("__key")))
+    return dealt.join(counted(listed), "__key", "left").withColumns({
+        f"{prefix}_count": F.coalesce(F.col(f"{prefix}_count"), F.col("__hot_count"), F.lit(0)),
+        f"{prefix}_value": F.coalesce(F.col(f"{prefix}_value"), F.col("__hot_value")),
+    }).drop("__key", "__hot", "__hot_count", "__hot_value")
 
 
 def first_match_lookup(

@@ -147,7 +147,7 @@ def run(
         "id_estacion": measured(config.get("station_column", "station_id")),
         "stamp": D.measurement_timestamp(F.col("m.measurement_date"), F.col("m.measurement_time")),
     })
-    rows = masked_lookup(rows, lookups["instrumentos"], {c: F.col(f"key_{c}") for c in MATCH_COLUMNS}, "id", "inst")
+    rows = masked_lookup(rows, lookups["instrumentos"], {c: F.col(f"key_{c}") for c in MATCH_COLUMNS}, "id", "inst", spread=SELECTION_COLUMNS)
     for table, key, direct, name in (
         ("tipos_aforos", "tipo_key", "tipo_direct", "id_tipo_aforo"),
         ("instrumentos_rangos", "rango_key", "rango_direct", "id_instrumentos_rangos"),

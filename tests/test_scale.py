@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from limnospark.functions import dates, numbers
-from limnospark.operators import regression
+from limnospark.operators import matching, regression
 from limnospark.plans import quality
 from limnospark.plans.consolidate import build_group
 from limnospark.sources import series, tables
@@ -85,3 +85,25 @@ def test_numbers_are_worked_out_once(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", numbers.cell_number(F.col("t")).alias("n"))
     assert {r.t: r.n for r in df.collect()} == texts
     assert plan(df).count("trim(t") <= 1
+
+
+def test_requests_of_one_lookup_key_are_dealt_out(spark):
+    """Requests that fill nothing, and many of one key, once went to one task each."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    asked = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 3 == 1, "gone").alias("a"), F.when(F.col("id") == 9, "q").alias("b"))
+    table = spark.createDataFrame([(1, "x", "p"), (2, "x", "q"), (3, None, "q")], "no long, a string, b string")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = matching.masked_lookup(asked, table, {"a": F.col("a"), "b": F.col("b")}, "no", hot_rows=500)
+        assert out.columns == ["id", "a", "b", "lookup_mask", "lookup_count", "lookup_value"]
+        rows = out.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    wanted = {0: ("a", 2, "1"), 1: ("a", 0, None), 2: ("", 0, None)}
+    assert len(rows) == 3000
+    assert all((r.lookup_mask, r.lookup_count, r.lookup_value) == (("a,b", 1, "2") if r.id == 9 else wanted[r.id % 3]) for r in rows)
+    for kind in range(3):
+        parts = [r.part for r in rows if r.id % 3 == kind]
+        assert max(parts.count(p) for p in set(parts)) < 500
