@@ -266,9 +266,24 @@ def all_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     side would make two tables of it.
     """
     sets = _numbered(sets)
-    entries = _entries(sets, None, "open")
-    met = (F.col("a.word") == F.col("b.word")) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & _may_match("a", "b", threshold)
-    return _pairs(entries.alias("a").join(entries.alias("b"), met), sets)
+    entries = _with_previous(_entries(sets, None, "open", "prefix"))
+    return _pairs(_joined(entries, threshold), sets)
+
+
+def _with_previous(entries: DataFrame) -> DataFrame:
+    """The entries with the word before theirs in the prefix, null for its first word."""
+    return entries.withColumn("previous", F.get("prefix", F.col("at") - 1)).drop("prefix")
+
+
+def _joined(entries: DataFrame, threshold: float) -> DataFrame:
+    """Entries of lines that may match, the later one being open, by their common words.
+
+    Near-copies share long runs of prefix words. A pair is made at the first word of a run alone: at a later one both entries have the same word
+    before them, which makes the pair too, since it leaves more words after it and no other condition depends on the word.
+    """
+    starts = F.coalesce(F.col("a.previous") != F.col("b.previous"), F.lit(True))
+    met = (F.col("a.word") == F.col("b.word")) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & _may_match("a", "b", threshold) & starts
+    return entries.alias("a").join(entries.alias("b"), met)
 
 
 def _marks(docs: np.ndarray, lines: np.ndarray, ties: np.ndarray | None = None) -> np.ndarray:

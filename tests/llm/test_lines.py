@@ -167,3 +167,14 @@ def test_rows_without_ids_or_with_one_id(spark):
             left[doc, "\n".join(stay)] += 1
     assert Counter((r.doc_id, r.text) for r in lines.without_repeated_lines(frame(spark, SHARED), 0.8, 5).collect()) == left
     assert left[None, "intro one\nd e f g h"] + left[None, "d e f g\nunique clean line"] >= 1
+
+
+def test_near_copies_make_a_pair_once_for_a_run_of_common_words(spark):
+    """A pair was once made for each word that both prefixes hold."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([*words[:-1], "x"]), " ".join([*words[:-1], "y"]), " ".join([*words[:30], "z", *words[31:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lines.line_rows(docs, lines.word_counts(docs), 0.8, 512).withColumn("id", F.monotonically_increasing_id()).withColumn("open", F.lit(1))
+    made = lines._joined(lines._with_previous(lines._entries(rows, None, "open", "prefix")), 0.8).select("a.id", "b.id").count()
+    shared = rows.alias("a").join(rows.alias("b"), F.col("a.doc") < F.col("b.doc")).agg(F.sum(F.size(F.array_intersect("a.prefix", "b.prefix")))).first()[0]
+    assert lines.all_pairs(rows, 0.8).count() == 6 and 6 <= made <= 12 < shared
