@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from limnospark.llm.shared import documents, release_memory, stored, text_of
 
 _COUNTS = ("n_all", "n_toxic", "n_ordinary")
-#: Words that a task remembers, and the length from which it remembers none.
+#: Words that a task remembers, and as many older ones, and the length from which it remembers none.
 _REMEMBER, _LONG = 200_000, 64
 
 
@@ -56,11 +57,11 @@ class Models:
 
     def word(self, word: str) -> float:
         """log P(word | toxic) - log P(word | ordinary)."""
-        grams = grams_of(word, self.order)[self.shared - 1:]  # the first ones are what the classes share
-        found = list(map(self.grams.get, grams))
-        if None not in found:
-            return sum(found)
-        return sum(self.unknown(gram) if value is None else value for gram, value in zip(grams, found))
+        grams = grams_of(word, self.order, self.shared + 1)  # shorter ones are what the classes share
+        try:
+            return sum(map(self.grams.__getitem__, grams))
+        except KeyError:
+            return sum(self.unknown(gram) if value is None else value for gram, value in zip(grams, map(self.grams.get, grams)))
 
     def unknown(self, gram: str) -> float:
         """The ratio for the last letter of a gram that is not known: that of the longest known part, and the weights on the way to it."""
@@ -78,18 +79,22 @@ class Models:
 
 
 class _Words(dict):
-    """Values of the words met so far."""
+    """Values of the words met of late: those not asked for again until `_REMEMBER` others were met are forgotten."""
 
     def __init__(self, models: Models):
         super().__init__()
-        self.models = models
+        self.models, self.older = models, {}
 
     def __missing__(self, word: str) -> float:
-        value = self.models.word(word)
-        if len(word) < _LONG:
-            if len(self) >= _REMEMBER:
-                self.clear()
-            self[word] = value
+        value = self.older.get(word)
+        if value is None:
+            value = self.models.word(word)
+            if len(word) >= _LONG:
+                return value
+        if len(self) >= _REMEMBER:
+            self.older = dict(self)
+            self.clear()
+        self[word] = value
         return value
 
 
@@ -97,10 +102,11 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def grams_of(word: str, order: int) -> list[str]:
-    """For each letter of a word and the blank after it, the letter and up to `order` - 1 before it; the word has a blank before it, too."""
+def grams_of(word: str, order: int, least: int = 2) -> list[str]:
+    """For each letter of a word and the blank after it, the letter and up to `order` - 1 before it, if that makes `least` letters; the word has
+    a blank before it, too."""
     marked = f" {word} "
-    return [marked[:end] for end in range(2, min(order, len(marked) + 1))] + [marked[i:i + order] for i in range(len(marked) - order + 1)]
+    return [marked[:end] for end in range(least, min(order, len(marked) + 1))] + [marked[i:i + order] for i in range(len(marked) - order + 1)]
 
 
 def likeness(text: str, values: _Words) -> float:
@@ -121,10 +127,12 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
         def grams() -> pa.RecordBatch:
             found = {label: defaultdict(int) for label in words}
             for label, counted in words.items():
-                into = found[label]
+                into, alike = found[label], defaultdict(list)
                 for word, n in counted.items():
-                    for gram in grams_of(word, order):
-                        into[gram] += n
+                    alike[n].append(word)
+                for n, some in alike.items():  # most words are rare, so few counts differ
+                    for gram, times in Counter(chain.from_iterable(grams_of(word, order) for word in some)).items():
+                        into[gram] += n * times
                 counted.clear()
             keys = list(set().union(*found.values()))
             toxic, ordinary = ([found[label].get(key, 0) for key in keys] for label in (1, 0))
@@ -293,6 +301,7 @@ def score_documents(docs: DataFrame, models: Models, *keep: str, threshold: floa
             columns = [*(batch[f.name] for f in fields), pa.array(found, pa.float64()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         values.clear()
+        values.older.clear()
         release_memory()
 
     return given.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -303,7 +312,7 @@ def _open_grams(text: str, models: Models) -> tuple[float, int, Counter]:
     total, letters, other = 0.0, 0, Counter()
     for word, n in Counter(words_of(text)).items():
         letters += n * (len(word) + 1)
-        for gram in grams_of(word, models.order)[models.shared - 1:]:
+        for gram in grams_of(word, models.order, models.shared + 1):
             value = models.grams.get(gram)
             if value is None:
                 other[gram] += n

@@ -137,3 +137,20 @@ def test_held_out_accuracy(spark):
             right[r.toxic].append(r.predicted == r.toxic)
     assert np.mean(right[1]) > 0.85 and np.mean(right[0]) > 0.98 and len(right[1]) > 50
     assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def test_words_met_again_and_again_are_worked_out_once(monkeypatch):
+    """Frequent words were once forgotten with the rare ones that had filled the memory."""
+    monkeypatch.setattr(toxicity, "_REMEMBER", 8)
+    worked = []
+
+    class Counting(toxicity.Models):
+        def word(self, word):
+            worked.append(word)
+            return float(len(word))
+
+    values = toxicity._Words(Counting())
+    for i in range(100):
+        assert values["often"] == 5.0 and values[f"rare{i:03}"] == 7.0
+    assert worked.count("often") == 1 and len(worked) == 101
+    assert len(values) + len(values.older) <= 16
