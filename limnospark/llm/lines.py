@@ -39,6 +39,8 @@ HEAVY_TIMES, HEAVY_LEAST = 32, 512
 #: How many of a line's rarest prefix words lead it to a line to be compared with first; sets with bitmaps of 64 bits.
 LED_BY, SMALL_SET = 3, 64
 BATCH_BYTES = 4 << 20  # text worked on together by a task
+MET_AT_ONCE = 1 << 18  # entries, or their pairs, compared together by a task
+_NONE = 1 << 40  # no word before
 _ONE, _MIX = np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -221,26 +223,39 @@ def _entries(sets: DataFrame, chosen: Column | None = None, *more: str) -> DataF
     return (kept if chosen is None else kept.where(chosen)).drop("light")
 
 
+def _reaching(entries: DataFrame, threshold: float) -> DataFrame:
+    """The entries with `reach` for their position: the largest size of a set that may match by this word.
+
+    A larger set than that is too far in length, or the words after this one cannot make what must be shared with it.
+    Two sets may match by a word if each is in the other's reach, which is both the length and the position filter. The margin
+    only lets more through.
+    """
+    share = threshold / (1 + threshold)
+    length, words = F.col("size") / F.lit(threshold), (F.col("size") - F.col("at")) / F.lit(share) - F.col("size")
+    return entries.withColumn("reach", F.floor(F.least(length, words) + F.lit(1e-6)).cast("int")).drop("at")
+
+
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """Whether the sets of two entries with the same word may match, a's document not being later: length, position and bitmap."""
+    """Whether the sets of two entries with the same word may match, a's document not being later: length, position and bitmap.
+
+    What leaves out most comes first: nearly all entries of a word are out of each other's reach.
+    """
     ca, cb = (lambda name: F.col(f"{a}.{name}")), (lambda name: F.col(f"{b}.{name}"))
     both, share = ca("size") + cb("size"), threshold / (1 + threshold)
     ones, twos = ca("bits1").bitwiseXOR(cb("bits1")), ca("bits2").bitwiseXOR(cb("bits2"))
     apart = F.when((ca("size") <= SMALL_SET) | (cb("size") <= SMALL_SET), F.bit_count(ones.bitwiseXOR(twos))).otherwise(F.bit_count(ones) + F.bit_count(twos))
     return (
-        (ca("doc") <= cb("doc")) & (ca("id") != cb("id"))
-        & (F.least(ca("size"), cb("size")) >= F.greatest(ca("size"), cb("size")) * F.lit(threshold) - 1e-9)
-        & (F.least(ca("size") - ca("at"), cb("size") - cb("at")) >= both * F.lit(share) - 1e-9)
+        (ca("size") <= cb("reach")) & (cb("size") <= ca("reach")) & (ca("doc") <= cb("doc")) & (ca("id") != cb("id"))
         & (apart <= both * F.lit(1 - 2 * share) + 1e-9)
     )
 
 
-def _pairs(joined: DataFrame, sets: DataFrame) -> DataFrame:
-    """The places of the pairs whose first line is the earlier one, each once."""
-    pairs = stored(joined.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct(), "numbers")
+def _pairs(numbers: DataFrame, sets: DataFrame) -> DataFrame:
+    """The places of the pairs of sets a_id and b_id whose first line is the earlier one, each once."""
+    pairs = stored(numbers.distinct(), "numbers")
     asked = pairs.select(F.col("a_id").alias("id")).unionByName(pairs.select(F.col("b_id").alias("id"))).distinct()
-    # the sets are dealt out once, and merged at every size, so that the plan does not change with it
-    places = stored(sets.select("id", F.struct(*PLACE).alias("place")).join(asked.hint("merge"), "id"), "places")
+    # the sets are dealt out once, and meet a table of the numbers at every size, so that the plan does not change with it
+    places = stored(sets.select("id", F.struct(*PLACE).alias("place")).join(asked.hint("shuffle_hash"), "id"), "places")
     placed = pairs.join(places.select(F.col("id").alias("a_id"), F.col("place").alias("a")), "a_id").join(
         places.select(F.col("id").alias("b_id"), F.col("place").alias("b")), "b_id").where("a < b")
     return placed.select(*(F.col(f"b.{c}").alias(c) for c in PLACE), *(F.col(f"a.{c}").alias(f"a_{c}") for c in PLACE))
@@ -252,22 +267,92 @@ def leader_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     Lines of one family share such words, so most of them are decided by one comparison for each word.
     """
     sets = _numbered(sets)
-    entries = _entries(sets, (F.col("at") < LED_BY) | (F.col("at") >= F.col("light")))
-    first = entries.groupBy("word").agg(F.min(F.struct("doc", "id", "size", "bits1", "bits2", "at")).alias("first"), F.count(F.lit(1)).alias("lines"))
+    rarest = F.when(F.col("light") >= F.size("prefix"), F.slice("prefix", 1, LED_BY)).otherwise(F.col("prefix"))
+    entries = _reaching(_entries(sets.withColumn("prefix", rarest), (F.col("at") < LED_BY) | (F.col("at") >= F.col("light"))), threshold)
+    first = entries.groupBy("word").agg(F.min(F.struct("doc", "id", "size", "bits1", "bits2", "reach")).alias("first"), F.count(F.lit(1)).alias("lines"))
     first = stored(first.where("lines > 1").select("word", "first.*"), "leaders")
     met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold)
-    return _pairs(first.alias("a").join(entries.alias("b"), met), sets)
+    joined = first.hint("shuffle_hash").alias("a").join(entries.alias("b"), met)
+    return _pairs(joined.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")), sets)
 
 
-def all_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+def all_pairs(sets: DataFrame, threshold: float, closed: DataFrame | None = None) -> DataFrame:
     """Lines that are open, against all earlier lines with a common word in both prefixes.
 
-    Both sides are one table dealt by word once: `open` stands in a condition on both, since a condition on one
+    Open are the sets that are not among the places `closed`, or without such places those whose column `open` is 1.
+    The lines of a light word are few: they stand together in a task, which compares only those in reach. Those of a heavy word are joined, so that
+    Spark can split them. There both sides are one table dealt by word once: `open` stands in a condition on both, since a condition on one
     side would make two tables of it.
     """
     sets = _numbered(sets)
-    entries = _with_previous(_entries(sets, None, "open", "prefix"))
-    return _pairs(_joined(entries, threshold), sets)
+
+    def entries(sets: DataFrame, chosen: Column) -> DataFrame:
+        if closed is not None:
+            sets = sets.join(closed.select(*PLACE, F.lit(0).alias("open")).hint("shuffle_hash"), PLACE, "left").withColumn("open", F.coalesce("open", F.lit(1)))
+        return _with_previous(_entries(sets, chosen, "open", "prefix"))
+
+    light = _met(entries(sets, F.col("at") < F.col("light")), threshold)
+    heavy = _joined(entries(sets.where(F.col("light") < F.size("prefix")), F.col("at") >= F.col("light")), threshold)
+    numbers = heavy.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+    return _pairs(light.unionByName(numbers), sets)
+
+
+def _met(entries: DataFrame, threshold: float) -> DataFrame:
+    """What `_joined` finds, as a_id and b_id, for words of few lines: a word's entries stand together by size, and each meets those in its reach.
+
+    Word and size, and reach and `open`, are one number each, since a column costs more on its way to the task than the comparisons.
+    """
+    key = F.shiftleft(F.col("word").cast("long"), 32) + F.col("size")
+    reach = F.shiftleft(F.col("reach").cast("long"), 1) + F.col("open")
+    previous = F.coalesce(F.col("previous").cast("long"), F.lit(_NONE))
+    rows = _reaching(entries, threshold).select(key.alias("key"), reach.alias("reach"), "id", "doc", "bits1", "bits2", previous.alias("previous"))
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= MET_AT_ONCE:
+                table = pa.Table.from_batches(held).combine_chunks()
+                word = table["key"].to_numpy() >> 32
+                upto = int(np.searchsorted(word, word[-1]))  # the last word may go on
+                held, n = table.slice(upto).to_batches(), table.num_rows - upto
+                yield from _in_reach(*(table[c].to_numpy()[:upto] for c in names), threshold)
+        if held:
+            yield from _in_reach(*(pa.Table.from_batches(held)[c].to_numpy() for c in names), threshold)
+        release_memory()
+
+    return rows.repartition(F.shiftright("key", 32)).sortWithinPartitions("key").mapInArrow(run, "a_id long, b_id long")
+
+
+def _in_reach(key, reach, ids, docs, bits1, bits2, previous, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of entries that `_joined` would make; they are in the order of their keys, a word's smallest set first."""
+    size, word, share = key & 0xFFFFFFFF, key >> 32 << 32, threshold / (1 + threshold)
+    open_, reach = reach & 1, reach >> 1
+    first = np.searchsorted(key, word + np.ceil(threshold * size - 1e-6).astype(np.int64))
+    last = np.minimum(np.searchsorted(key, word + np.minimum(size, reach), side="right"), np.arange(len(key)))
+    counts = np.maximum(last - first, 0)
+    ends = np.cumsum(counts)
+    start = 0
+    while start < len(key):
+        before = ends[start - 1] if start else 0
+        upto = max(start + 1, int(np.searchsorted(ends, before + MET_AT_ONCE, side="right")))
+        own = counts[start:upto]
+        large = np.repeat(np.arange(start, upto), own)
+        small = np.arange(len(large)) - np.repeat(ends[start:upto] - own - before - first[start:upto], own)
+        start = upto
+        near = reach[small] >= size[large]
+        small, large = small[near], large[near]
+        ones, twos = bits1[small] ^ bits1[large], bits2[small] ^ bits2[large]
+        apart = np.where(size[small] <= SMALL_SET, np.bitwise_count((ones ^ twos).view(np.uint64)), np.bitwise_count(ones.view(np.uint64)) + np.bitwise_count(twos.view(np.uint64)))
+        starts = (previous[small] != previous[large]) | (previous[small] == _NONE)
+        near = (apart <= (size[small] + size[large]) * (1 - 2 * share) + 1e-9) & starts & (ids[small] != ids[large])
+        small, large = small[near], large[near]
+        for a, b in ((small, large), (large, small)):
+            kept = (docs[a] <= docs[b]) & (open_[b] > 0)
+            if kept.any():
+                yield pa.RecordBatch.from_pydict({"a_id": ids[a[kept]], "b_id": ids[b[kept]]})
 
 
 def _with_previous(entries: DataFrame) -> DataFrame:
@@ -282,7 +367,8 @@ def _joined(entries: DataFrame, threshold: float) -> DataFrame:
     before them, which makes the pair too, since it leaves more words after it and no other condition depends on the word.
     """
     starts = F.coalesce(F.col("a.previous") != F.col("b.previous"), F.lit(True))
-    met = (F.col("a.word") == F.col("b.word")) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & _may_match("a", "b", threshold) & starts
+    met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & starts
+    entries = _reaching(entries, threshold)
     return entries.alias("a").join(entries.alias("b"), met)
 
 
@@ -313,8 +399,16 @@ def _filter_of(places: DataFrame) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
 
 
+def _distinct_words(lines: pa.Array) -> pa.ListArray:
+    """Each line's words, once each."""
+    owner, codes, distinct = _words(lines)
+    owner, code = np.divmod(np.unique(owner * max(1, len(distinct)) + codes), max(1, len(distinct)))
+    ends = np.searchsorted(owner, np.arange(len(lines) + 1))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), distinct.take(pa.array(code)))
+
+
 def _lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """Texts of the lines at the places, read from the documents again.
+    """Different words of the lines at the places and their number, read from the documents again.
 
     A filter of fixed size leaves out nearly all other lines before anything is moved; the few that pass it
     are left out by the joins that follow.
@@ -326,18 +420,20 @@ def _lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
             rows, numbers, lines = _lines(batch)
             kept = np.flatnonzero(held.value[_marks(batch["doc"].to_numpy()[rows], numbers, batch["tie"].to_numpy()[rows])])
             if len(kept):
-                texts = pc.ascii_trim_whitespace(pc.ascii_lower(lines.take(pa.array(kept))))
-                yield pa.record_batch([*(batch[c].take(pa.array(rows[kept])) for c in ("doc", "tie")), pa.array(numbers[kept], pa.int32()), texts], names=[*PLACE, "text"])
+                words = _distinct_words(lines.take(pa.array(kept)))
+                yield pa.record_batch([*(batch[c].take(pa.array(rows[kept])) for c in ("doc", "tie")), pa.array(numbers[kept], pa.int32()), pc.list_value_length(words), pc.binary_join(words, " ")], names=[*PLACE, "n", "words"])
 
-    return stored(_places(docs).mapInArrow(read, "doc long, tie long, line int, text string"), "texts")
+    return stored(_places(docs).mapInArrow(read, "doc long, tie long, line int, n int, words string"), "texts")
 
 
 def _matching(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose words match."""
-    joined = pairs.join(texts, PLACE).join(texts.select(*(F.col(c).alias(f"a_{c}") for c in (*PLACE, "text"))), A_PLACE)
-    sets = joined.select(*PLACE, *A_PLACE, *(F.array_distinct(F.split(c, "[ \\t\\n\\x0B\\f\\r]+")).alias(c) for c in ("text", "a_text")))
-    shared = F.size(F.array_intersect("text", "a_text"))
-    return sets.where(shared >= (F.size("text") + F.size("a_text") - shared) * F.lit(threshold) - 1e-9).select(*PLACE, *A_PLACE)
+    """The pairs whose words match.
+
+    The common words stand once in the condition, since a filter works out a repeated expression again.
+    """
+    joined = pairs.join(texts, PLACE).join(texts.select(*(F.col(c).alias(f"a_{c}") for c in (*PLACE, "n", "words"))), A_PLACE)
+    shared = F.size(F.array_intersect(F.split("words", " "), F.split("a_words", " ")))
+    return joined.where(shared * F.lit(1 + threshold) >= (F.col("n") + F.col("a_n")) * F.lit(threshold) - 1e-9).select(*PLACE, *A_PLACE)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
@@ -364,9 +460,8 @@ def _kept_places(docs: DataFrame, threshold: float, heavy: int | None) -> DataFr
     rows = line_rows(docs, counts, threshold, heavy)
     sets = _numbered(rows.groupBy("k1", "k2").agg(first).select("first.*"))
     led = stored(verified(docs, leader_pairs(sets, threshold), threshold), "led")
-    open_ = sets.join(led.select(*PLACE, F.lit(0).alias("open")).hint("merge"), PLACE, "left").withColumn("open", F.coalesce("open", F.lit(1)))
-    found = led.unionByName(verified(docs, all_pairs(open_, threshold), threshold))
-    return sets.select(*PLACE).join(stored(found.select(*PLACE).distinct(), "found"), PLACE, "left_anti")
+    found = led.unionByName(verified(docs, all_pairs(sets, threshold, led), threshold))
+    return sets.select(*PLACE).join(stored(found.select(*PLACE).distinct(), "found").hint("shuffle_hash"), PLACE, "left_anti")
 
 
 def _named(place: str) -> Column:

@@ -178,3 +178,31 @@ def test_near_copies_make_a_pair_once_for_a_run_of_common_words(spark):
     made = lines._joined(lines._with_previous(lines._entries(rows, None, "open", "prefix")), 0.8).select("a.id", "b.id").count()
     shared = rows.alias("a").join(rows.alias("b"), F.col("a.doc") < F.col("b.doc")).agg(F.sum(F.size(F.array_intersect("a.prefix", "b.prefix")))).first()[0]
     assert lines.all_pairs(rows, 0.8).count() == 6 and 6 <= made <= 12 < shared
+
+
+def test_words_of_a_pair_are_compared_once(spark):
+    """A filter once split both texts three times and intersected them twice."""
+    pairs = spark.createDataFrame([(2, 0, 0, 1, 0, 0), (3, 0, 0, 1, 0, 0)], "doc long, tie long, line int, a_doc long, a_tie long, a_line int")
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "E d c b\ta a"), (3, "a b c d x y")], "doc_id long, text string")
+    places = lines._places(docs).select("doc", "tie", F.lit(0).alias("line"))
+    texts = lines._lines_at(docs, places).withColumn("tie", F.lit(0).cast("long"))
+    found = lines._matching(pairs, texts, 0.8)
+    assert [r.doc for r in found.collect()] == [2]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 1 and plan.count("split(") == 2
+
+
+def test_light_words_are_compared_in_reach_without_a_join(spark):
+    """Every two entries of a word were once joined; the numbers found are those of the join."""
+    df = frame(spark, made(8, 150, LARGE, 30) + [(1000 + i, f"{i} same line of very few words") for i in range(40)])
+    sets = lines.line_rows(df, lines.word_counts(df), 0.8, 10**6).withColumn("id", F.monotonically_increasing_id()).withColumn("open", (F.col("doc") % 3 > 0).cast("int"))
+    entries = lines._with_previous(lines._entries(sets, None, "open", "prefix")).localCheckpoint()
+    met = lines._met(entries, 0.8)
+    joined = lines._joined(entries, 0.8).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+    assert sorted(met.collect()) == sorted(joined.collect()) and met.count() > 100
+    assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
+    key = np.sort(np.repeat(np.arange(3) << 32, 400) + np.arange(1200) % 37 + 1)
+    size, none = key & 0xFFFFFFFF, np.zeros(1200, np.int64)
+    reach, ids = (size * 5 // 4) * 2 + 1, np.arange(1200)
+    found = {(a, b) for part in lines._in_reach(key, reach, ids, ids, none, none, ids, 0.8) for a, b in zip(*part.to_pydict().values())}
+    assert found == {(a, b) for a in range(1200) for b in range(a + 1, 1200) if key[a] >> 32 == key[b] >> 32 and max(size[a], size[b]) * 0.8 <= min(size[a], size[b]) + 1e-9}
