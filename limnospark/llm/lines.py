@@ -13,7 +13,8 @@ verified on the words themselves.
 Rarity comes from counts over all documents in a table of fixed size; two words that share a count's place only seem less rare.
 Equal sets are merged first: the earliest line of each is kept or compared, the others go. A family of very many lines that differ a little would join with itself in the
 square of its size, so lines are first compared with the first line of each of their rarest prefix words, and of their heavy ones; the
-full join then asks only for lines still open. Every pair is looked at until the line is decided.
+second comparison then asks only for lines still open: those of a light word meet in one task, those of a heavy one in a join. Every pair is
+looked at until the line is decided.
 """
 
 from __future__ import annotations
