@@ -154,10 +154,12 @@ def links(nodes: DataFrame, threshold: int = 2) -> DataFrame:
     """All pairs (a, b) of distinct fingerprints, a < b, that differ in at most `threshold` bits, each once.
 
     A large anchor's rows can be dealt to several tasks, since the join needs no rows of an anchor together.
+    Spark sizes what a function gives by what it is given, so that the copies, 71 for each fingerprint, count as one: without the hint
+    they are broadcast as long as the fingerprints alone are few enough.
     """
     homes, copies = at_anchors(nodes, 0, "a"), at_anchors(nodes, threshold, "b")
     met = (F.col("home.anchor") == F.col("copy.anchor")) & (F.col("a") < F.col("b")) & (differing("a", "b") <= threshold)
-    return homes.alias("home").join(copies.alias("copy"), met).select("a", "b")
+    return homes.hint("merge").alias("home").join(copies.hint("merge").alias("copy"), met).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 2, words: int = 3) -> DataFrame:

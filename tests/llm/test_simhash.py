@@ -128,3 +128,10 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     got = QUERIES["op1_simhash"](spark, folder)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_copies_are_not_broadcast(spark):
+    """Spark sizes the copies, 71 for each fingerprint, like the fingerprints."""
+    nodes = spark.createDataFrame([(i, i) for i in range(5)], "fp long, smallest long")
+    plan = simhash.links(nodes)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
