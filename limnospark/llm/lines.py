@@ -366,10 +366,11 @@ def _joined(entries: DataFrame, threshold: float) -> DataFrame:
 
     Near-copies share long runs of prefix words. A pair is made at the first word of a run alone: at a later one both entries have the same word
     before them, which makes the pair too, since it leaves more words after it and no other condition depends on the word.
+    The entries are rows of a prefix each, which Spark does not count when it sizes them, so they are dealt out at every size.
     """
     starts = F.coalesce(F.col("a.previous") != F.col("b.previous"), F.lit(True))
     met = (F.col("a.word") == F.col("b.word")) & _may_match("a", "b", threshold) & (F.col("b.open") * 2 + F.col("a.open") >= 2) & starts
-    entries = _reaching(entries, threshold)
+    entries = _reaching(entries, threshold).hint("merge")
     return entries.alias("a").join(entries.alias("b"), met)
 
 

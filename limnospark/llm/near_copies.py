@@ -158,7 +158,8 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float, bit
     rooted = rooted.withColumn("open", F.col("root") != F.col("lead_root")).drop("lead_node", "lead_size", "lead_at", "lead_root")
     a, b = (rooted.select("word", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "at", "root", "open"))) for side in "ab")
     met = (F.col("a_root") != F.col("b_root")) & (~F.col("a_open") | (F.col("a_node") < F.col("b_node"))) & _may_match("a_", "b_", similarity)
-    others = a.join(b.where("b_open").withColumnRenamed("word", "b_word"), (F.col("word") == F.col("b_word")) & met)
+    # sorted words take little room in a file, so their size there does not tell whether they can be broadcast
+    others = a.hint("merge").join(b.where("b_open").withColumnRenamed("word", "b_word").hint("merge"), (F.col("word") == F.col("b_word")) & met)
     others = others.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
     others = stored(others.join(led, ["a", "b"], "left_anti"), "others")
     more = stored(_verified(docs, nodes, others, words, similarity), "links")

@@ -206,3 +206,10 @@ def test_light_words_are_compared_in_reach_without_a_join(spark):
     reach, ids = (size * 5 // 4) * 2 + 1, np.arange(1200)
     found = {(a, b) for part in lines._in_reach(key, reach, ids, ids, none, none, ids, 0.8) for a, b in zip(*part.to_pydict().values())}
     assert found == {(a, b) for a in range(1200) for b in range(a + 1, 1200) if key[a] >> 32 == key[b] >> 32 and max(size[a], size[b]) * 0.8 <= min(size[a], size[b]) + 1e-9}
+
+
+def test_entries_of_heavy_words_are_not_broadcast(spark):
+    """Entries are many for each row that Spark sizes them by."""
+    entries = spark.createDataFrame([(1, 1, 5, 0, 0, 7, 0, 1, 3)], "id long, doc long, size int, bits1 long, bits2 long, word int, at int, open int, previous int")
+    plan = lines._joined(entries, 0.8)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1

@@ -62,3 +62,18 @@ def test_pairs_that_differ_in_many_bits():
 
 def test_sets_of_parts():
     assert near_copies._shingles(near_copies.pa.array(["", "a b", "a b c d e a b c d e a"]), 5)[0].tolist() == [1, 2, 2, 2, 2, 2]
+
+
+def test_entries_of_shingles_are_not_broadcast(spark, monkeypatch):
+    """Sorted entries are small in a file and large in memory."""
+    plans, stored = {}, near_copies.stored
+
+    def seen(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(near_copies, "stored", seen)
+    docs = spark.createDataFrame(made(3, 6, 3, 0.2), "doc_id long, text string")
+    near_copies.without_near_copies(docs).count()
+    joins = [line for line in plans["others"].split("\n") if "Join" in line and "b_word" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
