@@ -210,6 +210,6 @@ def test_light_words_are_compared_in_reach_without_a_join(spark):
 
 def test_entries_of_heavy_words_are_not_broadcast(spark):
     """Entries are many for each row that Spark sizes them by."""
-    entries = spark.createDataFrame([(1, 1, 5, 0, 0, 7, 0, 1, 3)], "id long, doc long, size int, bits1 long, bits2 long, word int, at int, open int, previous int")
+    entries = spark.range(5).selectExpr("id", "id as doc", "5 as size", "id as bits1", "id as bits2", "cast(id % 2 as int) as word", "0 as at", "1 as open", "cast(id as int) as previous")
     plan = lines._joined(entries, 0.8)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1

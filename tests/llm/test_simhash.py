@@ -132,6 +132,6 @@ def test_query(spark):
 
 def test_copies_are_not_broadcast(spark):
     """Spark sizes the copies, 71 for each fingerprint, like the fingerprints."""
-    nodes = spark.createDataFrame([(i, i) for i in range(5)], "fp long, smallest long")
+    nodes = spark.range(5).selectExpr("id as fp", "id as smallest")
     plan = simhash.links(nodes)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
