@@ -104,6 +104,30 @@ def test_dis_summary_cuts_each_stamp_once(spark):
     assert plan.count("[/], -1") == 1
 
 
+def test_dis_files_are_parsed_in_one_function(spark):
+    """Lines are read one after another in one function; a summary does not make the points table."""
+    docs = spark.createDataFrame([("/r/P1/a.dis", DIS), ("/r/P1/b.dis", None), ("/r/P1/c.dis", "")], "file string, text string")
+    out = ingest.ingest_dis(docs)
+    for group, tables in (("Summary", 0), ("Points", 1)):
+        plan = out[group]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and ("tokens" in plan) == bool(tables)
+    assert {r.file[-5]: r.status for r in out["rejected"].collect()} == {"b": "units line not found", "c": "points header not found"}
+    assert (out["Summary"].count(), out["Points"].count()) == (1, 2)
+
+
+def test_dis_patterns_of_a_spec(spark):
+    """The patterns of a spec are Java's, and count beside the usual head and instead of the usual rows."""
+    from limnospark.sources import dis_text
+
+    texts = ["Key   1 m\nNo Time\nunits\n(m)\n1x 2\n2x 3 4\nend", "St Clock\n(m)\n1 10:00\n2x 4"]
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "file string, text string")
+    spec = {"points_table": {"header_regex": r"^\p{Lu}o Time", "data_row_regex": r"^\p{Nd}x\b", "units_within": 2}, "summary": {"key_aliases": {"Width": "key m"}}}
+    found = {r.file: r for r in dis_text.parse_files(docs, spec).collect()}
+    assert [(r.line_no, r.tokens) for r in found["0"].rows] == [(5, ["1x", "2"]), (6, ["2x", "3", "4"])] and found["0"].names == ["num_points", "time"]
+    assert found["0"].fields == {"width": "1"} and found["0"].status == "ok"
+    assert [r.line for r in found["1"].rows] == ["2x 4"] and found["1"].fields == {}
+
+
 def test_sheet_without_sentence_uses_the_cross(spark):
     cells = [("ESTACION", 1, 0), ("P 7", 1, 1), ("FECHA", 2, 0), ("15/12/2025", 2, 1), ("M.I", 4, 3), ("M.D", 4, 5), ("X", 6, 5), ("AFORO", 0, 0),
              ("Vert n", 10, 0), ("1", 13, 0), ("2,5", 13, 2), ("0,4", 13, 3), ("0,5", 15, 13), ("-", 16, 2), ("3", 14, 5), ("2", 13, 5)]
