@@ -274,6 +274,20 @@ def test_sheets_are_read_in_one_pass(spark):
         assert kept == ["index", "layout"] and plan.count("Exchange hashpartitioning") <= 2 and plan.count("FileScan") == 2
 
 
+def test_sheet_index_is_made_without_collecting_cells(spark):
+    """Cells go through the shuffle packed, and values are looked up while a block's cells are at hand: no grid is written."""
+    rows = [("/x/P7_a.xlsx", "S", *cell) for cell in [(0, 0, "AFORO"), (1, 0, "NOMBRE"), (1, 0, "NOMBRE"), (1, 3, "Paso"), (2, 0, "FECHA"), (2, 1, "15/12/2025"), (3, 0, "Nombre"), (3, 1, "later")]]
+    cells = spark.createDataFrame([*rows, *long_sheet(100, file="/x/P7_b.xlsx")], "file string, sheet string, r bigint, c int, value string").repartition(7)
+    kept = {}
+    out = ingest.ingest_cells(cells, keep=lambda df, label: kept.setdefault(label, df))
+    plan = kept["index"]._jdf.queryExecution().executedPlan().toString()
+    assert "grid" not in kept["index"].columns and "Aggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.file: r.status for r in out["rejected"].collect()} == {"/x/P7_a.xlsx": "no points rows"} and out["Summary"].count() == 1
+    assert [(r.n_points, r.q_m3s) for r in out["Summary"].collect()] == [(100, 4.0)] and out["Points"].count() == 100
+    # a cell that comes twice stands next to itself
+    assert [r.station_name for r in kept["index"].where("file = '/x/P7_a.xlsx'").collect()] == ["NOMBRE"]
+
+
 def plain_machine(lines):
     """Section and key machine line by line: key -> values."""
     from limnospark.functions.text import snake_case_text
