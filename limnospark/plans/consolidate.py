@@ -127,12 +127,13 @@ def build_group(
             named = [F.col(f"named.{k}")] if k in ("station_id", "measurement_date", "measurement_time") else []
             keyed = keyed.withColumn(k, F.coalesce(*own, *named, F.lit("")))
     chosen = select_files(keyed, by, path, deduplicate)
-    described = {c: f"__{c}" for c in ("run_id", "source_run_dir", "instrument", "named")}
-    kept = data.join(chosen.select("__hash", path, *[F.col(c).alias(a) for c, a in described.items()], *firsts), ["__hash", path])
+    # what a path tells is read from it again: written beside the path for the join it takes more room than the path
+    kept = data.join(chosen.select("__hash", path, *firsts), ["__hash", path])
+    kept = with_computed(kept, {"__run": run_parts(F.col(path)), "__named": file_name_metadata(F.col(path), group)})
     filled = kept.withColumns(_filled(data.columns, firsts, {
         "station_id": F.col("__named.station_id"), "measurement_date": F.col("__named.measurement_date"),
-        "measurement_time": F.col("__named.measurement_time"), "instrument": F.col("__instrument"),
-        "source_file": F.col(path), "source_run_dir": F.col("__source_run_dir"), "run_id": F.col("__run_id"),
+        "measurement_time": F.col("__named.measurement_time"), "instrument": F.col("__run.instrument"),
+        "source_file": F.col(path), "source_run_dir": F.col("__run.source_run_dir"), "run_id": F.col("__run.run_id"),
     }, TRACE_CANDIDATES))
-    out = filled.drop("__hash", *described.values(), *firsts, path, row)
+    out = filled.drop("__hash", "__run", "__named", *firsts, path, row)
     return {"rows": trace_first(out, RAW_TRACE_COLUMNS), "manifest": manifest(files, chosen, path)}

@@ -347,3 +347,16 @@ def test_long_dis_files_take_time_in_proportion(spark):
     seconds(1_000)
     short, long = seconds(10_000), seconds(100_000)
     assert long < 30 * short + 5
+
+
+def test_what_a_path_tells_is_not_dealt_out(spark):
+    """Run, station and date of a file are read from its path after the join, and not written beside it."""
+    from limnospark.plans.consolidate import build_group
+
+    path = "/db/runs/ingest_a/20250101_000001/outputs/raw_canonical/flowtracker/Summary/P{}_Summary_20250102_101500.csv"
+    rows = spark.createDataFrame([(path.format(i), i, "n" if i else "") for i in (0, 1, 1)], "csv_path string, row_no long, station_name string")
+    out = build_group(rows, "flowtracker", "Summary")["rows"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and r"_Summary_(\d{8})" not in plan.split("Join Inner")[1]
+    assert sorted((r.station_id, r.measurement_date, r.run_id, r.station_name) for r in out.collect()) == [
+        ("P0", "20250102", "20250101_000001", ""), *[("P1", "20250102", "20250101_000001", "n")] * 2]
